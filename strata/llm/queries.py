@@ -24,6 +24,12 @@ def op3_quality_rules(spark, sf_dir):
     return quality_rules(_docs(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars", "base_failed", "kept")
 
 
+def op4_ngram_jaccard_join(spark, sf_dir):
+    from strata.llm.ngram_join import link_components
+
+    return link_components(_docs(spark, sf_dir))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     from strata.llm.packing import pack
     from strata.llm.tokens import default_path
@@ -51,7 +57,7 @@ def op10_token_files(spark, sf_dir):
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_quality_rules, op6_best_fit_packing, op7_sharding, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_quality_rules, op4_ngram_jaccard_join, op6_best_fit_packing, op7_sharding, op10_token_files)}
 
 
 def _op3_sql() -> str:
