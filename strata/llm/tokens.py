@@ -12,8 +12,8 @@ import json
 import re
 import struct
 
-#: Words and pieces kept in a worker before its cache starts afresh: 60 MB or so.
-CACHE = 200_000
+#: Words, and pieces, of one of the two generations of a worker's cache: 70 MB each or so.
+CACHE = 300_000
 #: White space other than space and line feed, wherever Python or Unicode sees it.
 _OTHER_SPACE = [c for c in map(chr, (9, 11, 12, 13, 28, 29, 30, 31, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))]
 # fixed values: the pattern by which byte-level BPE cuts text
@@ -35,12 +35,13 @@ class Encoder:
         self.kind = self._kind(spec)
         if self.kind:
             self.pattern = regex.compile(_BYTE_PATTERN if self.kind == "byte" else spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.plain = re.compile("[\x21-\x7eÀ-ɏ]*").fullmatch
+        self.plain = re.compile("[\x21-\x7e\xc0-\u012f\u0131-\u024f]*").fullmatch  # lower-cased one by one
         self.split = re.compile(r"(?<=\S)(?= \S)").split
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         self.bytes_as = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.newline = self._whole(["\n"])[0] if self.kind == "byte" else b""
 
@@ -69,17 +70,23 @@ class Encoder:
 
     def _learn(self, keys) -> None:
         """Add the ids of each key: a word after a space, or with a line feed in front, one that starts a line."""
-        other = []
+        other, words, piece, older, lead = [], self.words, self._piece, self.older, "" if self.kind == "word" else " "
         for k in keys:
-            if self.kind == "word":
-                real = k
-            else:
-                real = k[1:] if k[:1] == "\n" else " " + k
-            if self.plain(k.lstrip("\n")):
-                cut = self.pattern.findall(real.lower() if self.kind == "word" else real)
-                self.words[k] = b"".join(map(self._piece, cut))
-            else:
+            if (got := older.get(k)) is not None:
+                words[k] = got
+                continue
+            real = k if not lead else k[1:] if k[:1] == "\n" else lead + k
+            if not self.plain(k.lstrip("\n")):
                 other.append((k, real))
+                continue
+            if not lead:
+                real = real.lower()
+            if k.isalpha():  # one piece
+                words[k] = piece(real)
+            elif k[-1:] in {".", ","} and k[:-1].isalpha():  # two
+                words[k] = piece(real[:-1]) + piece(real[-1])
+            else:
+                words[k] = b"".join(map(piece, self.pattern.findall(real)))
         if other:
             self.words.update(zip([k for k, _ in other], self._whole([r for _, r in other]), strict=True))
 
@@ -99,7 +106,7 @@ class Encoder:
         if not self.kind:
             return self._whole(texts)
         if len(self.words) > CACHE:
-            self.words.clear()
+            self.older, self.words = self.words, {}
         if len(self.pieces) > CACHE:
             self.pieces.clear()
         cut = [self._lines(t) for t in texts]
