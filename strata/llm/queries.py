@@ -12,6 +12,20 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _remainder(n: int):
+    """crc32(doc_id as text) mod n; null for a null id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op1_language_id(spark, sf_dir):
+    from strata.llm import language_id
+
+    docs = _docs(spark, sf_dir)
+    model = language_id.fit(docs.where(_remainder(3) != 1))
+    held = F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out")
+    return language_id.identify(docs, model).select("doc_id", held, F.col("nearest").alias("lang_pred"), "score", "rejected")
+
+
 def op2_line_dedup(spark, sf_dir):
     from strata.llm.line_dedup import dedup_lines
 
@@ -30,6 +44,12 @@ def op4_ngram_jaccard_join(spark, sf_dir):
     return link_components(_docs(spark, sf_dir))
 
 
+def op5_document_fingerprints(spark, sf_dir):
+    from strata.llm.fingerprints import fingerprint_edits
+
+    return fingerprint_edits(_docs(spark, sf_dir)).select("doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op6_best_fit_packing(spark, sf_dir):
     from strata.llm.packing import pack
     from strata.llm.tokens import default_path
@@ -48,6 +68,24 @@ def op7_sharding(spark, sf_dir):
     return assign_shards(_docs(spark, sf_dir).select("doc_id"), SHARDS, size=SLOTS).select("doc_id", "slot", "shard")
 
 
+def op8_quality_classifier(spark, sf_dir):
+    from strata.llm import quality_classifier as qc
+
+    docs = _docs(spark, sf_dir)
+    model = qc.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(_remainder(4) != 2))
+    held = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    return qc.score(docs, model).select("doc_id", held, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op9_mixing(spark, sf_dir):
+    from strata.llm import mixing
+
+    labels = mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    mixed = mixing.mix_sources(_docs(spark, sf_dir).select("doc_id", "text"), labels, mixing.TARGETS)
+    shares = [F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(mixing.TARGETS)]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
+
+
 def op10_token_files(spark, sf_dir):
     from strata.llm.token_files import read_token_files, write_token_files
     from strata.llm.tokens import default_path
@@ -57,7 +95,13 @@ def op10_token_files(spark, sf_dir):
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_quality_rules, op4_ngram_jaccard_join, op6_best_fit_packing, op7_sharding, op10_token_files)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id, op2_line_dedup, op3_quality_rules, op4_ngram_jaccard_join, op5_document_fingerprints,
+        op6_best_fit_packing, op7_sharding, op8_quality_classifier, op9_mixing, op10_token_files,
+    )
+}
 
 
 def _op3_sql() -> str:
