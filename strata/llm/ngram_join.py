@@ -6,11 +6,12 @@ they share is at place <= m - o in one set and <= n - o in the other. Only those
 a block for each column. A block's product gives the pairs that pass the bound; their overlap is then
 accumulated over slices of the columns, and a pair is dropped once what is left cannot lift it to o.
 
-Blocks never emit all their pairs. First each is multiplied by one row, its pivot (a star); accepted pairs join
+Blocks never emit all their pairs. First each is multiplied by one row, its pivot (a star): the products are counted
+over all columns, and each row is compared in full with the pivot of the largest count; accepted pairs join
 rows to components. Then only pairs across components that pass the bound are left, and the product is complete: a pair
 inside a component changes nothing. Documents with equal sets are one row from the start.
 
-The order puts frequent n-grams last: those most frequent in one sixteenth of the distinct texts, ``heavy`` of them at
+The order puts frequent n-grams last: those most frequent in one of 32 of the distinct texts, ``heavy`` of them at
 most. The order decides speed alone, not results.
 """
 
@@ -115,22 +116,73 @@ def overlap_bound_own(n: int, percent: int) -> int:
 
 def _wanted(k: int):
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        schema = pa.schema([("cls", pa.int64()), ("low", pa.list_(pa.int64())), ("high", pa.list_(pa.int64()))])
+        schema = pa.schema([("cls", pa.int64()), ("pivot", pa.int64()), ("is_pivot", pa.bool_()), ("grams", pa.binary())])
 
         def made():
             for b, i, s, c in _sets(batches, k):
                 if c == b["cls"][i].as_py():
-                    cut = int(np.searchsorted(s, np.uint64(1 << 62)))  # a quarter of the columns
-                    yield c, s[:cut].view(np.int64), s[cut:].view(np.int64)
+                    yield c, b["pivot"][i].as_py(), b["is_pivot"][i].as_py(), _packed(s)
 
         yield from _rows(made(), schema)
 
     return run
 
 
+def _packed(s) -> bytes:
+    """The upper 48 bits of sorted 64-bit hashes, six bytes each."""
+    import numpy as np
+
+    return np.ascontiguousarray(s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _unpacked(raw: bytes):
+    import numpy as np
+
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
+#: Ends of the column slices over which an overlap is accumulated: 1/16, 1/4 and all of the hash range.
+SLICES = (1 << 60, 1 << 62, 1 << 64)
+
+
+def overlaps(a, b, percent: int) -> bool:
+    """Whether two sorted sets reach the bound: their overlap grows slice by slice, and stops once it cannot."""
+    import numpy as np
+
+    o, count = overlap_bound(len(a), len(b), percent), 0
+    i = j = 0
+    for end in SLICES:
+        i2, j2 = (len(a), len(b)) if end == 1 << 64 else (int(np.searchsorted(a, np.uint64(end))), int(np.searchsorted(b, np.uint64(end))))
+        both = np.concatenate([a[i:i2], b[j:j2]])
+        both.sort(kind="stable")
+        count += int((both[1:] == both[:-1]).sum())
+        i, j = i2, j2
+        if count + min(len(a) - i, len(b) - j) < o:
+            return False
+    return True
+
+
+def _accepted(percent: int):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for t in batches:
+            keep, last, a = [], None, None
+            for raw_a, raw_b in zip(t["grams_a"], t["grams_b"], strict=True):
+                if (now := raw_a.as_py()) != last:
+                    last, a = now, _unpacked(now)
+                keep.append(overlaps(a, _unpacked(raw_b.as_py()), percent))
+            at = np.flatnonzero(keep)
+            yield pa.RecordBatch.from_arrays([t["a"].take(pa.array(at)), t["b"].take(pa.array(at))], names=["a", "b"])
+
+    return run
+
+
 def _heavy(docs: DataFrame, k: int, share: int, most: int):
     """(sorted hashes, rank by rising frequency) of at most ``most`` n-grams: 16 bytes each is the bound of the broadcast."""
     import numpy as np
@@ -156,7 +208,7 @@ def _heavy(docs: DataFrame, k: int, share: int, most: int):
     return gram, rank
 
 
-def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, sample_share: int = 16, heavy: int = 1 << 18) -> DataFrame:
+def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, sample_share: int = 32, heavy: int = 1 << 18) -> DataFrame:
     """(id, n_shingles, component_id), a row for each row of ``docs``: the smallest id reachable over links of ``percent`` or more.
 
     Sets are of distinct k-word shingles of the text, A-Z lower-cased; a text with fewer words has one shingle, all its words; one without
@@ -164,8 +216,9 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     their names cannot clash.
 
     Defined results: rows with equal sets are linked, repeated rows too; a row with a null id joins its equals' component, or has a null
-    component_id; very long texts are handled whole; an empty table gives an empty table. N-grams and sets are compared by
-    64-bit hashes: two different sets are taken for one with a chance of n**2 / 2**65 over n sets.
+    component_id; very long texts are handled whole; an empty table gives an empty table. Sets are compared by
+    64-bit hashes (two of n sets are taken for one with a chance of n**2 / 2**65), their n-grams by 48 bits of one (one more in common than there
+    is, with a chance of m * n / 2**48 for a pair).
     """
     spark = docs.sparkSession
     text = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
@@ -174,42 +227,58 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     order = spark.sparkContext.broadcast(_heavy(text, k, sample_share, heavy))
     leading = text.mapInArrow(_leading(k, percent, order), "cls bigint, n int, grams array<bigint>")
-    entries = leading.select("cls", "n", F.posexplode("grams").alias("pos", "gram"))
-    column = Window.partitionBy("gram")
-    blocks = entries.select(
-        "*", F.min("cls").over(column).alias("lo"), F.max("cls").over(column).alias("hi"), F.count("*").over(column).alias("rows"), F.min(F.struct("pos", "n", "cls")).over(column).alias("pivot")
-    ).where("lo <> hi")
-    blocks = stage(blocks.select("gram", "cls", "n", "pos", "rows", "pivot"), "blocks")
+    # one word holds the upper 48 bits of the n-gram and its place (at most 65535: a smaller place only prunes less)
+    entry = F.shiftleft(F.shiftright("g", 16), 16).bitwiseOR(F.least("p", F.lit(65535)).cast("bigint")).alias("entry")
+    entries = leading.select("cls", "n", F.posexplode("grams").alias("p", "g")).select(entry, "cls", "n").repartition(F.shiftright("entry", 16))
+    entries = entries.select(F.shiftright("entry", 16).alias("gram"), "cls", "n", F.col("entry").bitwiseAND(F.lit(65535)).cast("int").alias("pos"))
 
     def passes(n1, p1, n2, p2):
         o = _bound(F.col(n1), F.col(n2), percent)
         return (F.col(p1) <= F.col(n1) - o) & (F.col(p2) <= F.col(n2) - o)
 
-    stars = blocks.where(F.col("cls") != F.col("pivot.cls")).where(passes("n", "pos", "pivot.n", "pivot.pos"))
-    stars = stage(stars.select(F.least("cls", "pivot.cls").alias("a"), F.greatest("cls", "pivot.cls").alias("b")).distinct(), "stars")
-
-    # the full sets of rows that may be in a pair
-    wanted = blocks.where("rows > 2").select("cls").union(stars.select(F.explode(F.array("a", "b")).alias("cls"))).distinct().join(reps, "cls")
-    sets = text.join(wanted, text.doc == wanted.rep).select("cls", "text").mapInArrow(_wanted(k), "cls bigint, low array<bigint>, high array<bigint>")
+    # a row stays if the smallest partner it may have, and the partner with most to spare, would pass
+    column = Window.partitionBy("gram")
+    spare = (100 + percent) * (F.col("n") - F.col("pos")).cast("bigint")
+    own = percent * F.col("n").cast("bigint")
+    blocks = entries.select(
+        "*", F.min("cls").over(column).alias("lo"), F.max("cls").over(column).alias("hi"), F.count("*").over(column).alias("rows"), F.min("n").over(column).alias("least"),
+        F.max(spare - own).over(column).alias("most"), F.min(F.struct("pos", "n", "cls")).over(column).alias("pivot"),
+    ).where("lo <> hi").where(spare >= own + percent * F.greatest(F.col("least").cast("bigint"), F.ceil(own / 100.0 - 1e-9))).where(F.col("most") >= own)
+    starred = (F.col("cls") == F.col("p_cls")) | passes("n", "pos", "p_n", "p_pos")
+    blocks = blocks.select("gram", "cls", "n", "pos", "rows", F.col("pivot.cls").alias("p_cls"), F.col("pivot.n").alias("p_n"), F.col("pivot.pos").alias("p_pos"))
+    blocks = stage(blocks.select("gram", "cls", "n", "pos", "rows", "p_cls", starred.alias("starred")), "blocks")
+
+    def products(rows: DataFrame, more: Column) -> DataFrame:
+        x, y = rows.alias("x"), rows.alias("y")
+        both = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.cls") < F.col("y.cls")) & more & passes("x.n", "x.pos", "y.n", "y.pos"))
+        return both.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+
+    stars = blocks.where("starred AND cls <> p_cls").groupBy(F.col("p_cls").alias("a"), F.col("cls").alias("b")).agg(F.count("*").alias("c"))
+    stars = stage(stars, "stars")
+    first = stage(stars.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")), "first")
+    beside = stage(products(blocks.where("rows > 2"), ~(F.col("x.starred") & F.col("y.starred"))), "beside")
+
+    # the full sets of the rows of all these pairs, each with the pivot it is compared with first
+    ends = F.explode(F.array("a", "b")).alias("cls")
+    pivots = first.select(F.col("a").alias("cls")).distinct().withColumn("is_pivot", F.lit(True))
+    wanted = stars.select(ends).union(beside.select(ends)).distinct().join(first.select(F.col("b").alias("cls"), F.col("a").alias("pivot")), "cls", "left").join(pivots, "cls", "left").join(reps, "cls")
+    wanted = wanted.select("cls", "rep", "pivot", F.coalesce("is_pivot", F.lit(False)).alias("is_pivot"))
+    sets = text.join(wanted, text.doc == wanted.rep).select("cls", "pivot", "is_pivot", "text").mapInArrow(_wanted(k), "cls bigint, pivot bigint, is_pivot boolean, grams binary")
     sets = stage(sets, "sets")
 
-    def accepted(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("cls").alias("a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
-        b = sets.select(F.col("cls").alias("b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-        both = pairs.join(b, "b").join(a, "a")
-        o = _bound(F.size("low_a") + F.size("high_a"), F.size("low_b") + F.size("high_b"), percent)
-        low = F.size(F.array_intersect("low_a", "low_b"))
-        may = low + F.least(F.size("high_a"), F.size("high_b")) >= o
-        return both.where(may).where(low + F.size(F.array_intersect("high_a", "high_b")) >= o).select("a", "b")
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(F.col("cls").alias(name), F.col("grams").alias(f"grams_{name}"))
 
-    links = stage(accepted(stars), "links")
+    starring = sets.where("pivot IS NOT NULL").select(F.col("pivot").alias("a"), F.col("cls").alias("b"), F.col("grams").alias("grams_b"))
+    links = starring.join(side(sets.where("is_pivot"), "a"), "a").select("a", "b", "grams_a", "grams_b").mapInArrow(_accepted(percent), "a bigint, b bigint")
+    links = stage(links, "links")
     label = components(links)
-    inside = blocks.where("rows > 2").join(label.withColumnRenamed("node", "cls"), "cls", "left").select("gram", "cls", "n", "pos", F.coalesce("component", "cls").alias("comp"))
-    across = stage(inside.select("*", F.min("comp").over(column).alias("c0"), F.max("comp").over(column).alias("c1")).where("c0 <> c1").drop("c0", "c1"), "across")
-    x, y = across.alias("x"), across.alias("y")
-    rest = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp")) & passes("x.n", "x.pos", "y.n", "y.pos"))
-    rest = rest.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(accepted(stage(rest, "rest")))
+    inside = blocks.join(label.withColumnRenamed("node", "cls"), "cls", "left").select("gram", "cls", "n", "pos", F.coalesce("component", "cls").alias("comp"))
+    across = inside.select("*", F.min("comp").over(column).alias("c0"), F.max("comp").over(column).alias("c1")).where("c0 <> c1").drop("c0", "c1")
+    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = stage(products(stage(across, "across"), F.col("x.comp") != F.col("y.comp")).join(tried, ["a", "b"], "left_anti"), "rest")
+    more = rest.join(side(sets, "b"), "b").join(side(sets, "a"), "a").select("a", "b", "grams_a", "grams_b").mapInArrow(_accepted(percent), "a bigint, b bigint")
+    links = links.unionByName(stage(more, "links"))
 
     left, right = reps.select(F.col("cls").alias("a"), F.col("rep").alias("ra")), reps.select(F.col("cls").alias("b"), F.col("rep").alias("rb"))
     graph = components(links.join(left, "a").join(right, "b"), "ra", "rb")
