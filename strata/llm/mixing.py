@@ -4,7 +4,7 @@ A naive Bayes classifier, learnt from a labelled table, gives each document a po
 
     min  1/2 sum_k (sum_i r_i tokens_i p_ik - T_k)^2 / S_k  +  lambda / 2 sum_i tokens_i (r_i - 1)^2 / total,   r >= 0
 
-(S_k = sum_i tokens_i p_ik^2) by projected gradient: each step is one distributed sum per domain. A rate depends on the posterior alone, so
+(S_k = sum_i tokens_i p_ik^2) by projected gradient with momentum: each step is one distributed sum per domain. A rate depends on the posterior alone, so
 steps run over (posterior, tokens) sums, and the finished steps are replayed as one expression on each document. DataFrame functions only.
 """
 
@@ -86,16 +86,31 @@ def posteriors(docs: DataFrame, weights: list[list[float]], priors: list[float],
     return docs.withColumn("__m", let(_words(text), figures)).select(*[F.col(f"`{c}`") for c in docs.columns], "__m.n_tokens", "__m.posterior")
 
 
-def _rate(posterior: Column, steps: list[list[float]], eta: float, pull: float) -> Column:
-    """The rate after all steps: r <- max(0, r - eta (p . g + pull (r - 1)))."""
+def _state(posterior: Column, steps: list[list[float]], eta: float, pull: float) -> Column:
+    """(r, y) after all steps, a step being the gradient's domain parts and the momentum: r' <- max(0, y - eta (p . g + pull (y - 1))), y <- r' + m (r' - r)."""
+    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
     if not steps:
-        return F.lit(1.0)
-    dot = lambda g: F.aggregate(F.zip_with(posterior, g, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    return F.aggregate(F.array(*[F.array(*map(F.lit, g)) for g in steps]), F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - eta * (dot(g) + pull * (r - 1))))
+        return start
+    def dot(g):
+        return F.aggregate(F.zip_with(posterior, g, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
 
+    def step(s, x):
+        r = F.greatest(F.lit(0.0), s["y"] - eta * (dot(x["g"]) + pull * (s["y"] - 1)))
+        return let(r, lambda new: F.struct(new.alias("r"), (new + x["m"] * (new - s["r"])).alias("y")))
 
-def fit_rates(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull: float = 1e-3, steps: int = 60, tolerance: float = 1e-3):
-    """(steps taken, eta, pull) for rows (n_tokens, posterior): expected totals near shares x scale x all tokens."""
+    # the steps as one constant, which the optimizer folds
+    text = ";".join(",".join(f"{v:.12g}" for v in row) for row in steps)
+    rows = F.transform(F.split(F.lit(text), ";"), lambda row: F.split(row, ",").cast("array<double>"))
+    rows = F.transform(rows, lambda row: F.struct(F.slice(row, 1, len(steps[0]) - 1).alias("g"), F.element_at(row, len(steps[0])).alias("m")))
+    return F.aggregate(rows, start, step)
+
+
+def fit_rates(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull: float = 1e-3, steps: int = 30, tolerance: float = 5e-3):
+    """(steps taken, eta, pull) for rows (n_tokens, posterior): expected totals near shares x scale x all tokens.
+
+    Projected gradient with momentum; each step is one sum over the distinct posteriors. Ends when all totals are within ``tolerance`` of their
+    targets, or after ``steps``.
+    """
     k = len(shares)
     sums = stage(rows.groupBy("posterior").agg(F.sum("n_tokens").alias("tokens")), "posteriors")
     p = lambda i: F.col("posterior")[i]
@@ -105,12 +120,12 @@ def fit_rates(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull:
     target = [s / sum(shares) * scale * first["total"] for s in shares]
     curve = [max(first[f"s{i}"] or 0.0, 1e-9 * first["total"]) for i in range(k)]
     eta, taken = 1.0 / (k + pull), []
-    for _ in range(steps):
-        got = sums.withColumn("r", F.col("tokens") * _rate(F.col("posterior"), taken, eta, pull)).agg(*[F.sum(F.col("r") * p(i)) for i in range(k)]).first()
-        miss = [got[i] - target[i] for i in range(k)]
-        if max(abs(m) / max(t, 1e-9 * first["total"]) for m, t in zip(miss, target, strict=True)) < tolerance:
+    for t in range(steps):
+        at = sums.withColumn("s", _state(F.col("posterior"), taken, eta, pull)).select("posterior", (F.col("tokens") * F.col("s.r")).alias("r"), (F.col("tokens") * F.col("s.y")).alias("y"))
+        got = at.agg(*[F.sum(F.col(c) * p(i)) for c in "ry" for i in range(k)]).first()
+        if max(abs(g - x) / max(x, 1e-9 * first["total"]) for g, x in zip(got[:k], target, strict=True)) < tolerance:
             break
-        taken.append([m / c for m, c in zip(miss, curve, strict=True)])
+        taken.append([(g - x) / c for g, x, c in zip(got[k:], target, curve, strict=True)] + [t / (t + 3)])
     return taken, eta, pull
 
 
@@ -130,7 +145,7 @@ def mix_sources(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
     figures = stage(seen.select("n_tokens", "posterior"), "figures")
     taken, eta, pull = fit_rates(figures, list(targets.values()), scale=scale, **kw)
     chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    rated = seen.withColumn("rate", F.round(_rate(F.col("posterior"), taken, eta, pull), 6))
+    rated = seen.withColumn("rate", F.round(_state(F.col("posterior"), taken, eta, pull)["r"], 6))
     return rated.withColumn("copies", F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1).otherwise(0))
 
 
