@@ -1,15 +1,14 @@
 """Similarity self-join of documents on word n-grams: a blocked sparse matrix product with size-derived bounds.
 
 The matrix has a row for each distinct n-gram set and a column for each n-gram. Two sets of sizes m and n that reach the
-similarity t share at least o(m, n) = ceil(t (m + n) / (1 + t)) n-grams, so, with all n-grams in one global order, the first
-they share is at place <= m - o in one set and <= n - o in the other. Only those leading entries are stored,
-a block for each column. A block's product gives the pairs that pass the bound; their overlap is then
-accumulated over slices of the columns, and a pair is dropped once what is left cannot lift it to o.
+similarity t share at least o(m, n) = ceil(t (m + n) / (1 + t)) n-grams, so, with all n-grams in one global order, their first m - o + l
+and n - o + l entries share at least l. Only the leading entries that this can ever ask for are stored, a block for each column. Products of blocks
+are summed to overlap counts, pairs below l are dropped, and the others' overlap is accumulated over slices of all columns until it
+reaches o or cannot.
 
-Blocks never emit all their pairs. First each is multiplied by one row, its pivot (a star): the products are counted
-over all columns, and each row is compared in full with the pivot of the largest count; accepted pairs join
-rows to components. Then only pairs across components that pass the bound are left, and the product is complete: a pair
-inside a component changes nothing. Documents with equal sets are one row from the start.
+Blocks never emit all their pairs. First each is multiplied by one row, its pivot (a star), and each row is compared in full with
+the pivot of the largest count; accepted pairs join rows to components. Then only pairs across components are left, and the product is
+complete: a pair inside a component changes nothing. Documents with equal sets are one row from the start.
 
 The order puts frequent n-grams last: those most frequent in one of 32 of the distinct texts, ``heavy`` of them at
 most. The order decides speed alone, not results.
@@ -114,22 +113,74 @@ def overlap_bound_own(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _wanted(k: int):
+#: Most bits of the filter of wanted ids that is broadcast (8 MB); beyond, texts are joined by id instead.
+FILTER_BITS = 1 << 26
+
+
+def _places(ids, bits: int):
+    """Three places of each id in a filter of ``bits`` bits (a power of two)."""
+    import numpy as np
+
+    from strata.llm.wordhash import mix
+
+    return [mix(ids.astype(np.uint64), salt) & np.uint64(bits - 1) for salt in (31, 32, 33)]
+
+
+def _masks(bits: int):
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
-        schema = pa.schema([("cls", pa.int64()), ("pivot", pa.int64()), ("is_pivot", pa.bool_()), ("grams", pa.binary())])
+        for b in batches:
+            at = np.concatenate(_places(b["rep"].to_numpy(zero_copy_only=False), bits))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int32)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], names=["word", "mask"])
 
-        def made():
-            for b, i, s, c in _sets(batches, k):
-                if c == b["cls"][i].as_py():
-                    yield c, b["pivot"][i].as_py(), b["is_pivot"][i].as_py(), _packed(s)
+    return run
+
+
+def _sets_of(k: int, bits: int, words):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        yield from _rows(made(), schema)
+        schema = pa.schema([("cls", pa.int64()), ("grams", pa.binary())])
+
+        def some():
+            for b in batches:
+                b = b.filter(pc.is_valid(b["doc"]))
+                if words is None or not b.num_rows:
+                    yield b
+                    continue
+                hit = np.ones(b.num_rows, bool)
+                for at in _places(b["doc"].to_numpy(), bits):
+                    hit &= (words.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+                yield b.filter(pa.array(hit))
+
+        yield from _rows(((c, _packed(s)) for _, _, s, c in _sets(some(), k) if c is not None), schema)
 
     return run
 
 
+def _fetch(text: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(cls, grams) of the wanted rows (cls, rep), staged; a few others may be among them.
+
+    Ids pass through a Bloom filter of 16 bits each where it fits FILTER_BITS, so that texts aren't shuffled; else texts are joined by id.
+    """
+    import numpy as np
+
+    spark, n = text.sparkSession, wanted.count()
+    bits = 1 << max(16, (16 * n).bit_length())
+    if bits <= FILTER_BITS:
+        got = wanted.select("rep").where("rep IS NOT NULL").mapInArrow(_masks(bits), "word int, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+        words = np.zeros(bits >> 6, np.uint64)
+        words[got["word"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
+        made = text.mapInArrow(_sets_of(k, bits, spark.sparkContext.broadcast(words)), "cls bigint, grams binary")
+    else:
+        made = text.join(wanted.select("rep"), text.doc == F.col("rep"), "left_semi").mapInArrow(_sets_of(k, bits, None), "cls bigint, grams binary")
+    return stage(made, "sets")
+
+
 def _packed(s) -> bytes:
     """The upper 48 bits of sorted 64-bit hashes, six bytes each."""
     import numpy as np
@@ -232,53 +283,51 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     entries = leading.select("cls", "n", F.posexplode("grams").alias("p", "g")).select(entry, "cls", "n").repartition(F.shiftright("entry", 16))
     entries = entries.select(F.shiftright("entry", 16).alias("gram"), "cls", "n", F.col("entry").bitwiseAND(F.lit(65535)).cast("int").alias("pos"))
 
-    def passes(n1, p1, n2, p2):
-        o = _bound(F.col(n1), F.col(n2), percent)
-        return (F.col(p1) <= F.col(n1) - o) & (F.col(p2) <= F.col(n2) - o)
+    def prefix(m, n, pm, pn, l):
+        o = _bound(m, n, percent)
+        return (pm < m - o + l) & (pn < n - o + l)
+
+    def least(m, n):
+        """How many entries the stored prefixes of two similar sets share at least."""
+        own = lambda x: F.ceil(F.lit(percent) * x / 100.0 - 1e-9)
+        return (_bound(m, n, percent) - F.greatest(own(m), own(n)) + 1).cast("int")
 
-    # a row stays if the smallest partner it may have, and the partner with most to spare, would pass
     column = Window.partitionBy("gram")
-    spare = (100 + percent) * (F.col("n") - F.col("pos")).cast("bigint")
-    own = percent * F.col("n").cast("bigint")
-    blocks = entries.select(
-        "*", F.min("cls").over(column).alias("lo"), F.max("cls").over(column).alias("hi"), F.count("*").over(column).alias("rows"), F.min("n").over(column).alias("least"),
-        F.max(spare - own).over(column).alias("most"), F.min(F.struct("pos", "n", "cls")).over(column).alias("pivot"),
-    ).where("lo <> hi").where(spare >= own + percent * F.greatest(F.col("least").cast("bigint"), F.ceil(own / 100.0 - 1e-9))).where(F.col("most") >= own)
-    starred = (F.col("cls") == F.col("p_cls")) | passes("n", "pos", "p_n", "p_pos")
-    blocks = blocks.select("gram", "cls", "n", "pos", "rows", F.col("pivot.cls").alias("p_cls"), F.col("pivot.n").alias("p_n"), F.col("pivot.pos").alias("p_pos"))
-    blocks = stage(blocks.select("gram", "cls", "n", "pos", "rows", "p_cls", starred.alias("starred")), "blocks")
-
-    def products(rows: DataFrame, more: Column) -> DataFrame:
-        x, y = rows.alias("x"), rows.alias("y")
-        both = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.cls") < F.col("y.cls")) & more & passes("x.n", "x.pos", "y.n", "y.pos"))
-        return both.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-
-    stars = blocks.where("starred AND cls <> p_cls").groupBy(F.col("p_cls").alias("a"), F.col("cls").alias("b")).agg(F.count("*").alias("c"))
-    stars = stage(stars, "stars")
+    pivot = F.min(F.struct("pos", "n", "cls")).over(column)
+    blocks = entries.select("*", F.min("cls").over(column).alias("lo"), F.max("cls").over(column).alias("hi"), pivot.alias("p")).where("lo <> hi")
+    first_entry = (F.col("cls") != F.col("p.cls")) & prefix(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"), 1)
+    blocks = stage(blocks.groupBy("gram", "cls").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min(F.when(first_entry, F.col("p.cls"))).alias("pivot")), "blocks")
+
+    stars = blocks.where("pivot IS NOT NULL").groupBy(F.col("pivot").alias("a"), F.col("cls").alias("b")).agg(F.count("*").alias("c"))
     first = stage(stars.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")), "first")
-    beside = stage(products(blocks.where("rows > 2"), ~(F.col("x.starred") & F.col("y.starred"))), "beside")
-
-    # the full sets of the rows of all these pairs, each with the pivot it is compared with first
-    ends = F.explode(F.array("a", "b")).alias("cls")
-    pivots = first.select(F.col("a").alias("cls")).distinct().withColumn("is_pivot", F.lit(True))
-    wanted = stars.select(ends).union(beside.select(ends)).distinct().join(first.select(F.col("b").alias("cls"), F.col("a").alias("pivot")), "cls", "left").join(pivots, "cls", "left").join(reps, "cls")
-    wanted = wanted.select("cls", "rep", "pivot", F.coalesce("is_pivot", F.lit(False)).alias("is_pivot"))
-    sets = text.join(wanted, text.doc == wanted.rep).select("cls", "pivot", "is_pivot", "text").mapInArrow(_wanted(k), "cls bigint, pivot bigint, is_pivot boolean, grams binary")
-    sets = stage(sets, "sets")
-
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select(F.col("cls").alias(name), F.col("grams").alias(f"grams_{name}"))
-
-    starring = sets.where("pivot IS NOT NULL").select(F.col("pivot").alias("a"), F.col("cls").alias("b"), F.col("grams").alias("grams_b"))
-    links = starring.join(side(sets.where("is_pivot"), "a"), "a").select("a", "b", "grams_a", "grams_b").mapInArrow(_accepted(percent), "a bigint, b bigint")
-    links = stage(links, "links")
-    label = components(links)
-    inside = blocks.join(label.withColumnRenamed("node", "cls"), "cls", "left").select("gram", "cls", "n", "pos", F.coalesce("component", "cls").alias("comp"))
+
+    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        a, b = (sets.select(F.col("cls").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab")
+        ends = pairs.select("a").distinct()  # only these sets are dealt a second time
+        both = pairs.join(b, "b").join(a.join(ends, "a", "left_semi"), "a").select("a", "b", "grams_a", "grams_b")
+        return stage(both.mapInArrow(_accepted(percent), "a bigint, b bigint"), "links")
+
+    def classes(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+
+    sets = _fetch(text, classes(first).join(reps, "cls"), k)
+    links = verified(first, sets)
+
+    # the rest: pairs across components, among rows with an entry that may be the first of a pair
+    label = components(links).withColumnsRenamed({"node": "cls"})
+    may = blocks.where(F.col("pos") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") * (1 + percent / 100.0) / (100 + percent) - 1e-9)).select("cls").distinct()
+    live = may.join(label, "cls", "left").select("cls", F.coalesce("component", "cls").alias("comp"))
+    inside = blocks.select("gram", "cls", "n", "pos").join(live, "cls")
     across = inside.select("*", F.min("comp").over(column).alias("c0"), F.max("comp").over(column).alias("c1")).where("c0 <> c1").drop("c0", "c1")
+    across = stage(across, "across")
+    x, y = across.alias("x"), across.alias("y")
+    n_x, n_y = F.col("x.n"), F.col("y.n")
+    pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp")) & prefix(n_x, n_y, F.col("x.pos"), F.col("y.pos"), least(n_x, n_y)))
+    pairs = pairs.groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), n_x.alias("m"), n_y.alias("n")).agg(F.count("*").alias("c")).where(F.col("c") >= least(F.col("m"), F.col("n")))
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(products(stage(across, "across"), F.col("x.comp") != F.col("y.comp")).join(tried, ["a", "b"], "left_anti"), "rest")
-    more = rest.join(side(sets, "b"), "b").join(side(sets, "a"), "a").select("a", "b", "grams_a", "grams_b").mapInArrow(_accepted(percent), "a bigint, b bigint")
-    links = links.unionByName(stage(more, "links"))
+    rest = stage(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"), "rest")
+    new = classes(rest).join(classes(first), "cls", "left_anti").join(reps, "cls")
+    links = links.unionByName(verified(rest, sets.unionByName(_fetch(text, new, k))))
 
     left, right = reps.select(F.col("cls").alias("a"), F.col("rep").alias("ra")), reps.select(F.col("cls").alias("b"), F.col("rep").alias("rb"))
     graph = components(links.join(left, "a").join(right, "b"), "ra", "rb")
