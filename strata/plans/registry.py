@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from strata.plans import recency
+from strata.plans import recency, tables
 
-MODULES = (recency,)
+MODULES = (recency, tables)
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE = {name: q for m in MODULES for name, q in m.ORACLE.items()}
