@@ -13,6 +13,9 @@ from strata.functions.shared import stage
 from strata.llm import line_dedup, mixing, ngram_join, packing, quality_rules
 from strata.llm.tokens import default_path
 
+#: Shares of tokens the mix is to have. Low-quality documents are gone by then; the total grows by a tenth, so that clean documents have rates of 1 or more.
+TARGETS, SCALE = {"clean": 0.95, "toxic": 0.05}, 1.1
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -39,7 +42,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its rate says: 0, 1 or more rows."""
     labels = mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    mixed = mixing.mix_sources(docs, labels, mixing.TARGETS)
+    mixed = mixing.mix_sources(docs, labels, TARGETS, scale=SCALE)
     return mixed.select(*COLUMNS, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
 
 

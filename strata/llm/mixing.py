@@ -37,11 +37,12 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *, id_col: str = "doc_id", text_col: str = "text", sample: int = 8000, smooth: float = 20.0):
-    """(for each domain the log ratio of each bucket, log priors of the domains).
+def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *, id_col: str = "doc_id", text_col: str = "text", sample: int = 8000, least_z: float = 3.0, least_lift: float = 2.5):
+    """(for each domain the log odds of each bucket, for each domain the score of a text with none): Bernoulli naive Bayes.
 
     Learns from a sample of at most ``sample`` labelled rows (id, domain), picked by a hash of the id, which is what is broadcast
-    (32 bytes a row). A ratio is log((count + smooth) / (expected count + smooth)): rare words say little.
+    (32 bytes a row). Only buckets count that some domain's texts have ``least_lift`` times as often as all texts, and ``least_z`` deviations more than its share
+    would give: what a short text hasn't then says little.
     """
     labelled = labelled.where(F.col("id").isNotNull() & F.col("domain").isin(domains)).groupBy("id").agg(F.min("domain").alias("domain"))
     h = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
@@ -49,23 +50,26 @@ def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *,
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(picked), "id")
     rows = rows.select("domain", _buckets(F.col("text"), _words(F.col("text"))).alias("b"))
-    counts = stage(rows.select("domain", F.explode("b").alias("bucket")).groupBy("domain", "bucket").agg(F.count("*").alias("n")), "domain-counts")
-    totals = {r["domain"]: r["n"] for r in counts.groupBy("domain").agg(F.sum("n").alias("n")).collect()}
-    texts = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
-    everything, n_texts = sum(totals.values()) or 1, sum(texts.values())
-    own = [F.coalesce(F.sum(F.when(F.col("domain") == d, F.col("n"))), F.lit(0)) for d in domains]
-    ratios = [F.log((n + smooth) / (F.sum("n") * (totals.get(d, 0) / everything) + smooth)) for d, n in zip(domains, own, strict=True)]
-    by_bucket = counts.groupBy("bucket").agg(F.array(*ratios).alias("w"))
-    table = [[0.0] * BUCKETS for _ in domains]
-    for r in by_bucket.collect():  # domains x 2**14 numbers at most
-        for k, w in enumerate(r["w"]):
-            table[k][r["bucket"]] = w
-    priors = [math.log((texts.get(d, 0) + 1) / (n_texts + len(domains))) for d in domains]
-    return table, priors
-
-
-def posteriors(docs: DataFrame, weights: list[list[float]], priors: list[float], *, text_col: str = "text", temper: float = 0.5) -> DataFrame:
-    """``docs`` with n_tokens (words of letters and digits) and posterior (array, to four places), both from the whole text."""
+    # every text has the bucket -1, which counts the texts of a domain
+    counts = stage(rows.select("domain", F.explode(F.concat("b", F.array(F.lit(-1)))).alias("bucket")).groupBy("domain", "bucket").agg(F.count("*").alias("n")), "domain-counts")
+    texts = {r["domain"]: r["n"] for r in counts.where("bucket = -1").collect()}
+    n_texts = sum(texts.values())
+    odds, base = [[0.0] * BUCKETS for _ in domains], [math.log((texts.get(d, 0) + 1) / (n_texts + len(domains))) for d in domains]
+    if n_texts:
+        own = [F.coalesce(F.sum(F.when(F.col("domain") == d, F.col("n"))), F.lit(0)) for d in domains]
+        expected = [F.sum("n") * (texts.get(d, 0) / n_texts) for d in domains]
+        marked = [(n - e >= least_z * F.sqrt(e + 1)) & (n >= least_lift * e) for n, e in zip(own, expected, strict=True)]
+        table = counts.where("bucket >= 0").groupBy("bucket").agg(F.array(*marked).alias("marked"), F.array(*own).alias("n")).where(F.array_contains("marked", True))
+        for r in table.orderBy("bucket").collect():  # 2**14 rows at most
+            for k, d in enumerate(domains):
+                p = (r["n"][k] + 1) / (texts.get(d, 0) + 2)
+                odds[k][r["bucket"]] = math.log(p / (1 - p))
+                base[k] += math.log(1 - p)
+    return odds, base
+
+
+def posteriors(docs: DataFrame, weights: list[list[float]], base: list[float], *, text_col: str = "text", temper: float = 1.0) -> DataFrame:
+    """``docs`` with n_tokens (words of letters and digits) and posterior (array, to three places), both from the whole text."""
     docs = without(docs, "n_tokens", "posterior")
     text = F.coalesce(F.col(text_col), F.lit(""))
     # constants of the plan: the optimizer folds each text of numbers to one array literal
@@ -73,13 +77,13 @@ def posteriors(docs: DataFrame, weights: list[list[float]], priors: list[float],
 
     def figures(words):
         def normal(logits):
-            return let(F.transform(logits, lambda x: F.exp(F.greatest(x - F.array_max(logits), F.lit(-30.0)))), lambda e: F.transform(e, lambda x: F.round(x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b), 4)))
+            return let(F.transform(logits, lambda x: F.exp(F.greatest(x - F.array_max(logits), F.lit(-30.0)))), lambda e: F.transform(e, lambda x: F.round(x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b), 3)))
 
         def total(b, k):
             return F.aggregate(b, F.lit(0.0), lambda acc, i: acc + table[k][i])
 
         def logits(b):
-            return F.array(*[F.lit(prior) + temper * total(b, k) for k, prior in enumerate(priors)])
+            return F.array(*[temper * (F.lit(score) + total(b, k)) for k, score in enumerate(base)])
 
         return F.struct(F.size(words).cast("long").alias("n_tokens"), let(_buckets(text, words), lambda b: let(logits(b), normal)).alias("posterior"))
 
@@ -105,7 +109,7 @@ def _state(posterior: Column, steps: list[list[float]], eta: float, pull: float)
     return F.aggregate(rows, start, step)
 
 
-def fit_rates(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull: float = 1e-3, steps: int = 30, tolerance: float = 5e-3):
+def fit_rates(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull: float = 1e-3, steps: int = 60, tolerance: float = 5e-3):
     """(steps taken, eta, pull) for rows (n_tokens, posterior): expected totals near shares x scale x all tokens.
 
     Projected gradient with momentum; each step is one sum over the distinct posteriors. Ends when all totals are within ``tolerance`` of their
@@ -140,8 +144,8 @@ def mix_sources(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
     """
     docs = without(docs, "n_tokens", "posterior", "rate", "copies")
     domains = list(targets)
-    weights, priors = domain_weights(docs, labelled, domains, id_col=id_col, text_col=text_col)
-    seen = posteriors(docs, weights, priors, text_col=text_col)
+    weights, base = domain_weights(docs, labelled, domains, id_col=id_col, text_col=text_col)
+    seen = posteriors(docs, weights, base, text_col=text_col)
     figures = stage(seen.select("n_tokens", "posterior"), "figures")
     taken, eta, pull = fit_rates(figures, list(targets.values()), scale=scale, **kw)
     chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
