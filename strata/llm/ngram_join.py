@@ -113,6 +113,8 @@ def overlap_bound_own(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+#: Most pairs of rows that are broadcast to the sets (24 bytes each); beyond, the sets are shuffled to them.
+BROADCAST_PAIRS = 1 << 20
 #: Most bits of the filter of wanted ids that is broadcast (8 MB); beyond, texts are joined by id instead.
 FILTER_BITS = 1 << 26
 
@@ -259,7 +261,7 @@ def _heavy(docs: DataFrame, k: int, share: int, most: int):
     return gram, rank
 
 
-def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, sample_share: int = 32, heavy: int = 1 << 18) -> DataFrame:
+def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, sample_share: int = 32, heavy: int = 1 << 18, shared: int = 3) -> DataFrame:
     """(id, n_shingles, component_id), a row for each row of ``docs``: the smallest id reachable over links of ``percent`` or more.
 
     Sets are of distinct k-word shingles of the text, A-Z lower-cased; a text with fewer words has one shingle, all its words; one without
@@ -288,9 +290,9 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return (pm < m - o + l) & (pn < n - o + l)
 
     def least(m, n):
-        """How many entries the stored prefixes of two similar sets share at least."""
+        """How many entries the stored prefixes of two similar sets share at least, up to ``shared``: more would multiply the products for little."""
         own = lambda x: F.ceil(F.lit(percent) * x / 100.0 - 1e-9)
-        return (_bound(m, n, percent) - F.greatest(own(m), own(n)) + 1).cast("int")
+        return F.least(_bound(m, n, percent) - F.greatest(own(m), own(n)) + 1, F.lit(shared)).cast("int")
 
     column = Window.partitionBy("gram")
     pivot = F.min(F.struct("pos", "n", "cls")).over(column)
@@ -304,7 +306,9 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         a, b = (sets.select(F.col("cls").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab")
         ends = pairs.select("a").distinct()  # only these sets are dealt a second time
-        both = pairs.join(b, "b").join(a.join(ends, "a", "left_semi"), "a").select("a", "b", "grams_a", "grams_b")
+        if pairs.count() <= BROADCAST_PAIRS:
+            pairs, ends = F.broadcast(pairs), F.broadcast(ends)
+        both = b.join(pairs, "b").join(a.join(ends, "a", "left_semi"), "a").select("a", "b", "grams_a", "grams_b")
         return stage(both.mapInArrow(_accepted(percent), "a bigint, b bigint"), "links")
 
     def classes(pairs: DataFrame) -> DataFrame:
