@@ -109,7 +109,7 @@ def _state(posterior: Column, steps: list[list[float]], eta: float, pull: float)
     return F.aggregate(rows, start, step)
 
 
-def fit_rates(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull: float = 1e-3, steps: int = 60, tolerance: float = 5e-3):
+def fit_rates(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull: float = 1e-3, steps: int = 60, tolerance: float = 1e-2):
     """(steps taken, eta, pull) for rows (n_tokens, posterior): expected totals near shares x scale x all tokens.
 
     Projected gradient with momentum; each step is one sum over the distinct posteriors. Ends when all totals are within ``tolerance`` of their
