@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Private-use characters that stand for protected ones while quotes are flipped; rows that hold them already are not repaired.
-_APOSTROPHE, _QUOTE, _LITERAL = "", "", ""
+_APOSTROPHE, _QUOTE, _LITERAL = "\ue000", "\ue001", "\ue002"
 _CURLY = ("“”„‘’", "\"\"\"''")
 
 
@@ -51,7 +51,7 @@ def _restore(c: Column) -> Column:
 
 def _loose(c: Column, numbers: bool, dates: bool) -> Column:
     """Unquoted keys, control characters, bare backslashes and trailing commas; with flags, numbers like 007 and bare dates as text."""
-    c = F.regexp_replace(c, r'\\(?!["\\/bfnrtu])', r"\\\\\\\\")
+    c = F.regexp_replace(c, r'\\(?!["\\/bfnrtu])', r"\\\\")
     c = F.replace(F.replace(F.replace(c, F.lit("\t"), F.lit("\\t")), F.lit("\r"), F.lit("\\r")), F.lit("\n"), F.lit("\\n"))
     c = F.regexp_replace(c, r",(\s|\\n)*([}\]])", "$2")
     c = F.regexp_replace(c, r"([{,](?:\s|\\n)*)([A-Za-z_]\w*)\s*:", '$1"$2":')

@@ -83,7 +83,7 @@ def process_table(raw: DataFrame, target: DataFrame | None, cfg: Config, *, quar
     if cfg.map_prefix:
         flat = extract_map(flat, prefix=cfg.map_prefix)
     flat = stage(flat, "parent")
-    metrics |= {"parsed_valid": good.count(), "parsed_null": metrics["deduped_rows"] - good.count(), "quarantined_new": bad.count(), "mode": "rebuild" if rebuild else "full" if target is None else "cdc"}
+    metrics |= {"parsed_valid": good.count(), "parsed_null": metrics["rung_stats"].get("none", 0), "quarantined_new": bad.count(), "mode": "rebuild" if rebuild else "full" if target is None else "cdc"}
     all_null_guard(flat.drop("bronze_insert_date", "bronze_updated_at", "payload_hash"))
     key = cfg.key or find_key(flat.drop("payload_hash"), table=cfg.silver)
     null_keys = spark.createDataFrame([], "table_name string, pk_column string, payload_hash string, row_json string")
