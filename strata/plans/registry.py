@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from strata.plans import ledgers, recency, tables
+from strata.plans import domain, ledgers, recency, tables
 
-MODULES = (recency, tables, ledgers)
+MODULES = (recency, tables, ledgers, domain)
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE = {name: q for m in MODULES for name, q in m.ORACLE.items()}
