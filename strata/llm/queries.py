@@ -136,6 +136,17 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (lost)::BIGINT AS n_
 FROM m GROUP BY doc_id"""
 
 
+_OP4_SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g FROM w, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 2))) AS i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+r(x, y) AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m.y, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) m ON m.x = d.doc_id"""
+
+
 def _op7_sql() -> str:
     from strata.llm.sharding import fill_table
 
@@ -146,4 +157,4 @@ SELECT doc_id, slot, 'shard-' || lpad(([{table}])[slot + 1]::VARCHAR, 3, '0') AS
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": _OP2_SQL, "op3_quality_rules": _op3_sql(), "op7_sharding": _op7_sql()}
+    return {"op2_line_dedup": _OP2_SQL, "op3_quality_rules": _op3_sql(), "op4_ngram_jaccard_join": _OP4_SQL, "op7_sharding": _op7_sql()}
