@@ -47,7 +47,7 @@ class OpenBins:
         return {b for x in self.free for b in x}
 
 
-def _packed(path: str, id_type, size: int, most: int, end_id: int):
+def _packed(path: str, id_type, size: int, most: int, end_id: int, window: int):
     def run(batches: Iterator) -> Iterator:
         import struct
 
@@ -65,20 +65,25 @@ def _packed(path: str, id_type, size: int, most: int, end_id: int):
                  pa.array([base + b for b in bin_], pa.int64()), pa.array(offset, pa.int64()), pa.array([is_open] * len(rows), pa.bool_())],
                 names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset", "open"])
 
+        def place(ahead: list):
+            """Place the pieces read ahead, longest first; yields the rows of bins that have closed since."""
+            for doc, k, part in sorted(ahead, key=lambda x: -len(x[2])):
+                bin_, offset = bins.place(len(part) // 4)
+                waiting.setdefault(bin_, []).append((doc, k, part, bin_, offset))
+            still = bins.open()
+            if closed := [r for x in [x for x in waiting if x not in still] for r in waiting.pop(x)]:
+                yield out(closed, False)
+
+        ahead: list = []
         for b in slices(batches, "text"):
-            closed: list = []
             texts = [t or "" for t in b["text"].to_pylist()]
             for doc, ids in zip(b["doc_id"].to_pylist(), enc.encode(texts), strict=True):
                 ids += end
-                for k in range(0, len(ids), width):
-                    part = ids[k : k + width]
-                    bin_, offset = bins.place(len(part) // 4)
-                    waiting.setdefault(bin_, []).append((doc, k // width, part, bin_, offset))
-            still = bins.open()
-            for bin_ in [x for x in waiting if x not in still]:
-                closed += waiting.pop(bin_)
-            if closed:
-                yield out(closed, False)
+                ahead += [(doc, k // width, ids[k : k + width]) for k in range(0, len(ids), width)]
+                if len(ahead) >= window:
+                    yield from place(ahead)
+                    ahead = []
+        yield from place(ahead)
         if waiting:
             yield out([r for rows in waiting.values() for r in rows], True)
 
@@ -98,11 +103,12 @@ def _repacked(size: int, most: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, open_bins: int = 256, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, open_bins: int = 1024, window: int = 1000, end_id: int = 0) -> DataFrame:
     """Pieces of all documents, placed in sequences of at most ``size`` tokens.
 
     Returns doc_id, piece, start, length, ids (binary, little-endian unsigned 32-bit), sequence_id, offset. A document is its ids and
-    ``end_id``; only longer ones than ``size`` are cut. Each task packs its own rows in their order, holding ``open_bins`` bins; the bins
+    ``end_id``; only longer ones than ``size`` are cut. Each task packs its own rows as they come, ``window`` pieces at a time and the longest of
+    those first, holding ``open_bins`` bins; the bins
     still open at a task's end (a bounded number) are packed once more, as wholes, across tasks.
 
     Defined results: a null or empty text is ``end_id`` alone; repeated rows are packed each; a null id stays null; an empty table gives no
@@ -115,10 +121,10 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
 
     arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
     schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids binary, sequence_id bigint, offset bigint, open boolean"
-    pieces = stage(docs.mapInArrow(_packed(tokenizer, arrow_id, size, open_bins, end_id), schema), "pieces", partition_by=("open",))
+    pieces = stage(docs.mapInArrow(_packed(tokenizer, arrow_id, size, open_bins, end_id, window), schema), "pieces", partition_by=("open",))
     closed, left = pieces.where(~F.col("open")).drop("open"), pieces.where("open").drop("open")
     used = left.groupBy("sequence_id").agg(F.max(F.col("offset") + F.col("length")).alias("used"))
-    few = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16)
-    moved = used.repartition(few, "sequence_id").sortWithinPartitions(F.xxhash64("sequence_id")).mapInArrow(_repacked(size, open_bins), "from_id bigint, to_id bigint, shift bigint")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    moved = used.repartition(n, "sequence_id").sortWithinPartitions(F.col("used").desc(), "sequence_id").mapInArrow(_repacked(size, open_bins), "from_id bigint, to_id bigint, shift bigint")
     left = left.join(moved, left.sequence_id == moved.from_id).select("doc_id", "piece", "start", "length", "ids", F.col("to_id").alias("sequence_id"), (F.col("offset") + F.col("shift")).alias("offset"))
     return closed.select(left.columns).unionByName(left)
