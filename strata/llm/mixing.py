@@ -24,17 +24,26 @@ def _share(count: Column, n: Column) -> Column:
     return F.floor(F.least(10 * count / F.greatest(n, F.lit(1)), F.lit(6))).cast("string")
 
 
+def _hashed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+
+
 def _buckets(text: Column, words: Column) -> Column:
     """Distinct hashed features: words, and coarse shares of symbols, marks, capitals and distinct words."""
     n = F.size(words)
-    shape = F.array(
-        F.concat(F.lit("#symbols "), _share(F.regexp_count(text, F.lit("[#*$%&|<>]")), n)), F.concat(F.lit("#marks "), _share(F.regexp_count(text, F.lit("[!?]")), n)),
-        F.concat(F.lit("#capitals "), _share(F.regexp_count(text, F.lit("[A-Z]")), F.length(text))), F.concat(F.lit("#distinct "), _share(F.size(F.array_distinct(words)), n)))
-    return F.array_distinct(F.transform(F.concat(words, shape), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")))
+
+    def all_of(distinct):
+        shape = F.array(
+            F.concat(F.lit("#symbols "), _share(F.regexp_count(text, F.lit("[#*$%&|<>]")), n)), F.concat(F.lit("#marks "), _share(F.regexp_count(text, F.lit("[!?]")), n)),
+            F.concat(F.lit("#capitals "), _share(F.regexp_count(text, F.lit("[A-Z]")), F.length(text))), F.concat(F.lit("#distinct "), _share(F.size(distinct), n)))
+        return F.array_union(distinct, _hashed(shape))
+
+    return let(F.array_distinct(_hashed(words)), all_of)
 
 
 def _words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    """Runs of a-z, digits and characters beyond ASCII, in lower case."""
+    return F.array_remove(F.split(F.lower(text), r"[\x00-/:-`{-\x7f]+"), "")
 
 
 def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *, id_col: str = "doc_id", text_col: str = "text", sample: int = 8000, least_z: float = 3.0, least_lift: float = 2.5):
@@ -69,11 +78,13 @@ def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *,
 
 
 def posteriors(docs: DataFrame, weights: list[list[float]], base: list[float], *, text_col: str = "text", temper: float = 1.0) -> DataFrame:
-    """``docs`` with n_tokens (words of letters and digits) and posterior (array, to three places), both from the whole text."""
+    """``docs`` with n_tokens (runs of letters and digits) and posterior (array, to three places), both from the whole text."""
     docs = without(docs, "n_tokens", "posterior")
     text = F.coalesce(F.col(text_col), F.lit(""))
     # constants of the plan: the optimizer folds each text of numbers to one array literal
     table = [F.split(F.lit(",".join(f"{w:.4g}" for w in row)), ",").cast("array<double>") for row in weights]
+    marked = [str(i) for i in range(BUCKETS) if any(row[i] for row in weights)]
+    marked = F.split(F.lit(",".join(marked)), ",").cast("array<int>") if marked else F.array().cast("array<int>")
 
     def figures(words):
         def normal(logits):
@@ -85,7 +96,7 @@ def posteriors(docs: DataFrame, weights: list[list[float]], base: list[float], *
         def logits(b):
             return F.array(*[temper * (F.lit(score) + total(b, k)) for k, score in enumerate(base)])
 
-        return F.struct(F.size(words).cast("long").alias("n_tokens"), let(_buckets(text, words), lambda b: let(logits(b), normal)).alias("posterior"))
+        return F.struct(F.size(words).cast("long").alias("n_tokens"), let(F.array_intersect(_buckets(text, words), marked), lambda b: let(logits(b), normal)).alias("posterior"))
 
     return docs.withColumn("__m", let(_words(text), figures)).select(*[F.col(f"`{c}`") for c in docs.columns], "__m.n_tokens", "__m.posterior")
 
@@ -145,9 +156,8 @@ def mix_sources(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
     docs = without(docs, "n_tokens", "posterior", "rate", "copies")
     domains = list(targets)
     weights, base = domain_weights(docs, labelled, domains, id_col=id_col, text_col=text_col)
-    seen = posteriors(docs, weights, base, text_col=text_col)
-    figures = stage(seen.select("n_tokens", "posterior"), "figures")
-    taken, eta, pull = fit_rates(figures, list(targets.values()), scale=scale, **kw)
+    seen = stage(posteriors(docs, weights, base, text_col=text_col), "posteriors")  # texts are read once
+    taken, eta, pull = fit_rates(seen.select("n_tokens", "posterior"), list(targets.values()), scale=scale, **kw)
     chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     rated = seen.withColumn("rate", F.round(_state(F.col("posterior"), taken, eta, pull)["r"], 6))
     return rated.withColumn("copies", F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1).otherwise(0))
