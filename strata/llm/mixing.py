@@ -10,26 +10,25 @@ steps run over (posterior, tokens) sums, and the finished steps are replayed as
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.shared import let, stage, without
 
-BUCKETS = 1 << 14
-
-
 def _share(count: Column, n: Column) -> Column:
     return F.floor(F.least(10 * count / F.greatest(n, F.lit(1)), F.lit(6))).cast("string")
 
 
 def _hashed(words: Column) -> Column:
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _buckets(text: Column, words: Column) -> Column:
-    """Distinct hashed features: words, and coarse shares of symbols, marks, capitals and distinct words."""
+def _features(text: Column, words: Column) -> Column:
+    """64-bit hashes of the distinct features: words, and coarse shares of symbols, marks, capitals and distinct words."""
     n = F.size(words)
 
     def all_of(distinct):
@@ -46,57 +45,72 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[\x00-/:-`{-\x7f]+"), "")
 
 
-def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *, id_col: str = "doc_id", text_col: str = "text", sample: int = 8000, least_z: float = 3.0, least_lift: float = 2.5):
-    """(for each domain the log odds of each bucket, for each domain the score of a text with none): Bernoulli naive Bayes.
+def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *, id_col: str = "doc_id", text_col: str = "text", sample: int = 8000, least_z: float = 3.0, least_lift: float = 2.5, chance: float = 0.01):
+    """(hash of a marked feature: its log odds in each domain, for each domain the score of a text with none): Bernoulli naive Bayes.
 
     Learns from a sample of at most ``sample`` labelled rows (id, domain), picked by a hash of the id, which is what is broadcast
-    (32 bytes a row). Only buckets count that some domain's texts have ``least_lift`` times as often as all texts, and ``least_z`` deviations more than its share
-    would give: what a short text hasn't then says little.
+    (32 bytes a row). Features are told apart by 64-bit hashes, so a long text meets a marked one only by holding it (two of n are taken for one with
+    a chance of n**2 / 2**65). Only those are marked that some domain's texts have ``least_lift`` times as often as all texts, and ``least_z`` deviations
+    more than its share would give: what a short text hasn't then says little. And of all features, however many there are, ``chance`` are expected to be
+    marked by accident (Chernoff's bound on the count): vocabularies are mostly rare words, and long texts hold many of them.
     """
     labelled = labelled.where(F.col("id").isNotNull() & F.col("domain").isin(domains)).groupBy("id").agg(F.min("domain").alias("domain"))
     h = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     picked = labelled.where(h < min(1.0, 1.1 * sample / max(1, labelled.count())) * (1 << 30)).orderBy(h, "id").limit(sample)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(picked), "id")
-    rows = rows.select("domain", _buckets(F.col("text"), _words(F.col("text"))).alias("b"))
-    # every text has the bucket -1, which counts the texts of a domain
-    counts = stage(rows.select("domain", F.explode(F.concat("b", F.array(F.lit(-1)))).alias("bucket")).groupBy("domain", "bucket").agg(F.count("*").alias("n")), "domain-counts")
-    texts = {r["domain"]: r["n"] for r in counts.where("bucket = -1").collect()}
+    rows = rows.select("domain", _features(F.col("text"), _words(F.col("text"))).alias("f"))
+    # every text has the feature null, which counts the texts of a domain
+    counts = stage(rows.select("domain", F.explode(F.concat("f", F.array(F.lit(None).cast("bigint")))).alias("feature")).groupBy("domain", "feature").agg(F.count("*").alias("n")), "domain-counts")
+    texts = {r["domain"]: r["n"] for r in counts.where("feature IS NULL").collect()}
     n_texts = sum(texts.values())
-    odds, base = [[0.0] * BUCKETS for _ in domains], [math.log((texts.get(d, 0) + 1) / (n_texts + len(domains))) for d in domains]
+    odds, base = {}, [math.log((texts.get(d, 0) + 1) / (n_texts + len(domains))) for d in domains]
     if n_texts:
         own = [F.coalesce(F.sum(F.when(F.col("domain") == d, F.col("n"))), F.lit(0)) for d in domains]
         expected = [F.sum("n") * (texts.get(d, 0) / n_texts) for d in domains]
         marked = [(n - e >= least_z * F.sqrt(e + 1)) & (n >= least_lift * e) for n, e in zip(own, expected, strict=True)]
-        table = counts.where("bucket >= 0").groupBy("bucket").agg(F.array(*marked).alias("marked"), F.array(*own).alias("n")).where(F.array_contains("marked", True))
-        for r in table.orderBy("bucket").collect():  # 2**14 rows at most
+        counts = counts.where("feature IS NOT NULL")
+        tried = len(domains) * max(1, counts.select("feature").distinct().count())
+        marked = [m & (F.when(n > 0, n * F.log(n / e) - n + e) >= math.log(tried / chance)) for m, n, e in zip(marked, own, expected, strict=True)]
+        table = counts.groupBy("feature").agg(F.array(*[F.coalesce(m, F.lit(False)) for m in marked]).alias("marked"), F.array(*own).alias("n")).where(F.array_contains("marked", True))
+        for r in table.orderBy("feature").collect():  # each takes some ten texts of the sample
+            row = odds[r["feature"]] = []
             for k, d in enumerate(domains):
                 p = (r["n"][k] + 1) / (texts.get(d, 0) + 2)
-                odds[k][r["bucket"]] = math.log(p / (1 - p))
+                row.append(math.log(p / (1 - p)))
                 base[k] += math.log(1 - p)
     return odds, base
 
 
-def posteriors(docs: DataFrame, weights: list[list[float]], base: list[float], *, text_col: str = "text", temper: float = 1.0) -> DataFrame:
+def posteriors(docs: DataFrame, weights: dict[int, list[float]], base: list[float], *, text_col: str = "text", temper: float = 1.0) -> DataFrame:
     """``docs`` with n_tokens (runs of letters and digits) and posterior (array, to three places), both from the whole text."""
     docs = without(docs, "n_tokens", "posterior")
     text = F.coalesce(F.col(text_col), F.lit(""))
     # constants of the plan: the optimizer folds each text of numbers to one array literal
-    table = [F.split(F.lit(",".join(f"{w:.4g}" for w in row)), ",").cast("array<double>") for row in weights]
-    marked = [str(i) for i in range(BUCKETS) if any(row[i] for row in weights)]
-    marked = F.split(F.lit(",".join(marked)), ",").cast("array<int>") if marked else F.array().cast("array<int>")
+    def constant(numbers, kind):
+        return F.split(F.lit(",".join(map(repr, numbers))), ",").cast(f"array<{kind}>") if numbers else F.array().cast(f"array<{kind}>")
+
+    # a hash table of two slots or more for each marked feature: slot s has the keys from start[s] up to start[s + 1]
+    size = 1 << max(4, (2 * len(weights)).bit_length())
+    order = sorted(weights, key=lambda h: h % size)
+    held = Counter(h % size for h in order)
+    starts = list(itertools.accumulate((held[s] for s in range(size)), initial=0))
+    start, marked, odds = constant(starts, "int"), constant(order, "bigint"), [constant([weights[h][k] for h in order], "double") for k in range(len(base))]
 
     def figures(words):
         def normal(logits):
             return let(F.transform(logits, lambda x: F.exp(F.greatest(x - F.array_max(logits), F.lit(-30.0)))), lambda e: F.transform(e, lambda x: F.round(x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b), 3)))
 
         def total(b, k):
-            return F.aggregate(b, F.lit(0.0), lambda acc, i: acc + table[k][i])
+            return F.aggregate(b, F.lit(0.0), lambda acc, at: acc + odds[k][at])
+
+        def place(h):
+            return let(F.pmod(h, F.lit(size)).cast("int"), lambda s: start[s] + (F.array_position(F.slice(marked, start[s] + 1, start[s + 1] - start[s]), h) - 1).cast("int"))
 
         def logits(b):
             return F.array(*[temper * (F.lit(score) + total(b, k)) for k, score in enumerate(base)])
 
-        return F.struct(F.size(words).cast("long").alias("n_tokens"), let(F.array_intersect(_buckets(text, words), marked), lambda b: let(logits(b), normal)).alias("posterior"))
+        return F.struct(F.size(words).cast("long").alias("n_tokens"), let(F.transform(F.array_intersect(_features(text, words), marked), place), lambda b: let(logits(b), normal)).alias("posterior"))
 
     return docs.withColumn("__m", let(_words(text), figures)).select(*[F.col(f"`{c}`") for c in docs.columns], "__m.n_tokens", "__m.posterior")
 

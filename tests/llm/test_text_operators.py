@@ -227,6 +227,28 @@ def test_rates_match_a_local_solver(spark):
     assert np.allclose(r, r2, atol=1e-6)
 
 
+def test_posteriors_hold_at_every_length_of_text(spark):
+    rng = np.random.default_rng(7)
+    vocabulary = [f"w{i}" for i in range(120_000)]
+    insults = [f"insult{i}" for i in range(12)]
+    texts, domains = [], []
+    for n, clean, toxic in ((60, 240, 60), (900, 60, 15), (4000, 40, 10)):
+        for i in range(clean + toxic):
+            words = [vocabulary[j] for j in rng.integers(0, len(vocabulary), n)]
+            domains.append("toxic" if i >= clean else "clean")
+            texts.append(" ".join(words + list(rng.choice(insults, 6, replace=False)) if i >= clean else words))
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, d) for i, d in enumerate(domains) if i % 5 < 3], "id bigint, domain string")  # two of five are held out
+    weights, base = mixing.domain_weights(docs, labels, ["clean", "toxic"])
+    got = {r["doc_id"]: r for r in mixing.posteriors(docs, weights, base).collect()}
+    wrong = {}
+    for i, d in enumerate(domains):
+        if (got[i]["posterior"][1] > 0.5) != (d == "toxic"):
+            wrong[d, got[i]["n_tokens"] // 500] = wrong.get((d, got[i]["n_tokens"] // 500), 0) + 1
+    assert not wrong
+    assert len(weights) < 2 * len(insults)  # of 120,000 rare words hardly one is marked by accident
+
+
 def test_mixing_edge_cases(spark):
     df = frame(spark, ["good words here", None, "", "bad " * 30_000, "good words here"], [1, None, 2, 3, 1], rate="x", posterior="y")
     labels = spark.createDataFrame([(1, "clean"), (3, "toxic"), (None, "toxic")], "id bigint, domain string")
