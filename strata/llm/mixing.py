@@ -11,14 +11,18 @@ steps run over (posterior, tokens) sums, and the finished steps are replayed as
 from __future__ import annotations
 
 import itertools
+import logging
 import math
 from collections import Counter
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.shared import let, stage, without
 
+_log = logging.getLogger(__name__)
+
 def _share(count: Column, n: Column) -> Column:
     return F.floor(F.least(10 * count / F.greatest(n, F.lit(1)), F.lit(6))).cast("string")
 
@@ -115,9 +119,9 @@ def posteriors(docs: DataFrame, weights: dict[int, list[float]], base: list[floa
     return docs.withColumn("__m", let(_words(text), figures)).select(*[F.col(f"`{c}`") for c in docs.columns], "__m.n_tokens", "__m.posterior")
 
 
-def _state(posterior: Column, steps: list[list[float]], eta: float, pull: float) -> Column:
-    """(r, y) after all steps, a step being the gradient's domain parts and the momentum: r' <- max(0, y - eta (p . g + pull (y - 1))), y <- r' + m (r' - r)."""
-    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
+def _state(posterior: Column, steps: list[list[float]], eta: float, pull: float, start: Column | None = None) -> Column:
+    """(r, y, d) after all steps, d being how far the last one went from y, a step being the gradient's domain parts and the momentum: r' <- max(0, y - eta (p . g + pull (y - 1))), y <- r' + m (r' - r)."""
+    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"), F.lit(0.0).alias("d")) if start is None else start
     if not steps:
         return start
     def dot(g):
@@ -125,7 +129,7 @@ def _state(posterior: Column, steps: list[list[float]], eta: float, pull: float)
 
     def step(s, x):
         r = F.greatest(F.lit(0.0), s["y"] - eta * (dot(x["g"]) + pull * (s["y"] - 1)))
-        return let(r, lambda new: F.struct(new.alias("r"), (new + x["m"] * (new - s["r"])).alias("y")))
+        return let(r, lambda new: F.struct(new.alias("r"), (new + x["m"] * (new - s["r"])).alias("y"), (new - s["y"]).alias("d")))
 
     # the steps as one constant, which the optimizer folds
     text = ";".join(",".join(f"{v:.12g}" for v in row) for row in steps)
@@ -134,35 +138,63 @@ def _state(posterior: Column, steps: list[list[float]], eta: float, pull: float)
     return F.aggregate(rows, start, step)
 
 
-def fit_rates(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull: float = 1e-3, steps: int = 60, tolerance: float = 1e-2):
-    """(steps taken, eta, pull) for rows (n_tokens, posterior): expected totals near shares x scale x all tokens.
+class Fit(NamedTuple):
+    """The steps taken, and the expected totals at their end next to the wanted ones; ``at_minimum`` tells whether steps ended before they ran out."""
+
+    steps: list[list[float]]
+    eta: float
+    pull: float
+    reached: list[float]
+    wanted: list[float]
+    at_minimum: bool
+
 
-    Projected gradient with momentum; each step is one sum over the distinct posteriors. Ends when all totals are within ``tolerance`` of their
-    targets, or after ``steps``.
+def fit(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull: float = 1e-3, steps: int = 300, tolerance: float = 1e-3) -> Fit:
+    """Rates for rows (n_tokens, posterior): expected totals near shares x scale x all tokens.
+
+    Projected gradient with momentum; each step is one sum over the distinct posteriors, whose state is written every tenth step. Ends when the
+    last step's projected gradient (its mean square over tokens) is so small that rates are within ``tolerance`` of the minimum's, the curvature being ``pull`` at least.
+    Totals don't end it: the minimum leaves them off their targets by what pull weighs, or by more where no rates reach them. Both that and steps that ran
+    out are logged.
     """
     k = len(shares)
     sums = stage(rows.groupBy("posterior").agg(F.sum("n_tokens").alias("tokens")), "posteriors")
     p = lambda i: F.col("posterior")[i]
     first = sums.agg(F.sum("tokens").alias("total"), *[F.sum(F.col("tokens") * p(i) * p(i)).alias(f"s{i}") for i in range(k)]).first()
-    if not first["total"]:
-        return [], 1.0, pull
-    target = [s / sum(shares) * scale * first["total"] for s in shares]
-    curve = [max(first[f"s{i}"] or 0.0, 1e-9 * first["total"]) for i in range(k)]
-    eta, taken = 1.0 / (k + pull), []
-    for t in range(steps):
-        at = sums.withColumn("s", _state(F.col("posterior"), taken, eta, pull)).select("posterior", (F.col("tokens") * F.col("s.r")).alias("r"), (F.col("tokens") * F.col("s.y")).alias("y"))
-        got = at.agg(*[F.sum(F.col(c) * p(i)) for c in "ry" for i in range(k)]).first()
-        if max(abs(g - x) / max(x, 1e-9 * first["total"]) for g, x in zip(got[:k], target, strict=True)) < tolerance:
+    total = first["total"]
+    if not total:
+        return Fit([], 1.0, pull, [0.0] * k, [0.0] * k, True)
+    target = [s / sum(shares) * scale * total for s in shares]
+    curve = [max(first[f"s{i}"] or 0.0, 1e-9 * total) for i in range(k)]
+    eta, taken, since = 1.0 / (k + pull), [], 0
+    sums = sums.withColumn("s", _state(F.col("posterior"), [], eta, pull))
+    for t in range(steps + 1):
+        if t - since == 10:
+            sums, since = stage(sums.withColumn("s", _state(F.col("posterior"), taken[since:], eta, pull, F.col("s"))), "rates"), t
+        at = sums.withColumn("s", _state(F.col("posterior"), taken[since:], eta, pull, F.col("s"))).select("posterior", "tokens", "s.r", "s.y", "s.d")
+        got = at.agg(*[F.sum(F.col("tokens") * F.col(c) * p(i)) for c in "ry" for i in range(k)], F.sum(F.col("tokens") * F.pow(F.col("d"), 2))).first()
+        done = t > 0 and math.sqrt(got[-1] / total) <= eta * tolerance * (pull or 1.0)
+        if done or t == steps:
             break
-        taken.append([(g - x) / c for g, x, c in zip(got[k:], target, curve, strict=True)] + [t / (t + 3)])
-    return taken, eta, pull
+        taken.append([(x - want) / c for x, want, c in zip(got[k : 2 * k], target, curve, strict=True)] + [t / (t + 3)])
+    result = Fit(taken, eta, pull, list(got[:k]), target, done)
+    off = max(abs(x - want) / max(want, 1e-9 * total) for x, want in zip(result.reached, target, strict=True))
+    told = "totals %s for targets %s after %d steps, %s"
+    _log.log(logging.INFO if done and off < 0.01 else logging.WARNING, told, result.reached, target, len(taken), "at the minimum" if done else "short of the minimum")
+    return result
+
+
+def fit_rates(rows: DataFrame, shares: list[float], **kw):
+    """(steps taken, eta, pull) of ``fit``."""
+    return fit(rows, shares, **kw)[:3]
 
 
 def mix_sources(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, id_col: str = "doc_id", text_col: str = "text", scale: float = 1.0, seed: int = 42, **kw) -> DataFrame:
     """``docs`` with n_tokens, posterior, rate and copies (long): how often each row goes into the mix.
 
     ``labelled`` is (id, domain); ``targets`` the wanted share of tokens of each domain. copies is the rate rounded down, and one more with the chance of
-    its fraction, by a hash of the id: the expected count is the rate. Input columns of these names are replaced.
+    its fraction, by a hash of the id: the expected count is the rate. Input columns of these names are replaced. The metadata of the column rate hold
+    the tokens wanted and reached of each domain, and whether the rates are the minimum's.
 
     Defined results: a null or empty text has no tokens and the posterior of its shape; a null id hashes like any value; repeated rows get the same
     rate and copies; without labels all posteriors are equal; an empty table gives an empty table; a very long text is read whole.
@@ -171,9 +203,10 @@ def mix_sources(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
     domains = list(targets)
     weights, base = domain_weights(docs, labelled, domains, id_col=id_col, text_col=text_col)
     seen = stage(posteriors(docs, weights, base, text_col=text_col), "posteriors")  # texts are read once
-    taken, eta, pull = fit_rates(seen.select("n_tokens", "posterior"), list(targets.values()), scale=scale, **kw)
+    found = fit(seen.select("n_tokens", "posterior"), list(targets.values()), scale=scale, **kw)
+    told = {"wanted": dict(zip(domains, found.wanted, strict=True)), "reached": dict(zip(domains, found.reached, strict=True)), "at_minimum": found.at_minimum}
     chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    rated = seen.withColumn("rate", F.round(_state(F.col("posterior"), taken, eta, pull)["r"], 6))
+    rated = seen.withColumn("rate", F.round(_state(F.col("posterior"), *found[:3])["r"], 6)).withMetadata("rate", told)
     return rated.withColumn("copies", F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1).otherwise(0))
 
 

@@ -227,6 +227,22 @@ def test_rates_match_a_local_solver(spark):
     assert np.allclose(r, r2, atol=1e-6)
 
 
+def test_rates_are_the_minimum_and_totals_are_told(spark):
+    rng = np.random.default_rng(11)
+    p = np.repeat([[0.998, 0.001, 0.001], [0.02, 0.97, 0.01], [0.0, 0.01, 0.99], [0.6, 0.4, 0.0]], [180, 60, 50, 10], axis=0)
+    tok = rng.integers(1, 900, 300)
+    rows = spark.createDataFrame([(int(t), [float(v) for v in x]) for t, x in zip(tok, p, strict=True)], "n_tokens bigint, posterior array<double>")
+    got = mixing.fit(rows, [0.7, 0.2, 0.1])
+    r = np.array([x["r"] for x in rows.withColumn("r", mixing._state(F.col("posterior"), *got[:3])["r"]).collect()])
+    target, curve, best = np.array([0.7, 0.2, 0.1]) * tok.sum(), (tok[:, None] * p * p).sum(0), np.ones(300)
+    for _ in range(20_000):  # plain projected gradient
+        best = np.maximum(0, best - (p @ (((best * tok) @ p - target) / curve) + 1e-3 * (best - 1)) / 3.001)
+    assert got.at_minimum and np.abs(r - best).max() < 0.005
+    assert np.allclose(got.reached, (r * tok) @ p, rtol=1e-6) and np.allclose(got.wanted, target)
+    short = mixing.fit(rows, [0.7, 0.2, 0.1], steps=2)
+    assert not short.at_minimum and len(short.steps) == 2
+
+
 def test_posteriors_hold_at_every_length_of_text(spark):
     rng = np.random.default_rng(7)
     vocabulary = [f"w{i}" for i in range(120_000)]
