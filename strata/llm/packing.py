@@ -47,45 +47,38 @@ class OpenBins:
         return {b for x in self.free for b in x}
 
 
-def _packed(path: str, id_type, size: int, most: int, end_id: int, window: int):
+def _packed(path: str, size: int, most: int, end_id: int):
     def run(batches: Iterator) -> Iterator:
-        import struct
-
+        import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
         enc, bins, base = encoder(path), OpenBins(size, most), TaskContext.get().partitionId() << 32
-        end, width = struct.pack("<I", end_id), 4 * size
         waiting: dict[int, list] = {}  # the rows of bins that are still open
 
-        def out(rows: list, is_open: bool):
+        def out(rows: list, is_open: bool, id_type):
             doc, piece, ids, bin_, offset = zip(*rows, strict=True)
             return pa.RecordBatch.from_arrays(
                 [pa.array(doc, id_type), pa.array(piece, pa.int32()), pa.array([p * size for p in piece], pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
                  pa.array([base + b for b in bin_], pa.int64()), pa.array(offset, pa.int64()), pa.array([is_open] * len(rows), pa.bool_())],
                 names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset", "open"])
 
-        def place(ahead: list):
-            """Place the pieces read ahead, longest first; yields the rows of bins that have closed since."""
-            for doc, k, part in sorted(ahead, key=lambda x: -len(x[2])):
-                bin_, offset = bins.place(len(part) // 4)
-                waiting.setdefault(bin_, []).append((doc, k, part, bin_, offset))
+        id_type = None
+        for b in slices(batches, "text"):
+            flat, at = enc.ids(b["text"])
+            raw = np.insert(flat, at[1:], end_id).astype("<u4").tobytes()
+            starts = at + np.arange(len(at))
+            id_type = b["doc_id"].type
+            for doc, i, j in zip(b["doc_id"].to_pylist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                for k, s in enumerate(range(i, j, size)):
+                    n = min(size, j - s)
+                    bin_, offset = bins.place(n)
+                    waiting.setdefault(bin_, []).append((doc, k, raw[4 * s : 4 * (s + n)], bin_, offset))
             still = bins.open()
             if closed := [r for x in [x for x in waiting if x not in still] for r in waiting.pop(x)]:
-                yield out(closed, False)
-
-        ahead: list = []
-        for b in slices(batches, "text"):
-            texts = [t or "" for t in b["text"].to_pylist()]
-            for doc, ids in zip(b["doc_id"].to_pylist(), enc.encode(texts), strict=True):
-                ids += end
-                ahead += [(doc, k // width, ids[k : k + width]) for k in range(0, len(ids), width)]
-                if len(ahead) >= window:
-                    yield from place(ahead)
-                    ahead = []
-        yield from place(ahead)
+                yield out(closed, False, id_type)
         if waiting:
-            yield out([r for rows in waiting.values() for r in rows], True)
+            yield out([r for rows in waiting.values() for r in rows], True, id_type)
 
     return run
 
@@ -103,25 +96,22 @@ def _repacked(size: int, most: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, open_bins: int = 1024, window: int = 1000, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, open_bins: int = 1024, end_id: int = 0) -> DataFrame:
     """Pieces of all documents, placed in sequences of at most ``size`` tokens.
 
     Returns doc_id, piece, start, length, ids (binary, little-endian unsigned 32-bit), sequence_id, offset. A document is its ids and
-    ``end_id``; only longer ones than ``size`` are cut. Each task packs its own rows as they come, ``window`` pieces at a time and the longest of
-    those first, holding ``open_bins`` bins; the bins
+    ``end_id``; only longer ones than ``size`` are cut. Each task places its own pieces as they come, each in the fullest bin that takes it, and holds ``open_bins`` bins; the bins
     still open at a task's end (a bounded number) are packed once more, as wholes, across tasks.
 
     Defined results: a null or empty text is ``end_id`` alone; repeated rows are packed each; a null id stays null; an empty table gives no
-    pieces; other columns are not read, so their names cannot clash.
+    pieces; ties between bins with equal room go to the one that came to it last; a very long text is cut to as many pieces as it takes; the id keeps
+    its type, whatever it is; other columns are not read, so their names cannot clash.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    import pyarrow as pa
-
-    arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
     schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids binary, sequence_id bigint, offset bigint, open boolean"
-    pieces = stage(docs.mapInArrow(_packed(tokenizer, arrow_id, size, open_bins, end_id, window), schema), "pieces", partition_by=("open",))
+    pieces = stage(docs.mapInArrow(_packed(tokenizer, size, open_bins, end_id), schema), "pieces", partition_by=("open",))
     closed, left = pieces.where(~F.col("open")).drop("open"), pieces.where("open").drop("open")
     used = left.groupBy("sequence_id").agg(F.max(F.col("offset") + F.col("length")).alias("used"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))

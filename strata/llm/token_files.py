@@ -25,10 +25,15 @@ def encode_ranks(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """(ids by falling frequency, control stream, data stream) of unsigned 32-bit ids."""
     if not len(ids):
         return b"", b"", b""
-    values, at, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if ids.max() < 1 << 20:  # a vocabulary's ids: count in a table
+        n = np.bincount(ids)
+        values = np.flatnonzero(n)
+        at, counts = ids, n[values]
+    else:
+        values, at, counts = np.unique(ids, return_inverse=True, return_counts=True)
     order = np.lexsort((values, -counts))
-    rank = np.empty(len(values), "<u4")
-    rank[order] = np.arange(len(values), dtype="<u4")
+    rank = np.empty(len(n) if at is ids else len(values), "<u4")
+    rank[values[order] if at is ids else order] = np.arange(len(values), dtype="<u4")
     r = rank[at]
     extra = (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
     codes = np.zeros(-(-len(r) // 4) * 4, np.uint8)
@@ -51,28 +56,29 @@ _SEGMENT = "part int, seq int, ids_before bigint, n_ids bigint, doc_ids array<bi
 
 def _segments(path: str, end_id: int, most: int):
     def run(batches: Iterator) -> Iterator:
-        import struct
-
         import pyarrow as pa
         from pyspark import TaskContext
 
-        enc, part, end = encoder(path), TaskContext.get().partitionId(), struct.pack("<I", end_id)
-        seq, before, docs, parts, held = 0, 0, [], [], 0
+        enc, part = encoder(path), TaskContext.get().partitionId()
+        seq, before, docs, counts, parts, held = 0, 0, [], [], [], 0
 
         def out():
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            row = [part, seq, before, len(ids), docs, [len(p) // 4 for p in parts], *encode_ranks(ids)]
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=[x.split()[0] for x in _SEGMENT.split(", ")])
+            ids, doc, n = np.concatenate(parts), pa.concat_arrays(docs), np.concatenate(counts)
+            one = pa.array([0, len(n)], pa.int32())
+            ranked, control, data = encode_ranks(ids)
+            columns = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()),
+                       pa.ListArray.from_arrays(one, doc), pa.ListArray.from_arrays(one, pa.array(n.astype(np.int32))), *[pa.array([x], pa.binary()) for x in (ranked, control, data)]]
+            return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _SEGMENT.split(", ")])
 
         for b in slices(batches, "text"):
-            for doc, ids in zip(b["doc_id"].to_pylist(), enc.encode([t or "" for t in b["text"].to_pylist()]), strict=True):
-                docs.append(doc)
-                parts.append(ids + end)
-                held += len(ids) // 4 + 1
-                if held >= most:
-                    yield out()
-                    seq, before, docs, parts, held = seq + 1, before + held, [], [], 0
+            flat, at = enc.ids(b["text"])
+            parts.append(np.insert(flat, at[1:], end_id))
+            counts.append(np.diff(at) + 1)
+            docs.append(b["doc_id"])
+            held += len(parts[-1])
+            if held >= most:
+                yield out()
+                seq, before, docs, counts, parts, held = seq + 1, before + held, [], [], [], 0
         if docs:
             yield out()
 
@@ -82,8 +88,8 @@ def _segments(path: str, end_id: int, most: int):
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, segment_ids: int = 1 << 20, parts: int | None = None) -> None:
     """Write the ids of all documents, each with ``end_id`` after it, to files under ``path`` in ascending id order.
 
-    Range partitions by id, one file each, so file order is id order. Segments close at the first document that brings them to
-    ``segment_ids`` ids. Defined results: a null or empty text is ``end_id`` alone; rows that repeat an id are all written, ordered by text;
+    Range partitions by id, one file each, so file order is id order. Segments close at the first slice of
+    documents (a megabyte of text, or one longer document) that brings them to ``segment_ids`` ids. Defined results: a null or empty text is ``end_id`` alone; rows that repeat an id are all written, ordered by text;
     null ids come first; an empty table writes no segments; other columns are not read.
     """
     n = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

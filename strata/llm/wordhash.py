@@ -36,7 +36,7 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
     return _powers[name][:n]
 
 
-def _bytes(texts) -> tuple[np.ndarray, np.ndarray]:
+def text_bytes(texts) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all texts, where each begins and the last ends); null is no text."""
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -51,7 +51,7 @@ def _bytes(texts) -> tuple[np.ndarray, np.ndarray]:
 
 def spans(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes of all texts, first byte of each word, byte after its last) of an Arrow array of strings."""
-    data, ends = _bytes(texts)
+    data, ends = text_bytes(texts)
     inside = ~_SPACE[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[ends] = True
@@ -60,9 +60,16 @@ def spans(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, start, end
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each span's bytes as they are."""
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _power("p", _P, len(data)), out=total[1:])
+    return mix((total[end] - total[start]) * _power("inv", _P_INV, len(data))[start], 41)
+
+
 def words(texts) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, the number of words before each text and after the last) of an Arrow array of strings; null is no text."""
-    data, ends = _bytes(texts)
+    data, ends = text_bytes(texts)
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)

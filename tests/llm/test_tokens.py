@@ -16,14 +16,13 @@ def whole(name, texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(default_path(name))
-    t.encode_special_tokens = True
     return [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
 
 
 def texts():
     rng = random.Random(5)
     bits = ["a", "B", "é", "ß", " ", " ", "\n", "\t", "  ", "\n\n", "'s", "'", "12", "…", "Σ", "ñ", "日本", ".", "!!", " ", "́", "\x1c", "İ", "<|endoftext|>", "word", " ", "\r\n", "😀", "x's don't"]
-    return ["", " ", "\n", " a", "a ", "a\nb", "\na", "a\n", "a  b", "a \n b", "a\t\n\tb", "a\n \nb"] + ["".join(rng.choices(bits, k=rng.randint(1, 30))) for _ in range(3000)]
+    return ["", " ", "\n", " a", "a ", "a\nb", "\na", "a\n", "a  b", "a \n b", "a\t\n\tb", "a\n \nb", "= . ̸x", "a,́b c", "a <|startoftext|> b", "x<|endoftext|>y", "<|EndOfText|>", "<| <|endoftext|>.", "w" * 5000, "1.2,3 a<|b c"] + ["".join(rng.choices(bits, k=rng.randint(1, 30))) for _ in range(3000)]
 
 
 @pytest.mark.parametrize("name", NAMES)
