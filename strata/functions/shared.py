@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,17 +23,57 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Paths given out since the start of each open scratch() block.
+_made: list[list[str]] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _made:
+        made.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back: lineage ends there."""
+    """Write ``df`` once as Parquet in the shared folder and read it back: lineage ends there.
+
+    Operators that stage run jobs while their result is being declared. What they write stays until the session's folder is cleared, or until
+    the scratch() block around the call ends.
+    """
     path = shared_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete tables of the shared folder that no plan reads any more."""
+    for p in paths:
+        if not p.startswith(shared_dir(spark) + "/"):
+            raise ValueError(f"{p} isn't in the shared folder")
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete, at the end of the block, all that was staged in it: for use once an operator's result has been written elsewhere."""
+    _made.append(made := [])
+    try:
+        yield made
+    finally:
+        _made.remove(made)
+        discard(spark, *made)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(x)`` with ``value`` computed once, however often ``body`` uses ``x``."""
     return F.element_at(F.transform(F.array(value), body), 1)
