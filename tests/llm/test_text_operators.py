@@ -45,8 +45,8 @@ def test_line_dedup_matches_brute_force(spark):
     rng = random.Random(3)
     pool = [("Línea común " * 5 + str(i)) if i % 2 else ("Common line " * 4 + str(i)) for i in range(12)] + ["short", "", " \t", "x" * 39, "y" * 40, "É" * 40, "é" * 40]
     texts = ["\n".join((rng.choice([str.upper, str, lambda s: " " + s + "\r"]))(rng.choice(pool)) for _ in range(rng.randint(0, 9))) for _ in range(80)] + [None, "", "z" * 300_000, pool[0]]
-    df = frame(spark, texts, n_lines="clash", h1=1, last="x")
-    got = {r["doc_id"]: r for r in dedup_lines(df, batches=5, fanout=2).collect()}
+    df = frame(spark, texts, n_lines="clash", h1=1, last="x", row=3, at="y", doc=4, __doc=5)
+    got = {r["doc_id"]: r for r in dedup_lines(df, batches=5).collect()}
     want = brute_lines(list(enumerate(texts)))
     assert {d: r["text"] for d, r in got.items()} == want
     for d, t in enumerate(texts):
@@ -54,15 +54,43 @@ def test_line_dedup_matches_brute_force(spark):
     assert dedup_lines(df.limit(0)).count() == 0
 
 
-def test_runs_are_levelled_and_hold_each_batch(spark):
-    runs = LineRuns(spark, fanout=2)
+def test_runs_are_levelled_share_no_key_and_merge_without_a_shuffle(spark):
+    runs = LineRuns(spark, 4)
     keys = [spark.createDataFrame([(i % 3, 0, i), (7, 0, i)], "h1 bigint, h2 bigint, doc bigint") for i in range(5)]
     assert runs.unseen(keys[0]).count() == 2
     for k in keys:
         runs.add(k)
-    assert [len(x) for x in runs.levels] == [1, 0, 1]
+    assert [x is not None for x in runs.levels] == [True, False, True] and [x is not None for x in runs.again] == [False, False, True]
+    assert sorted(r["h1"] for x in runs.runs() for r in x.collect()) == [0, 1, 2, 7]
     assert runs.unseen(spark.createDataFrame([(7, 0), (8, 0)], "h1 bigint, h2 bigint")).collect()[0]["h1"] == 8
-    assert [tuple(r) for r in runs.frequent(5).collect()] == [(7, 0, 4)]
+    assert [tuple(r) for r in runs.frequent(5).collect()] == [(7, 0, 5, 4)]
+    a, b = runs.runs()
+    for df in (runs.merged(a, b), runs.unseen(a)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    runs.close()
+    assert not runs._paths
+
+
+def test_line_dedup_is_linear_in_the_lines_that_go(spark):
+    import time
+
+    def took(n):
+        text = "\n".join(f"a line that six documents share, number {i:08d}" for i in range(n))
+        df = frame(spark, [text] * 6)
+        began = time.time()
+        assert [r["n_dropped"] for r in dedup_lines(df, batches=2).orderBy("doc_id").collect()] == [n] * 5 + [0]
+        return time.time() - began
+
+    took(500)
+    assert took(24_000) < 8 * took(6_000)
+
+
+def test_line_dedup_repeated_rows_and_null_ids(spark):
+    x = "x" * 50
+    rows = [(1, x), (1, x), (1, x + "\nmore"), (None, x), (None, None), (2, "y\n" + x + "\n" + x), (2, "z\n" + x)]
+    got = sorted(((r["doc_id"], r["text"], r["n_dropped"]) for r in dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=repr)
+    assert got == sorted([(1, "", 1), (1, "", 1), (1, "more", 1), (None, "", 1), (None, "", 0), (2, "y\n" + x + "\n" + x, 0), (2, "z\n" + x, 0)], key=repr)
 
 
 # quality rules
