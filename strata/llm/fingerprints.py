@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _rng = np.random.default_rng(777)
@@ -92,44 +92,37 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_chars bigint, fingerprint string").withColumnRenamed("id", id_col)
 
 
-def _place(value: Column, splits: list[int], lo: int, hi: int) -> Column:
-    """How many of splits[lo:hi] are <= value, plus lo: a search tree of conditions, log2 deep."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(value >= splits[mid], _place(value, splits, mid + 1, hi)).otherwise(_place(value, splits, lo, mid))
+def _routed(splits, heads):
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        first, head = splits.value, heads.value
+        for b in batches:
+            doc, null = pc.fill_null(b["doc"], 0).to_numpy(zero_copy_only=False), b["doc"].is_null().to_numpy(zero_copy_only=False)
+            part = np.maximum(np.searchsorted(first, doc, side="right") - 1, 0)
+            part[null] = 0
+            ahead = np.flatnonzero(null | np.isin(doc, head))  # rows that begin a part end the one before as well
+            at = np.concatenate([np.arange(b.num_rows), ahead])
+            part, tail = np.concatenate([part, (part[ahead] - 1) % max(1, len(first))]), np.repeat([0, 1], [b.num_rows, len(ahead)])
+            b = b.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(tail.astype(np.int32)), b["doc"], b["text"]], names=["part", "tail", "doc", "text"])
+
+    return run
 
 
 def with_next(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows (part, tail, doc, text) in id order inside each part, ready for a pass that looks one row ahead.
+    """Rows (part, tail, doc, text) in id order inside each part, a task for each, ready for a pass that looks one row ahead.
 
-    Each part ends with a copy of the next part's first row (tail 1); the last part with the first of all. The driver sees one id for each
-    part. Null ids come before all others.
+    Each part ends with a copy of the next part's first row (tail 1); the last part with the first of all. The driver sees, and broadcasts,
+    one id for each part. Null ids come before all others.
     """
     ids = docs.select("doc").where("doc IS NOT NULL").repartitionByRange(parts, "doc").groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc").alias("doc"))
-    splits = sorted(r["doc"] for r in ids.collect())
+    splits = np.array(sorted(r["doc"] for r in ids.collect()), np.int64)
     nulls = docs.where("doc IS NULL").limit(1).count() > 0
-    n = max(1, len(splits))
-    own = F.greatest(_place(F.col("doc"), splits, 0, len(splits)) - 1, F.lit(0)) if splits else F.lit(0)
-    own = F.when(F.col("doc").isNull(), 0).otherwise(own)
-    heads = splits[1:] if nulls else splits
-    head = F.when(F.col("doc").isNull(), F.lit(True)).otherwise(_is_head(F.col("doc"), heads) if heads else F.lit(False))
-    here = F.struct(own.cast("int").alias("part"), F.lit(0).alias("tail"))
-    before = F.struct(F.pmod(own - 1, F.lit(n)).cast("int").alias("part"), F.lit(1).alias("tail"))
-    sent = F.when(head, F.array(here, before)).otherwise(F.array(here))
-    rows = docs.select("doc", "text", F.explode(sent).alias("s")).select("s.part", "s.tail", "doc", "text")
-    return rows.repartition(max(1, n // 4), "part").sortWithinPartitions("part", "tail", "doc", "text")
-
-
-def _is_head(value: Column, heads: list[int]) -> Column:
-    """Whether ``value`` is the largest head not above it."""
-    def at(lo: int, hi: int) -> Column:
-        if hi - lo == 1:
-            return value == heads[lo]
-        mid = (lo + hi) // 2
-        return F.when(value >= heads[mid], at(mid, hi)).otherwise(at(lo, mid))
-
-    return at(0, len(heads))
+    share = docs.sparkSession.sparkContext.broadcast
+    rows = docs.select("doc", "text").mapInArrow(_routed(share(splits), share(splits[1:] if nulls else splits)), "part int, tail int, doc bigint, text string")
+    return rows.repartitionById(max(1, len(splits)), "part").sortWithinPartitions("part", "tail", "doc", "text")
 
 
 def fingerprint_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
@@ -139,11 +132,11 @@ def fingerprint_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     the first row after the last. Texts are shuffled once, by range of id.
 
     Defined results: null is empty text; ids that repeat are ordered by text; null ids come first; a single row is its own next; an
-    empty table gives an empty table; other columns are not read. Equal texts have equal fingerprints.
+    empty table gives an empty table; very long texts are read whole; other columns are not read, so their names cannot clash. Equal texts have equal fingerprints.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = with_next(rows, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ordered = with_next(rows, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     schema = "doc bigint, n_chars bigint, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     def run(batches: Iterator) -> Iterator:

@@ -6,15 +6,15 @@ chunks, whole, once with each dictionary; the sums of sizes are compared. A narr
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.tokens import slices
 
-_LETTER = re.compile(r"[^\W\d_]").search
+_LETTER = regex.compile(r"\p{L}").search
 
 
 def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 400, snippet: int = 1000, dictionary_bytes: int = 110_000) -> dict[str, bytes]:

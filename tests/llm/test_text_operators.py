@@ -143,6 +143,36 @@ def test_language_id(spark):
     assert language_id.fit(docs.limit(0)) == {} and language_id.identify(docs.limit(0), model).count() == 0
 
 
+def test_language_id_matches_brute_force(spark):
+    """Sizes of the whole text by each dictionary, one compressor after the other, chunk by chunk."""
+    import math
+
+    import zstandard as z
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.fit(docs)
+    texts = [r["text"] for r in docs.orderBy("doc_id").limit(60).collect()] + ["²", "½ 3", "Ⅳ ① ٣", "ª", "日本語のテキスト", "mot " * 5000, "Même chose, même ligne."]
+    texts += texts[-2:]  # repeated rows
+    got = {r["doc_id"]: r for r in language_id.identify(frame(spark, texts, lang="x", nearest="y", score=1), model).collect()}
+    for i, t in enumerate(texts):
+        r = got[i]
+        if not t or not any(c.isalpha() for c in t):
+            assert (r["lang"], r["nearest"], r["score"], r["rejected"]) == (None, "und", 0.0, True), t
+            continue
+        sizes = {}
+        for name in sorted(model):
+            c = z.ZstdCompressor(level=3, dict_data=z.ZstdCompressionDict(model[name], dict_type=z.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False)
+            raw = t.lower().encode()
+            sizes[name] = sum(len(c.compress(raw[k : k + 4096])) for k in range(0, len(raw), 4096))
+        best, second = sorted(sizes.values())[:2]
+        nearest = min(sizes, key=lambda n: (sizes[n], n))
+        assert r["nearest"] == nearest and r["rejected"] == (second - best < 0.01 * second) and r["lang"] == (None if r["rejected"] else nearest)
+        assert abs(r["score"] - 1 / sum(math.exp((best - s) / max(1, 0.02 * best)) for s in sizes.values())) < 1e-9
+    two = {"aa": b"same words here", "bb": b"same words here"}
+    tie = language_id.identify(frame(spark, ["same words here"]), two).first()
+    assert (tie["nearest"], tie["lang"], tie["rejected"]) == ("aa", None, True)
+
+
 # quality classifier
 
 
@@ -200,6 +230,43 @@ def test_fingerprints_of_edits_match_brute_force(spark):
     assert ties.count() == 4
 
 
+def plain_fingerprint(text, k=10, length=2, sketches=64):
+    """Order MinHash by its definition, on whole numbers of Python."""
+    m64, gold = 2**64 - 1, 0x9E3779B97F4A7C15
+
+    def mixed(x, salt):
+        x = (x + salt * gold) & m64
+        x = ((x ^ x >> 33) * 0xFF51AFD7ED558CCD) & m64
+        x = ((x ^ x >> 33) * 0xC4CEB9FE1A85EC53) & m64
+        return x ^ x >> 33
+
+    if not text:
+        return "0" * 4 * sketches
+    k, seen, numbered = min(k, len(text)), {}, []
+    for i in range(len(text) - k + 1):
+        h = 0
+        for c in text[i : i + k]:
+            h = (h * gold + mixed(ord(c), 11)) & m64
+        h = mixed(h, k)
+        n = seen[h] = seen.get(h, -1) + 1
+        numbered.append((mixed((h + n * 0xD1342543DE82EF95) & m64, 23) if n else h) >> 32)
+    out = ""
+    for odd in np.random.default_rng(sketches).integers(0, 2**31, sketches, dtype=np.uint32).tolist():
+        order = sorted(range(len(numbered)), key=lambda i: (numbered[i] * (2 * odd + 1) & 0xFFFFFFFF, i))
+        total = 0
+        for j, i in enumerate(sorted(order[:length])):
+            total = mixed((total * gold + numbered[i]) & m64, j + 1)
+        out += f"{total >> 48:04x}"
+    return out
+
+
+def test_fingerprint_core_matches_its_definition():
+    rng = random.Random(9)
+    texts = ["", "a", "é日", "abcdefghij", "a" * 300, "ab" * 90, "".join(rng.choice("ab") for _ in range(500)), "".join(rng.choice("abcdef 😀é") for _ in range(700))]
+    for t in texts:
+        assert fp.to_hex(fp.fingerprint(fp.codes_of(t))) == plain_fingerprint(t), t[:20]
+
+
 def test_fingerprints_notice_order():
     rng = random.Random(4)
     words = [f"word{rng.randrange(10**6)}" for _ in range(300)]
