@@ -7,8 +7,9 @@ are summed to overlap counts, pairs below l are dropped, and the others' overlap
 reaches o or cannot.
 
 Blocks never emit all their pairs. First each is multiplied by one row, its pivot (a star), and each row is compared in full with
-the pivot of the largest count; accepted pairs join rows to components. Then only pairs across components are left, and the product is
-complete: a pair inside a component changes nothing. Documents with equal sets are one row from the start.
+the pivot of the largest count; accepted pairs join rows to components. While large columns are left, rows of other components get pivots
+again. Then only pairs across components are left, and the product is complete: a pair inside a component changes nothing. A column of
+many rows is cut to row blocks, and its product is dealt by (i, j) pairs of them. Documents with equal sets are one row from the start.
 
 The order puts frequent n-grams last: those most frequent in one of 32 of the distinct texts, ``heavy`` of them at
 most. The order decides speed alone, not results.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.graph import components
@@ -100,6 +101,8 @@ def _leading(k: int, percent: int, heavy):
         def made():
             for _, _, s, c in _sets(batches, k):
                 if c is not None and c not in seen:  # a text's copies in one task add nothing
+                    if len(seen) >= 1 << 17:
+                        seen.clear()
                     seen.add(c)
                     yield c, len(s), order(s, len(s) - overlap_bound_own(len(s), percent) + 1).view(np.int64)
 
@@ -115,6 +118,8 @@ def overlap_bound_own(n: int, percent: int) -> int:
 
 #: Most pairs of rows that are broadcast to the sets (24 bytes each); beyond, the sets are shuffled to them.
 BROADCAST_PAIRS = 1 << 20
+#: Rows of a column that are multiplied by each other in one task; columns with more are cut to blocks of as many.
+BLOCK = 256
 #: Most bits of the filter of wanted ids that is broadcast (8 MB); beyond, texts are joined by id instead.
 FILTER_BITS = 1 << 26
 
@@ -261,15 +266,62 @@ def _heavy(docs: DataFrame, k: int, share: int, most: int):
     return gram, rank
 
 
-def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, sample_share: int = 32, heavy: int = 1 << 18, shared: int = 3) -> DataFrame:
+def _columns(rows: DataFrame) -> DataFrame:
+    """For each column with rows (gram, cls, n, pos, comp) of two components or more: how many rows, and its pivot, the row of the smallest place.
+
+    Aggregated before the shuffle, so a column of any length weighs one row a task.
+    """
+    key = F.shiftleft(F.least("pos", F.lit(65535)).cast("bigint"), 47).bitwiseOR(F.shiftrightunsigned("cls", 17))
+    pivot = [F.min_by(c, key).alias(f"p_{c}") for c in ("cls", "n", "pos", "comp")]
+    return rows.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows"), *pivot).where("lo <> hi").drop("lo", "hi")
+
+
+def _prefix(m: Column, n: Column, pm: Column, pn: Column, least, percent: int) -> Column:
+    """Whether entries at the places pm and pn may be among the ``least`` first that similar sets of sizes m and n share."""
+    o = _bound(m, n, percent)
+    return (pm < m - o + least) & (pn < n - o + least)
+
+
+def _stars(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each row b with the pivot a of another component that it shares most columns with."""
+    other = (F.col("comp") != F.col("p_comp")) & _prefix(F.col("n"), F.col("p_n"), F.col("pos"), F.col("p_pos"), 1, percent)
+    shared = rows.where(other).groupBy(F.col("p_cls").alias("a"), F.col("cls").alias("b")).agg(F.count("*").alias("c"))
+    return shared.groupBy("b").agg(F.max_by("a", F.shiftleft("c", 32).bitwiseOR(F.pmod("a", F.lit(1 << 32)))).alias("a")).select("a", "b")
+
+
+def _product(rows: DataFrame, percent: int, shared: int) -> DataFrame:
+    """(a, b): pairs of rows (gram, cls, n, pos, comp, rows) of different components that share as many leading entries as similar ones must.
+
+    A column of ``rows`` rows has k = ceil(rows / BLOCK) blocks; the product of blocks i and j is dealt by (gram, i, j), so that no task gets
+    more than BLOCK x BLOCK pairs of it at once.
+    """
+    own = lambda x: F.ceil(F.lit(percent) * x / 100.0 - 1e-9)
+
+    def least(m, n):
+        """How many entries the stored prefixes of two similar sets share at least, up to ``shared``: more would multiply the products for little."""
+        return F.least(_bound(m, n, percent) - F.greatest(own(m), own(n)) + 1, F.lit(shared)).cast("int")
+
+    k = F.ceil(F.col("rows") / float(BLOCK)).cast("int")
+    cut = rows.withColumn("block", F.pmod(F.xxhash64("cls"), k).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), k - 1))).select("gram", "cls", "n", "pos", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    x, y = cut.alias("x"), cut.alias("y")
+    n_x, n_y = F.col("x.n"), F.col("y.n")
+    once = (F.col("x.block") != F.col("y.block")) | (F.col("x.i") == F.col("x.j"))  # rows of one block meet in (i, i) alone
+    met = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp")) & once
+    pairs = x.join(y, met & _prefix(n_x, n_y, F.col("x.pos"), F.col("y.pos"), least(n_x, n_y), percent))
+    counts = pairs.groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), n_x.alias("m"), n_y.alias("n")).agg(F.count("*").alias("c"))
+    return counts.where(F.col("c") >= least(F.col("m"), F.col("n"))).select("a", "b")
+
+
+def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, sample_share: int = 32, heavy: int | None = None, shared: int = 3) -> DataFrame:
     """(id, n_shingles, component_id), a row for each row of ``docs``: the smallest id reachable over links of ``percent`` or more.
 
     Sets are of distinct k-word shingles of the text, A-Z lower-cased; a text with fewer words has one shingle, all its words; one without
     words, null included, has an empty set and links with nothing. Other columns are not read, so
-    their names cannot clash.
+    their names cannot clash. ``heavy`` is a row in 8, but 2**18 at least and 2**20 at most, if not given.
 
     Defined results: rows with equal sets are linked, repeated rows too; a row with a null id joins its equals' component, or has a null
-    component_id; very long texts are handled whole; an empty table gives an empty table. Sets are compared by
+    component_id; very long texts are handled whole; an empty table gives an empty table. Ids are cast to bigint. Sets are compared by
     64-bit hashes (two of n sets are taken for one with a chance of n**2 / 2**65), their n-grams by 48 bits of one (one more in common than there
     is, with a chance of m * n / 2**48 for a pair).
     """
@@ -278,30 +330,17 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     members = stage(text.mapInArrow(_members(k), "doc bigint, n int, cls bigint"), "members")
     reps = members.where("n > 0").groupBy("cls").agg(F.min("doc").alias("rep"))
 
+    if heavy is None:
+        heavy = min(max(members.count() >> 3, 1 << 18), 1 << 20)
     order = spark.sparkContext.broadcast(_heavy(text, k, sample_share, heavy))
     leading = text.mapInArrow(_leading(k, percent, order), "cls bigint, n int, grams array<bigint>")
-    # one word holds the upper 48 bits of the n-gram and its place (at most 65535: a smaller place only prunes less)
-    entry = F.shiftleft(F.shiftright("g", 16), 16).bitwiseOR(F.least("p", F.lit(65535)).cast("bigint")).alias("entry")
-    entries = leading.select("cls", "n", F.posexplode("grams").alias("p", "g")).select(entry, "cls", "n").repartition(F.shiftright("entry", 16))
-    entries = entries.select(F.shiftright("entry", 16).alias("gram"), "cls", "n", F.col("entry").bitwiseAND(F.lit(65535)).cast("int").alias("pos"))
-
-    def prefix(m, n, pm, pn, l):
-        o = _bound(m, n, percent)
-        return (pm < m - o + l) & (pn < n - o + l)
-
-    def least(m, n):
-        """How many entries the stored prefixes of two similar sets share at least, up to ``shared``: more would multiply the products for little."""
-        own = lambda x: F.ceil(F.lit(percent) * x / 100.0 - 1e-9)
-        return F.least(_bound(m, n, percent) - F.greatest(own(m), own(n)) + 1, F.lit(shared)).cast("int")
-
-    column = Window.partitionBy("gram")
-    pivot = F.min(F.struct("pos", "n", "cls")).over(column)
-    blocks = entries.select("*", F.min("cls").over(column).alias("lo"), F.max("cls").over(column).alias("hi"), pivot.alias("p")).where("lo <> hi")
-    first_entry = (F.col("cls") != F.col("p.cls")) & prefix(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"), 1)
-    blocks = stage(blocks.groupBy("gram", "cls").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min(F.when(first_entry, F.col("p.cls"))).alias("pivot")), "blocks")
-
-    stars = blocks.where("pivot IS NOT NULL").groupBy(F.col("pivot").alias("a"), F.col("cls").alias("b")).agg(F.count("*").alias("c"))
-    first = stage(stars.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")), "first")
+    # an n-gram is known by 48 bits
+    entries = leading.select("cls", "n", F.posexplode("grams").alias("pos", "g")).select(F.shiftright("g", 16).alias("gram"), "cls", "n", "pos")
+    entries = stage(entries, "entries")
+    columns = _columns(entries.select("*", F.col("cls").alias("comp")))
+    blocks = entries.join(columns, "gram").repartition("gram", "cls")  # copies of a row in several tasks are one row
+    blocks = blocks.groupBy("gram", "cls").agg(*[F.min(c).alias(c) for c in ("n", "pos", "p_cls", "p_n", "p_pos")])
+    blocks = stage(blocks.select("*", F.col("cls").alias("comp"), F.col("p_cls").alias("p_comp")), "blocks")
 
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         a, b = (sets.select(F.col("cls").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab")
@@ -314,24 +353,34 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def classes(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
 
-    sets = _fetch(text, classes(first).join(reps, "cls"), k)
-    links = verified(first, sets)
+    tried = stage(_stars(blocks, percent), "first")
+    sets = _fetch(text, classes(tried).join(reps, "cls"), k)
+    links = verified(tried, sets)
 
     # the rest: pairs across components, among rows with an entry that may be the first of a pair
-    label = components(links).withColumnsRenamed({"node": "cls"})
     may = blocks.where(F.col("pos") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") * (1 + percent / 100.0) / (100 + percent) - 1e-9)).select("cls").distinct()
-    live = may.join(label, "cls", "left").select("cls", F.coalesce("component", "cls").alias("comp"))
-    inside = blocks.select("gram", "cls", "n", "pos").join(live, "cls")
-    across = inside.select("*", F.min("comp").over(column).alias("c0"), F.max("comp").over(column).alias("c1")).where("c0 <> c1").drop("c0", "c1")
-    across = stage(across, "across")
-    x, y = across.alias("x"), across.alias("y")
-    n_x, n_y = F.col("x.n"), F.col("y.n")
-    pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp")) & prefix(n_x, n_y, F.col("x.pos"), F.col("y.pos"), least(n_x, n_y)))
-    pairs = pairs.groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), n_x.alias("m"), n_y.alias("n")).agg(F.count("*").alias("c")).where(F.col("c") >= least(F.col("m"), F.col("n")))
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"), "rest")
-    new = classes(rest).join(classes(first), "cls", "left_anti").join(reps, "cls")
-    links = links.unionByName(verified(rest, sets.unionByName(_fetch(text, new, k))))
+    salt = F.pmod("gram", F.lit(8))  # a long text has many entries
+
+    def beyond(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``pairs`` that haven't been tried, and the sets of all rows tried by then."""
+        new = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
+        return new, sets.unionByName(_fetch(text, classes(new).join(classes(tried), "cls", "left_anti").join(reps, "cls"), k))
+
+    while True:
+        label = components(links).withColumnsRenamed({"node": "cls"})
+        live = may.join(label, "cls", "left").select("cls", F.coalesce("component", "cls").alias("comp"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(7).cast("bigint"))).alias("salt"))
+        inside = stage(blocks.select("gram", "cls", "n", "pos", salt.alias("salt")).join(live, ["cls", "salt"]).drop("salt"), "inside")
+        across = stage(inside.join(_columns(inside), "gram"), "across")
+        large = across.where(F.col("rows") > BLOCK).select("cls").distinct().count()
+        if not large:
+            break
+        more, sets = beyond(_stars(across, percent))
+        found = verified(more, sets)
+        tried, links, n = tried.unionByName(more), links.unionByName(found), found.count()
+        if 50 * n < large:  # stars find little more: the product does the rest
+            break
+    rest, sets = beyond(_product(across, percent, shared))
+    links = links.unionByName(verified(rest, sets))
 
     left, right = reps.select(F.col("cls").alias("a"), F.col("rep").alias("ra")), reps.select(F.col("cls").alias("b"), F.col("rep").alias("rb"))
     graph = components(links.join(left, "a").join(right, "b"), "ra", "rb")
@@ -342,7 +391,11 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` without near copies: of each component the document with the smallest id stays, and every row without an id."""
+    """``docs`` without near copies: of each component the rows with the smallest id stay, and every row without an id.
+
+    Defined results: null and empty texts link with nothing and stay; repeated rows that share the smallest id all stay; very long texts are
+    compared whole; an empty table gives an empty table; all columns stay as they are, whatever their names.
+    """
     groups = link_components(docs, id_col=id_col, text_col=text_col, k=k, percent=percent)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("id")).distinct()
+    return docs.alias("d").join(gone.alias("g"), F.col(f"d.`{id_col}`").cast("bigint") == F.col("g.id"), "left_anti")

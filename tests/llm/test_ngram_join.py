@@ -51,8 +51,9 @@ def check(spark, rows, **kw):
     assert got == want, [(k, got.get(k), v) for k, v in want.items() if got.get(k) != v][:5]
 
 
-@pytest.mark.parametrize("heavy", [0, 1 << 18])
-def test_matches_comparing_all_pairs(spark, heavy):
+@pytest.mark.parametrize(("heavy", "block"), [(0, 256), (1 << 18, 256), (0, 3)])
+def test_matches_comparing_all_pairs(spark, heavy, block, monkeypatch):
+    monkeypatch.setattr("strata.llm.ngram_join.BLOCK", block)
     rng = random.Random(heavy)
     passage = [f"p{i}" for i in range(60)]
     rows = []
@@ -70,6 +71,21 @@ def test_matches_comparing_all_pairs(spark, heavy):
     check(spark, list(enumerate(rows, 10)), heavy=heavy, sample_share=2)
 
 
+def test_drifting_families_whose_members_miss_their_pivot(spark, monkeypatch):
+    """Chains of texts, each near the one before, behind columns of many rows: stars are repeated, and blocks multiplied."""
+    monkeypatch.setattr("strata.llm.ngram_join.BLOCK", 4)
+    rng = random.Random(8)
+    rows = []
+    for chain in range(4):
+        w = [f"c{chain}w{i}" for i in range(60)]
+        for step in range(40):
+            at = rng.randrange(0, 54)
+            w[at : at + 2] = [f"c{chain}s{step}a", f"c{chain}s{step}b"]
+            rows.append(" ".join(w))
+    rng.shuffle(rows)
+    check(spark, list(enumerate(rows)), heavy=0, sample_share=2)
+
+
 def test_real_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
     check(spark, rows)
