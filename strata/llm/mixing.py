@@ -19,7 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.shared import let, stage, without
+from strata.functions.shared import free_name, let, stage, without
 
 _log = logging.getLogger(__name__)
 
@@ -53,7 +53,8 @@ def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *,
     """(hash of a marked feature: its log odds in each domain, for each domain the score of a text with none): Bernoulli naive Bayes.
 
     Learns from a sample of at most ``sample`` labelled rows (id, domain), picked by a hash of the id, which is what is broadcast
-    (32 bytes a row). Features are told apart by 64-bit hashes, so a long text meets a marked one only by holding it (two of n are taken for one with
+    (32 bytes a row). Rows with a null id or another domain teach nothing, an id with two domains has the first by name, null texts are empty;
+    without labels no feature is marked and all domains are equal. Features are told apart by 64-bit hashes, so a long text meets a marked one only by holding it (two of n are taken for one with
     a chance of n**2 / 2**65). Only those are marked that some domain's texts have ``least_lift`` times as often as all texts, and ``least_z`` deviations
     more than its share would give: what a short text hasn't then says little. And of all features, however many there are, ``chance`` are expected to be
     marked by accident (Chernoff's bound on the count): vocabularies are mostly rare words, and long texts hold many of them.
@@ -87,7 +88,11 @@ def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *,
 
 
 def posteriors(docs: DataFrame, weights: dict[int, list[float]], base: list[float], *, text_col: str = "text", temper: float = 1.0) -> DataFrame:
-    """``docs`` with n_tokens (runs of letters and digits) and posterior (array, to three places), both from the whole text."""
+    """``docs`` with n_tokens (runs of letters and digits) and posterior (array, to three places), both from the whole text.
+
+    Defined results: a null or empty text has no tokens and the posterior of a text without marked words; very long texts are read whole; ties
+    between domains stay ties; repeated rows get equal figures; an empty table gives an empty table; input columns of these names are replaced.
+    """
     docs = without(docs, "n_tokens", "posterior")
     text = F.coalesce(F.col(text_col), F.lit(""))
     # constants of the plan: the optimizer folds each text of numbers to one array literal
@@ -116,7 +121,8 @@ def posteriors(docs: DataFrame, weights: dict[int, list[float]], base: list[floa
 
         return F.struct(F.size(words).cast("long").alias("n_tokens"), let(F.transform(F.array_intersect(_features(text, words), marked), place), lambda b: let(logits(b), normal)).alias("posterior"))
 
-    return docs.withColumn("__m", let(_words(text), figures)).select(*[F.col(f"`{c}`") for c in docs.columns], "__m.n_tokens", "__m.posterior")
+    m = free_name(docs, "figures")
+    return docs.withColumn(m, let(_words(text), figures)).select(*[F.col(f"`{c}`") for c in docs.columns], f"{m}.n_tokens", f"{m}.posterior")
 
 
 def _state(posterior: Column, steps: list[list[float]], eta: float, pull: float, start: Column | None = None) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.shared import let, without
+from strata.functions.shared import free_name, let, without
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -90,8 +90,9 @@ def quality_rules(docs: DataFrame, *, text_col: str = "text", max_lost: float =
     by_line = let(F.split(text, "\n", -1), lambda lines: F.struct(
         let(F.filter(lines, has_word), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
         F.array_join(F.filter(lines, lambda x: ~line_fails(x)), "\n").alias("clean_text")))
-    df = docs.withColumns({"__f": figures, "__l": by_line, "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long")})
-    base_failed = (F.col("__f.n_words") < min_words) | (100 * F.col("__f.n_repeat_words") > max_repeat_percent * F.col("__f.n_words"))
-    df = df.withColumns({"lost_chars": F.col("__f.word_chars") - chars(F.col("__l.clean_text")), "base_failed": base_failed})
-    kept = ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col("__f.word_chars"))
-    return df.select(*[F.col(f"`{c}`") for c in docs.columns], "__f.n_words", "__f.word_chars", "n_symbols", "__l.n_dup_lines", "__f.n_repeat_words", "lost_chars", "base_failed", kept.alias("kept"), "__l.clean_text")
+    f, l = free_name(docs, "figures"), free_name(docs, "by_line")
+    df = docs.withColumns({f: figures, l: by_line, "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long")})
+    base_failed = (F.col(f"{f}.n_words") < min_words) | (100 * F.col(f"{f}.n_repeat_words") > max_repeat_percent * F.col(f"{f}.n_words"))
+    df = df.withColumns({"lost_chars": F.col(f"{f}.word_chars") - chars(F.col(f"{l}.clean_text")), "base_failed": base_failed})
+    kept = ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col(f"{f}.word_chars"))
+    return df.select(*[F.col(f"`{c}`") for c in docs.columns], f"{f}.n_words", f"{f}.word_chars", "n_symbols", f"{l}.n_dup_lines", f"{f}.n_repeat_words", "lost_chars", "base_failed", kept.alias("kept"), f"{l}.clean_text")

@@ -90,7 +90,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, id_col: str
 
     Range partitions by id, one file each, so file order is id order. Segments close at the first slice of
     documents (a megabyte of text, or one longer document) that brings them to ``segment_ids`` ids. Defined results: a null or empty text is ``end_id`` alone; rows that repeat an id are all written, ordered by text;
-    null ids come first; an empty table writes no segments; other columns are not read.
+    null ids come first; an empty table writes no segments; very long texts are encoded whole; other columns are not read, so their names
+    cannot clash. Ids are cast to bigint, so a text that is no number counts as a null id.
     """
     n = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -117,7 +118,8 @@ def _decoded(batches: Iterator) -> Iterator:
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) from the files: ids as little-endian unsigned 32-bit, start the ids of all documents before.
 
-    A part's place follows from the totals of the parts before it: one row for each file, which is what is broadcast.
+    Defined results: as many rows as were written, in any order; repeated and null ids come back as written; a document without text has its end
+    id alone; files without segments give an empty table. A part's place follows from the totals of the parts before it: one row for each file, which is what is broadcast.
     """
     files = spark.read.schema(_SEGMENT).parquet(path)
     totals = files.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()  # one row for each file

@@ -102,7 +102,7 @@ def test_quality_rules_by_case(spark):
         "prose": (prose, True), "null": (None, False), "empty": ("", False), "short": ("only a few words", False), "menu": ("\n".join(["Home | About | Contact | Help"] * 8), False),
         "marks": (" ".join(f"W{i}!!" for i in range(60)), False), "symbols": (" ".join(f"w{i}***" for i in range(60)), False), "notice": (prose + "\nAll rights reserved.", True), "repeats": ("to be or not to be that is " * 20, False), "long": (prose * 800, False),
     }
-    df = frame(spark, [t for t, _ in cases.values()], kept="clash", n_words="clash")
+    df = frame(spark, [t for t, _ in cases.values()], kept="clash", n_words="clash", figures="f", by_line=2, __f=1)
     got = {r["doc_id"]: r for r in quality_rules(df).collect()}
     for i, (name, (text, kept)) in enumerate(cases.items()):
         assert got[i]["kept"] == kept, name
@@ -111,6 +111,26 @@ def test_quality_rules_by_case(spark):
     assert quality_rules(df.limit(0)).count() == 0
 
 
+def test_quality_rules_repeated_rows_and_null_ids(spark):
+    t = " ".join(f"w{i}" for i in range(30)) + "\n" + "# " * 30
+    got = [tuple(r) for r in quality_rules(spark.createDataFrame([(1, t), (1, t), (None, t)], "doc_id bigint, text string")).drop("doc_id", "text").collect()]
+    assert len(got) == 3 and len(set(got)) == 1 and got[0][-1] == t.split("\n")[0]
+
+
+def test_line_rules_find_planted_lines_in_each_language(spark):
+    """Navigation, symbols and marks are no matter of language; of the notices, only those in English are known."""
+    prose = {
+        "de": "Der Zug nach Norden fährt heute etwas später ab, weil auf der Strecke gebaut wird.", "fr": "Le train du matin part un peu plus tard, parce que la voie est en travaux.",
+        "es": "El tren de la mañana sale un poco más tarde, porque hay obras en la vía.", "en": "The morning train leaves a little later, since the line is being repaired.",
+    }
+    menus = {"de": "Start | Über uns | Kontakt | Impressum", "fr": "Accueil › Produits › Aide › Contact", "es": "Inicio · Noticias · Ayuda · Contacto", "en": "Home » About » Help » Contact"}
+    planted = ["*** ### $$$ %%%", "!!! ??? !!!", "Copyright (c) 2020 Someone. All rights reserved."]
+    langs = sorted(prose)
+    texts = ["\n".join([prose[x]] * 3 + [menus[x], *planted] + [prose[x] + " " + str(i) for i in range(4)]) for x in langs]
+    for x, r in zip(langs, quality_rules(frame(spark, texts)).orderBy("doc_id").collect(), strict=True):
+        assert r["clean_text"].split("\n") == [prose[x]] * 3 + [prose[x] + " " + str(i) for i in range(4)], x
+
+
 def test_repeated_words_match_brute_force(spark):
     rng = random.Random(1)
     texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 60))) for _ in range(200)] + [" ".join(f"w{rng.randrange(40)}" for _ in range(900)) + " x y z" * 9]
@@ -198,6 +218,47 @@ def test_classifier_edge_cases(spark):
     assert quality_classifier.score(docs.limit(0), model).count() == 0
 
 
+def test_classifier_ratios_and_scores_match_plain_python():
+    """Log-count ratios, scaled indicators and the decision by sets and dictionaries; the dual's optimum by its conditions."""
+    import math
+
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 40, 12)) if i % 2 else np.unique(rng.integers(25, 60, 12)) for i in range(60)]
+    y = np.array([1 if i % 2 else -1 for i in range(60)])
+    model = quality_classifier.train(rows, y, epochs=200, blend=1.0)
+    fit = [i for i in range(60) if i % 5 != 4]
+    dim = 1 << quality_classifier.BITS
+    n = {s: {} for s in (1, -1)}
+    for i in fit:
+        for f in rows[i].tolist():
+            n[y[i]][f] = n[y[i]].get(f, 0) + 1
+    total = {s: sum(x.values()) + dim for s, x in n.items()}
+    ratio = {f: math.log(((n[1].get(f, 0) + 1) / total[1]) / ((n[-1].get(f, 0) + 1) / total[-1])) for f in range(60)}
+    assert all(abs(model.scale[f] - r) < 1e-9 for f, r in ratio.items())
+    decided = []
+    for r in rows:
+        norm = math.sqrt(sum(ratio[f] ** 2 for f in r.tolist()) + 1e-12)
+        decided.append(sum(model.weights[f] * ratio[f] for f in r.tolist()) / norm + model.bias)
+    flat, owner = np.concatenate(rows), np.repeat(np.arange(60), [len(r) for r in rows])
+    assert np.allclose(model.decide(flat, owner, 60), decided)
+    assert np.allclose(model.score(flat, owner, 60), [1 / (1 + math.exp(-(model.slope * d + model.offset))) for d in decided])
+    # no small step lowers the hinge loss
+    x = np.zeros((60, 61))
+    for i, r in enumerate(rows):
+        x[i, r] = [ratio[f] / math.sqrt(sum(ratio[g] ** 2 for g in r.tolist()) + 1e-12) for f in r.tolist()]
+    x[:, 60] = 1
+    cost = {s: len(fit) / (2 * sum(y[i] == s for i in fit)) for s in (1, -1)}
+    w = np.append(model.weights[:60], model.bias)
+    loss = lambda v: v @ v / 2 + sum(cost[y[i]] * max(0, 1 - y[i] * (x[i] @ v)) for i in fit)
+    assert all(loss(w) <= loss(w + 0.05 * rng.normal(size=61)) for _ in range(300))
+
+
+def test_classifier_takes_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "good text", 5, "x"), (2, "BAD!!", 6, "y")], "doc_id bigint, text string, label int, id string")
+    labels = spark.createDataFrame([(1, 1, "t"), (2, 0, "t")], "doc_id bigint, quality int, text string")
+    assert quality_classifier.score(docs, quality_classifier.fit(docs, labels)).count() == 2
+
+
 def test_dual_descent_separates_and_keeps_its_bounds():
     rng = np.random.default_rng(0)
     x = [np.array([0, 2]) if i % 2 else np.array([1, 2]) for i in range(40)]
@@ -360,6 +421,25 @@ def test_posteriors_hold_at_every_length_of_text(spark):
     assert len(weights) < 2 * len(insults)  # of 120,000 rare words hardly one is marked by accident
 
 
+def test_posteriors_match_plain_python(spark):
+    """Bernoulli naive Bayes over marked words by sets of words, shapes of a text included."""
+    import math
+
+    texts = ["calm words about trains", "rude awful rude!", "AWFUL trains", "", None, "calm " * 3000 + "rude", "other words only", "calm words about trains"]
+    vocabulary = {"rude": (0.05, 0.9), "awful": (0.1, 0.7), "calm": (0.8, 0.2)}
+    weights, base = {}, [math.log(0.6), math.log(0.4)]
+    for word, p in vocabulary.items():
+        h = spark.sql(f"SELECT xxhash64('{word}')").first()[0]
+        weights[h] = [math.log(x / (1 - x)) for x in p]
+        base = [b + math.log(1 - x) for b, x in zip(base, p, strict=True)]
+    got = {r["doc_id"]: r for r in mixing.posteriors(frame(spark, texts, figures=1, posterior="old"), weights, base).collect()}
+    for i, t in enumerate(texts):
+        words = re.findall(r"[a-z0-9]+", (t or "").lower())
+        joint = [math.log(q) + sum(math.log(p[k] if w in words else 1 - p[k]) for w, p in vocabulary.items()) for k, q in enumerate((0.6, 0.4))]
+        want = [math.exp(j) / sum(map(math.exp, joint)) for j in joint]
+        assert got[i]["n_tokens"] == len(words) and np.allclose(got[i]["posterior"], want, atol=6e-4)
+
+
 def test_mixing_edge_cases(spark):
     df = frame(spark, ["good words here", None, "", "bad " * 30_000, "good words here"], [1, None, 2, 3, 1], rate="x", posterior="y")
     labels = spark.createDataFrame([(1, "clean"), (3, "toxic"), (None, "toxic")], "id bigint, domain string")

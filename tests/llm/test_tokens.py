@@ -98,3 +98,20 @@ def test_pack_keeps_all_tokens_in_gapless_sequences(spark):
     total = sum(r["length"] for r in got)
     assert len(seqs) <= 1.1 * total / 256 + 9
     assert pack(df.limit(0), default_path(NAMES[1])).count() == 0
+
+
+def test_pack_ties_other_id_types_and_clashing_names(spark):
+    import datetime
+
+    day = datetime.date(2024, 1, 1)
+    df = spark.createDataFrame([(day, "same words"), (day, "same words"), (None, "other")], "doc_id date, text string").withColumns({c: F.lit("x") for c in ("sequence_id", "offset", "start", "length", "ids")})
+    got = pack(df, default_path(NAMES[1]), size=8).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["2024-01-01", "2024-01-01", "None"] and len({(r["sequence_id"], r["offset"]) for r in got}) == 3
+    by_text = spark.createDataFrame([("a", "x y"), ("b", None)], "doc_id string, text string")
+    assert {r["doc_id"] for r in pack(by_text, default_path(NAMES[1])).collect()} == {"a", "b"}
+
+
+def test_token_files_take_columns_of_any_name(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (1, "a")], "doc_id int, text string").withColumns({c: F.lit("x") for c in ("n_tokens", "start", "seq", "control")})
+    tf.write_token_files(df, str(tmp_path / "t"), default_path(NAMES[0]))
+    assert [(r["doc_id"], r["start"], r["n_tokens"]) for r in tf.read_token_files(spark, str(tmp_path / "t")).orderBy("start").collect()] == [(1, 0, 2), (1, 2, 2)]
