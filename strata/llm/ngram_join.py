@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.graph import components
@@ -85,18 +85,19 @@ def _leading(k: int, percent: int, heavy):
         import numpy as np
         import pyarrow as pa
 
-        values, rank = heavy.value
+        values, rank, hot_from = heavy.value
         seen: set[int] = set()
 
         def order(s, p):
-            """The first p n-grams: light ones by hash, then heavy ones, rarest first."""
+            """The first p n-grams: light ones by hash, then heavy ones, rarest first; and how many of them are hot."""
             for part in (s[: 2 * p], s):
                 at = np.minimum(np.searchsorted(values, part), max(len(values) - 1, 0))
                 is_heavy = values[at] == part if len(values) else np.zeros(len(part), bool)
                 light = part[~is_heavy]
                 if len(light) >= p:
-                    return light[:p]
-            return np.concatenate([light, part[is_heavy][np.argsort(rank[at[is_heavy]], kind="stable")]])[:p] if len(values) else light[:p]
+                    return light[:p], 0
+            by_rank = np.argsort(rank[at[is_heavy]], kind="stable")[: p - len(light)]
+            return np.concatenate([light, part[is_heavy][by_rank]]), int((rank[at[is_heavy]][by_rank] >= hot_from).sum())
 
         def made():
             for _, _, s, c in _sets(batches, k):
@@ -104,9 +105,10 @@ def _leading(k: int, percent: int, heavy):
                     if len(seen) >= 1 << 17:
                         seen.clear()
                     seen.add(c)
-                    yield c, len(s), order(s, len(s) - overlap_bound_own(len(s), percent) + 1).view(np.int64)
+                    grams, hot = order(s, len(s) - overlap_bound_own(len(s), percent) + 1)
+                    yield c, len(s), hot, grams.view(np.int64)
 
-        yield from _rows(made(), pa.schema([("cls", pa.int64()), ("n", pa.int32()), ("grams", pa.list_(pa.int64()))]))
+        yield from _rows(made(), pa.schema([("cls", pa.int64()), ("n", pa.int32()), ("hot", pa.int32()), ("grams", pa.list_(pa.int64()))]))
 
     return run
 
@@ -242,7 +244,10 @@ def _accepted(percent: int):
 
 
 def _heavy(docs: DataFrame, k: int, share: int, most: int):
-    """(sorted hashes, rank by rising frequency) of at most ``most`` n-grams: 16 bytes each is the bound of the broadcast."""
+    """(sorted hashes, rank by rising frequency, least rank of a hot one) of at most ``most`` n-grams: 16 bytes each is the bound of the broadcast.
+
+    Hot are those with 2**-16 of all n-grams of the sample or more, so there are 2**16 at most.
+    """
     import numpy as np
 
     sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select("text").distinct()
@@ -256,14 +261,15 @@ def _heavy(docs: DataFrame, k: int, share: int, most: int):
             break
         least = r["count"]
     if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
     got = counts.where(F.col("count") >= least).toArrow()
     gram = got["gram"].to_numpy().view(np.uint64)
     order = np.argsort(gram)
     gram, n = gram[order], got["count"].to_numpy()[order]
     rank = np.empty(len(gram), np.int64)
     rank[np.lexsort((gram, n))] = np.arange(len(gram))
-    return gram, rank
+    hot = max(4, sum(r["n"] * r["count"] for r in level) >> 16)
+    return gram, rank, int((n < hot).sum())
 
 
 def _columns(rows: DataFrame) -> DataFrame:
@@ -328,19 +334,26 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     text = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
     members = stage(text.mapInArrow(_members(k), "doc bigint, n int, cls bigint"), "members")
-    reps = members.where("n > 0").groupBy("cls").agg(F.min("doc").alias("rep"))
+    reps = members.where("n > 0").groupBy("cls").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"))
+    n_rows = members.count()
 
     if heavy is None:
-        heavy = min(max(members.count() >> 3, 1 << 18), 1 << 20)
+        heavy = min(max(n_rows >> 3, 1 << 18), 1 << 20)
     order = spark.sparkContext.broadcast(_heavy(text, k, sample_share, heavy))
-    leading = text.mapInArrow(_leading(k, percent, order), "cls bigint, n int, grams array<bigint>")
-    # an n-gram is known by 48 bits
-    entries = leading.select("cls", "n", F.posexplode("grams").alias("pos", "g")).select(F.shiftright("g", 16).alias("gram"), "cls", "n", "pos")
-    entries = stage(entries, "entries")
-    columns = _columns(entries.select("*", F.col("cls").alias("comp")))
-    blocks = entries.join(columns, "gram").repartition("gram", "cls")  # copies of a row in several tasks are one row
-    blocks = blocks.groupBy("gram", "cls").agg(*[F.min(c).alias(c) for c in ("n", "pos", "p_cls", "p_n", "p_pos")])
+    leading = text.mapInArrow(_leading(k, percent, order), "cls bigint, n int, hot int, grams array<bigint>")
+    # one word holds the upper 48 bits of the n-gram and its place (at most 65535: a smaller place only prunes less); hot columns are dealt in 64 parts
+    entry = F.shiftleft(F.shiftright("g", 16), 16).bitwiseOR(F.least("p", F.lit(65535)).cast("bigint")).alias("entry")
+    salt = F.when(F.col("p") >= F.size("grams") - F.col("hot"), F.pmod(F.xxhash64("cls"), F.lit(64)) + 1).otherwise(0).cast("byte").alias("salt")
+    entries = leading.select("cls", "n", "hot", "grams", F.posexplode("grams").alias("p", "g")).select(entry, "cls", "n", salt).repartition(F.shiftright("entry", 16), "salt")
+    entries = entries.select(F.shiftright("entry", 16).alias("gram"), "salt", "cls", "n", F.col("entry").bitwiseAND(F.lit(65535)).cast("int").alias("pos"))
+    column = Window.partitionBy("gram", "salt")
+    pivot = F.min(F.struct("pos", "n", "cls")).over(column)
+    blocks = entries.select("*", F.min("cls").over(column).alias("lo"), F.max("cls").over(column).alias("hi"), pivot.alias("p")).where("lo <> hi OR salt > 0")
+    blocks = blocks.groupBy("gram", "salt", "cls").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), *[F.min(f"p.{c}").alias(f"p_{c}") for c in ("cls", "n", "pos")])
     blocks = stage(blocks.select("*", F.col("cls").alias("comp"), F.col("p_cls").alias("p_comp")), "blocks")
+    hot = blocks.where("salt > 0").drop("p_cls", "p_n", "p_pos", "p_comp")
+    hot = stage(hot.join(F.broadcast(_columns(hot).drop("rows")), "gram"), "hot")  # 2**16 columns at most
+    blocks = blocks.where("salt = 0").unionByName(hot).drop("salt")
 
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         a, b = (sets.select(F.col("cls").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab")
@@ -384,9 +397,12 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     left, right = reps.select(F.col("cls").alias("a"), F.col("rep").alias("ra")), reps.select(F.col("cls").alias("b"), F.col("rep").alias("rb"))
     graph = components(links.join(left, "a").join(right, "b"), "ra", "rb")
-    by_class = reps.join(graph, reps.rep == graph.node, "left").select("cls", F.coalesce("component", "rep").alias("component_id"))
-    found = members.where("n > 0").join(by_class, "cls").select("doc", "n", "component_id")
-    alone = members.where("n = 0").select("doc", "n", F.col("doc").alias("component_id"))
+    by_class = stage(reps.join(graph, reps.rep == graph.node, "left").select("cls", "copies", F.coalesce("component", "rep").alias("component_id")), "classes")
+    # classes of more than 2**-16 of all rows, 2**16 of them at most, are broadcast: no other has a hot key
+    many = F.col("copies") > (n_rows >> 16)
+    empty, members = members.where("n = 0"), members.where("n > 0")
+    found = members.join(F.broadcast(by_class.where(many)), "cls").unionByName(members.join(by_class.where(~many), "cls")).select("doc", "n", "component_id")
+    alone = empty.select("doc", "n", F.col("doc").alias("component_id"))
     return found.unionByName(alone).select(F.col("doc").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
