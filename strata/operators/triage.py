@@ -7,9 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Private-use characters that stand for protected ones while quotes are flipped; rows that hold them already are not repaired.
-_APOSTROPHE, _QUOTE, _LITERAL = "\ue000", "\ue001", "\ue002"
+from strata.functions.shared import free_name, let, stage
+
+#: Private-use characters that stand for protected ones and ends of values while quotes are flipped; rows that hold them already are not repaired.
+_APOSTROPHE, _QUOTE, _BEGIN, _END = "\ue000", "\ue001", "\ue002", "\ue003"
 _CURLY = ("“”„‘’", "\"\"\"''")
+#: A text's pieces in order: quoted strings of both kinds, and the gaps between them. Loops are possessive, so texts of any length take no stack.
+_PIECES = r"""(?s)"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'|[^"']++|["']"""
+# where a bare value may begin and end
+_OPEN, _CLOSE = r"([:,\[(]\s*+)", r"(?=\s*+[,}\])])"
 
 
 def _ok(c: Column) -> Column:
@@ -20,70 +26,100 @@ def _straight(c: Column) -> Column:
     return F.translate(c, *_CURLY)
 
 
-def _literals(c: Column) -> Column:
-    """Bare None, True and False in value position as JSON, outside single quotes."""
-    marked = F.regexp_replace(c, r"([:,\[(]\s*)(None|True|False)(?=\s*[,}\])])(?=(?:[^']*'[^']*')*[^']*$)", f"$1{_LITERAL}$2")
+def _by_piece(c: Column, *, double=None, single=None, gap=None) -> Column:
+    """``c`` with its double- and single-quoted strings and the gaps between them changed, each by its own function."""
+    same = lambda x: x
+
+    def change(x):
+        is_string = F.length(x) > 1
+        return F.when(x.startswith('"') & is_string, (double or same)(x)).when(x.startswith("'") & is_string, (single or same)(x)).otherwise((gap or same)(x))
+
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_PIECES), F.lit(0)), change), "")
+
+
+def _bare_literals(gap: Column) -> Column:
+    """None, True and False in value position as JSON."""
     for python, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        marked = F.replace(marked, F.lit(_LITERAL + python), F.lit(json))
-    return marked
+        gap = F.regexp_replace(gap, _OPEN + python + _CLOSE, "$1" + json)
+    return gap
 
 
 def _flip(c: Column) -> Column:
-    """Single quotes as double quotes; apostrophes between letters stay."""
-    kept = F.regexp_replace(_literals(c), r"(\p{L})'(?=\p{L})", f"$1{_APOSTROPHE}")
-    return F.replace(F.replace(kept, F.lit("'"), F.lit('"')), F.lit(_APOSTROPHE), F.lit("'"))
+    """Single-quoted strings as double-quoted ones, bare Python literals as JSON; apostrophes between letters and whole double-quoted strings stay."""
+    kept = F.regexp_replace(c, r"(\p{L})'(?=\p{L})", f"$1{_APOSTROPHE}")
+    single = lambda x: F.concat(F.lit('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit("\\'"), F.lit("'")), F.lit('"'))
+    turned = _by_piece(kept, single=single, gap=lambda x: F.replace(_bare_literals(x), F.lit("'"), F.lit('"')))
+    return F.replace(turned, F.lit(_APOSTROPHE), F.lit("'"))
 
 
 def _protect(c: Column, keys: Sequence[str]) -> Column:
-    """Apostrophes and double quotes inside the single-quoted values of free-text keys, as private-use characters."""
-    for k in keys:
-        head = rf"'{k}'\s*:\s*'"
-        tail = r"'(?=\s*,\s*'[^']+'\s*:|\s*\})"
-        found = F.regexp_extract(c, rf"(?s){head}(.*?){tail}", 1)
-        safe = F.translate(found, "'\"", _APOSTROPHE + _QUOTE)
-        c = F.when(found != "", F.replace(c, F.concat(F.lit("'"), found, F.lit("'")), F.concat(F.lit("'"), safe, F.lit("'")))).otherwise(c)
-    return c
+    """Apostrophes and double quotes as private-use characters inside single-quoted values: every one of a free-text key, and all that hold JSON text."""
+    end = r"'(?=\s*+,\s*+'[^']++'\s*+:|\s*+\})"
+    marked = F.regexp_replace(c, rf"(?s)('\w++'\s*+:\s*+)'([\[{{][^{_BEGIN}]*?){end}", f"$1{_BEGIN}$2{_END}")
+    if keys:
+        named = "|".join(rf"\Q{k}\E" for k in keys)
+        marked = F.regexp_replace(marked, rf"(?s)('(?:{named})'\s*+:\s*+)'([^{_BEGIN}]*?){end}", f"$1{_BEGIN}$2{_END}")
+    safe = lambda x: F.when(x.startswith(_BEGIN), F.concat(F.lit("'"), F.translate(F.substring(x, F.lit(2), F.length(x) - 2), "'\"", _APOSTROPHE + _QUOTE), F.lit("'"))).otherwise(x)
+    return F.array_join(F.transform(F.regexp_extract_all(marked, F.lit(f"(?s){_BEGIN}[^{_END}]*+{_END}|[^{_BEGIN}]++"), F.lit(0)), safe), "")
 
 
 def _restore(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit(_APOSTROPHE), F.lit("'")), F.lit(_QUOTE), F.lit('\\"'))
 
 
+def _escaped(string: Column) -> Column:
+    """A string with its control characters escaped, and each backslash doubled that begins no escape."""
+    short = {"\t": "\\t", "\n": "\\n", "\r": "\\r", "\f": "\\f", "\b": "\\b"}
+    string = F.regexp_replace(string, r'(?<!\\)((?:\\\\)*+)\\(?!["\\/bfnrtu])', r"$1\\\\")
+    every = string
+    for code in range(32):
+        every = F.replace(every, F.lit(chr(code)), F.lit(short.get(chr(code), f"\\u{code:04x}")))
+    return F.when(string.rlike(r"[\x00-\x1f]"), every).otherwise(string)
+
+
 def _loose(c: Column, numbers: bool, dates: bool) -> Column:
-    """Unquoted keys, control characters, bare backslashes and trailing commas; with flags, numbers like 007 and bare dates as text."""
-    c = F.regexp_replace(c, r'\\(?!["\\/bfnrtu])', r"\\\\")
-    c = F.replace(F.replace(F.replace(c, F.lit("\t"), F.lit("\\t")), F.lit("\r"), F.lit("\\r")), F.lit("\n"), F.lit("\\n"))
-    c = F.regexp_replace(c, r",(\s|\\n)*([}\]])", "$2")
-    c = F.regexp_replace(c, r"([{,](?:\s|\\n)*)([A-Za-z_]\w*)\s*:", '$1"$2":')
-    if dates:
-        c = F.regexp_replace(c, r"(:\s*)(\d{4}-\d\d-\d\d(?:[T ][\d:.Z+-]+)?)(?=\s*[,}\]])", '$1"$2"')
-    if numbers:
-        c = F.regexp_replace(c, r"(:\s*)(0\d+)(?=\s*[,}\]])", '$1"$2"')
-    return F.regexp_replace(c, r"(:\s*)(\d+[A-Za-z_][\w-]*)(?=\s*[,}\]])", '$1"$2"')
+    """Outside strings: unquoted keys, trailing commas and values like 12ab quoted, with flags also 007 and bare dates. Inside: what _escaped mends."""
+    def gap(x):
+        x = F.regexp_replace(x, r",(?=\s*+[}\]])", "")
+        x = F.regexp_replace(x, r"([{,]\s*+)([A-Za-z_]\w*+)(?=\s*+:)", '$1"$2"')
+        bare = [r"(?=[\w.-]*[A-Za-z_])\d[\w.-]*+"]
+        if dates:
+            bare.append(r"\d{4}-\d\d-\d\d(?:[T ][\d:.Z+-]++)?+")
+        if numbers:
+            bare.append(r"0\d++")
+        return F.regexp_replace(x, f"{_OPEN}({'|'.join(reversed(bare))}){_CLOSE}", '$1"$2"')
+
+    return _by_piece(c, double=_escaped, gap=gap)
 
 
 def _wrapper(c: Column) -> Column:
     """The JSON text inside {'key': '...'} or {'key': {...}}."""
-    inner = F.regexp_extract(c, r"(?s)^\s*\{\s*'(\w+)'\s*:\s*'?\s*([\[{].*[\]}])\s*'?\s*\}\s*$", 2)
+    inner = F.regexp_extract(c, r"(?s)^\s*+\{\s*+'(\w++)'\s*+:\s*+'?+\s*+([\[{].*[\]}])\s*+'?+\s*+\}\s*+$", 2)
     return F.nullif(inner, F.lit(""))
 
 
 def json_triage(df: DataFrame, col: str, *, free_text_keys: Sequence[str] = (), quote_invalid_numbers: bool = False, quote_bare_dates: bool = False) -> DataFrame:
     """``df`` with payload (JSON text, null where nothing helps) and rung (how it parsed).
 
-    Rungs: 1 as it is; 1b curly quotes straightened; 2 JSON text in a single-quoted wrapper; 3 quotes flipped and Python literals
-    replaced; 4 free-text keys protected first; 5 loose syntax. Null and empty text have no payload. Clean rows never change.
+    Rungs: 1 as it is; 1b curly quotes straightened, as for all rungs below; 2 JSON text in a single-quoted wrapper; 3 quotes flipped and Python
+    literals replaced; 4 free-text keys and JSON text in single-quoted values protected first; 5 loose syntax. From rung 3 on, strings and what
+    lies between them are told apart, and each repair works on one of them. Null and empty text have no payload. Clean rows never change, a
+    row never fails the job, and its length doesn't matter.
     """
     raw = F.nullif(F.trim(F.col(col)), F.lit(""))
-    clean = ~raw.rlike(f"[{_APOSTROPHE}{_QUOTE}{_LITERAL}]")
-    tries = [("1", raw), ("1b", _straight(raw)), ("2", _wrapper(raw)), ("3", _flip(raw)), ("4", _restore(_flip(_protect(raw, free_text_keys)))), ("5", _loose(raw, quote_invalid_numbers, quote_bare_dates)), ("5", _loose(_flip(raw), quote_invalid_numbers, quote_bare_dates))]
-    if not free_text_keys:
-        tries = [t for t in tries if t[0] != "4"]
-    found = F.lit(None).cast("struct<payload:string,rung:string>")
-    for rung, text in reversed(tries):
-        usable = _ok(text) if rung == "1" else _ok(text) & clean
-        found = F.when(usable, F.struct(text.alias("payload"), F.lit(rung).alias("rung"))).otherwise(found)
-    return df.withColumn("__t", found).select(*[F.col(f"`{c}`") for c in df.columns if c not in ("payload", "rung")], "__t.payload", "__t.rung")
+    clean = ~raw.rlike(f"[{_APOSTROPHE}-{_END}]")
+    base = _straight(raw)
+    quoting = quote_invalid_numbers, quote_bare_dates
+    tries = [("1b", base), ("2", _wrapper(base)), ("3", _flip(base)), ("4", _restore(_flip(_protect(base, free_text_keys)))), ("5", _loose(base, *quoting)), ("5", _loose(_flip(base), *quoting))]
+    found = F.when(_ok(raw), F.struct(raw.alias("payload"), F.lit("1").alias("rung")))
+
+    def parsed(text, rung):
+        return let(text, lambda t: F.when(_ok(t), F.struct(t.alias("payload"), F.lit(rung).alias("rung"))))
+
+    for rung, text in tries:
+        found = F.coalesce(found, F.when(clean, parsed(text, rung)))
+    t = free_name(df, "triaged")
+    return df.withColumn(t, found).select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in ("payload", "rung")], f"{t}.payload", f"{t}.rung")
 
 
 def unwrap_envelope(df: DataFrame, col: str, *, exempt_keys: Sequence[str] = (), passes: int = 3, out: str = "payload") -> DataFrame:
@@ -118,20 +154,38 @@ def rung_mix(df: DataFrame) -> DataFrame:
     return df.groupBy("rung").agg(F.count("*").alias("n"))
 
 
-def _texts(df: DataFrame, col: str) -> DataFrame:
-    """(key, text) of all top-level fields of distinct payloads that parse to an object."""
-    one = df.select(F.col(col).alias("j")).where("j IS NOT NULL").dropDuplicates(["j"]).where(F.try_parse_json("j").isNotNull() & F.col("j").rlike(r"^\s*\{"))
-    return one.select(F.explode(F.from_json("j", "map<string,string>")).alias("key", "text")).where("text IS NOT NULL")
+def _walk(df: DataFrame, col: str) -> DataFrame:
+    """(id, key, text, named, inner): every string in the distinct payloads that parse, however deep, with the key it stands under.
+
+    ``named`` strings are a key's own value, not an item of its list; ``inner`` ones lie in JSON text that is itself a string. One job for
+    each level of nesting, over what is left to open; ``id`` is a 64-bit hash of the payload.
+    """
+    spark = df.sparkSession
+    level = df.select(F.col(col).alias("j")).where(_ok(F.col("j"))).distinct().select(F.xxhash64("j").alias("id"), F.lit(None).cast("string").alias("key"), F.lit(False).alias("inner"), "j")
+    found = None
+    while True:
+        level = stage(level, "walk-level")
+        if found is not None and level.isEmpty():
+            return found
+        opened = spark.sql("SELECT f.id, f.key AS parent, f.inner, c.key, c.value FROM {level} f, LATERAL variant_explode(try_parse_json(f.j)) c", level=level)
+        kind = F.schema_of_variant("value")
+        opened = opened.select("id", F.coalesce("key", "parent").alias("key"), "inner", F.col("key").isNotNull().alias("named"), (kind == "STRING").alias("is_text"), kind.rlike("^(OBJECT|ARRAY)").alias("deeper"),
+                               F.when(kind == "STRING", F.try_variant_get("value", "$", "string")).otherwise(F.to_json("value")).alias("text"))
+        opened = stage(opened.where("is_text OR deeper"), "walk")
+        texts = opened.where("is_text AND key IS NOT NULL").select("id", "key", "text", "named", "inner")
+        found = texts if found is None else found.unionByName(texts)
+        nested = F.col("is_text") & F.col("named") & F.col("text").rlike(r"^\s*+[\[{]") & _ok(F.col("text"))
+        level = opened.where(F.col("deeper") | nested).select("id", "key", (F.col("inner") | F.col("is_text")).alias("inner"), F.col("text").alias("j"))
 
 
 # fixed values: classes of what breaks hand-written JSON
-BREAKERS = {"apostrophe": "'", "quote": '"', "backslash": r"\\", "newline": "\n", "tab": "\t", "smart_quote": "[‘’“”]", "bare_literal": r"^(None|True|False)$"}
+BREAKERS = {"apostrophe": "'", "quote": '"', "backslash": r"\\", "newline": "\n", "tab": "\t", "smart_quote": "[‘’“”]", "bare_literal": r"\b(None|True|False|NaN|undefined)\b"}
 
 
 def breaker_profile(df: DataFrame, col: str) -> DataFrame:
-    """(key, breaker, n): in how many distinct payloads a key's text holds each breaker."""
-    flags = F.explode(F.array(*[F.when(F.col("text").rlike(p), F.lit(n)) for n, p in BREAKERS.items()])).alias("breaker")
-    return _texts(df, col).select("key", flags).where("breaker IS NOT NULL").groupBy("key", "breaker").agg(F.count("*").alias("n"))
+    """(key, breaker, n): in how many distinct payloads a text under a key holds each breaker, at any depth."""
+    flags = F.explode(F.array_compact(F.array(*[F.when(F.col("text").rlike(p), F.lit(n)) for n, p in BREAKERS.items()]))).alias("breaker")
+    return _walk(df, col).select("id", "key", flags).distinct().groupBy("key", "breaker").agg(F.count("*").alias("n"))
 
 
 def problem_key_profile(triaged: DataFrame, col: str, *, rungs: Sequence[str] = ("4",)) -> DataFrame:
@@ -141,11 +195,25 @@ def problem_key_profile(triaged: DataFrame, col: str, *, rungs: Sequence[str] =
     return hard.select(keys.alias("key"), "rung").groupBy("key", "rung").agg(F.count("*").alias("n"))
 
 
+def _is_date(text: Column) -> Column:
+    """Whether a text is a day that exists, as 2024-01-31, 01/31/2024 or 01-31-2024, or begins as 2024-01-31T10:00:00."""
+    formats = {r"^\d{4}-\d\d-\d\d$": "yyyy-MM-dd", r"^\d\d/\d\d/\d{4}$": "MM/dd/yyyy", r"^\d\d-\d\d-\d{4}$": "MM-dd-yyyy", r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d": "yyyy-MM-dd'T'HH:mm:ss"}
+    is_date = F.lit(False)
+    for pattern, form in formats.items():
+        is_date = is_date | (text.rlike(pattern) & F.try_to_timestamp(F.substring(text, 1, 19), F.lit(form)).isNotNull())
+    return is_date
+
+
+def _keys_where(df: DataFrame, col: str, is_it: Column) -> DataFrame:
+    own = _walk(df, col).where("named AND NOT inner").where(is_it)
+    return own.select("id", "key").distinct().groupBy("key").agg(F.count("*").alias("n"))
+
+
 def date_like_keys(df: DataFrame, col: str) -> DataFrame:
-    """(key, n): keys whose text is a date."""
-    return _texts(df, col).where(F.col("text").rlike(r"^\d{4}-\d\d-\d\d([T ].*)?$")).groupBy("key").agg(F.count("*").alias("n"))
+    """(key, n): keys whose text is a date, at any depth, and in how many distinct payloads."""
+    return _keys_where(df, col, _is_date(F.col("text")))
 
 
 def leading_zero_keys(df: DataFrame, col: str) -> DataFrame:
-    """(key, n): keys whose text is a number with a leading zero."""
-    return _texts(df, col).where(F.col("text").rlike(r"^0\d+$")).groupBy("key").agg(F.count("*").alias("n"))
+    """(key, n): keys whose text is a number with a leading zero, at any depth, and in how many distinct payloads."""
+    return _keys_where(df, col, F.col("text").rlike(r"^0\d+$"))

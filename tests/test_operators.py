@@ -35,6 +35,17 @@ SHAPES = [
     ("empty", "", None, None),
     ("hopeless", "{'a': [1, 2", None, None),
     ("protected character", "{'a': '\ue000'}", None, None),
+    ("comma in a string", '{"a": "x,}y", b: 1}', {"a": "x,}y", "b": 1}, "5"),
+    ("lines", '{\n "a": 1,\n "b": 2,\n}', {"a": 1, "b": 2}, "5"),
+    ("literal beside an apostrophe", '{"v": None, "t": "it\'s"}', {"v": None, "t": "it's"}, "3"),
+    ("key pattern in a string", '{"a": "see, key: v", b: 1}', {"a": "see, key: v", "b": 1}, "5"),
+    ("escaped backslash", '{"p": "C:\\\\Users", "q": 1,}', {"p": "C:\\Users", "q": 1}, "5"),
+    ("curly single quotes", "{‘a’: ‘b’}", {"a": "b"}, "3"),
+    ("free text twice", "[{'note': 'girls' night', 'n': 1}, {'note': 'boys' day', 'n': 2}]", [{"note": "girls' night", "n": 1}, {"note": "boys' day", "n": 2}], "4"),
+    ("JSON text beside other keys", "{'a': 'x', 'p': '{\"id\": 1}'}", {"a": "x", "p": '{"id": 1}'}, "4"),
+    ("form feed", '{"a": "x\x0cy\x01"}', {"a": "x\x0cy\x01"}, "5"),
+    ("wrapper", "{'payload': '{\"id\": \"x\"}'}", {"id": "x"}, "2"),
+    ("literals in a list of bare values", "[12ab, None, True, 3-4b]", ["12ab", None, True, "3-4b"], "5"),
     ("nested", '{"a": ' + "[" * 300 + "]" * 300 + "}", {"a": json.loads("[" * 300 + "]" * 300)}, "1"),
 ]
 
@@ -46,6 +57,18 @@ def test_triage_shapes(spark, name, raw, want, rung):
     assert (json.loads(got["payload"]) if got["payload"] else None) == want
 
 
+def test_triage_takes_texts_of_any_length(spark):
+    n = 60_000
+    texts = {
+        "literals": ("{'v': None, 'a': [" + ", ".join(["'x'"] * n) + "]}", "3"), "blanks": ('{"a": 1,' + " \n" * 300_000 + "}", "5"), "quotes": ('{"a": "' + '\\"' * 200_000 + '",}', "5"),
+        "free": ("{'note': 'the dogs' toys " + "x 'y' " * 100_000 + "', 'n': 1}", "4"), "stray": ("{'" * 100_000, None), "keys": ("{" + ", ".join(f"k{i}: None" for i in range(n)) + "}", "5"), "backslashes": ('{"a": "' + "c:\\d " * 100_000 + '"}', "5"),
+        "open": ('{"a": "' + "\\x" * 200_000, None), "numbers": ("[" + "1-2" * 100_000 + "]", None),
+    }
+    df = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "name string, raw string")
+    got = {r["name"]: r for r in triage.json_triage(df, "raw", free_text_keys=["note"]).select("name", "rung", F.length("payload").alias("n")).collect()}
+    assert {k: r["rung"] for k, r in got.items()} == {k: rung for k, (_, rung) in texts.items()}
+
+
 def test_triage_flags(spark):
     df = spark.createDataFrame([('{"a": 007, "d": 2024-01-02}',)], "raw string")
     got = triage.json_triage(df, "raw", quote_invalid_numbers=True, quote_bare_dates=True).first()
@@ -64,6 +87,9 @@ def test_profiles_of_broken_json(spark):
     df = spark.createDataFrame([('{"a": "it\'s", "d": "2024-01-01", "z": "007", "l": "None"}',), ("{broken: ",)], "raw string")
     assert ("a", "apostrophe", 1) in rows(triage.breaker_profile(df, "raw")) and ("l", "bare_literal", 1) in rows(triage.breaker_profile(df, "raw"))
     assert rows(triage.date_like_keys(df, "raw")) == [("d", 1)] and rows(triage.leading_zero_keys(df, "raw")) == [("z", 1)]
+    deep = spark.createDataFrame([('{"a": {"b": "it\'s None here", "d": ["01/31/2024", {"e": "02-30-2024", "f": "2024-01-01T00:00:00Z"}]}, "c": "x is None", "s": "{\\"i\\": \\"tab\\\\tso \\u2019\\"}", "l": ["it\'s", ["a\\"b"]]}',)] * 2, "raw string")
+    assert rows(triage.breaker_profile(deep, "raw")) == sorted([("b", "apostrophe", 1), ("b", "bare_literal", 1), ("c", "bare_literal", 1), ("s", "quote", 1), ("s", "backslash", 1), ("s", "smart_quote", 1), ("i", "tab", 1), ("i", "smart_quote", 1), ("l", "apostrophe", 1), ("l", "quote", 1)])
+    assert rows(triage.date_like_keys(deep, "raw")) == [("f", 1)]
     assert triage.needs_repair(df, "raw") and not triage.needs_repair(df.where("raw LIKE '%it%'"), "raw")
     assert rows(triage.problem_key_profile(triage.json_triage(df, "raw"), "raw")) == [("broken", None, 1)]
 
