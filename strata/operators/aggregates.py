@@ -48,8 +48,9 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key: str, share: float, *, seed: int = 42) -> DataFrame:
-    """About ``share`` of the rows by a hash of the key: the same rows in whatever order or partitions they come."""
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 20)) < share * (1 << 20))
+    """About ``share`` of the rows by a hash of the key's text: the same rows in whatever order or partitions they come; null counts as no text."""
+    h = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"/{seed}"))), 1, 8), 16, 10).cast("bigint")
+    return df.where(h < int(share * (1 << 32)))
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:

@@ -36,12 +36,19 @@ def key_candidates(df: DataFrame, *, table: str = "") -> list[str]:
 
 
 def find_key(df: DataFrame, *, table: str = "") -> str | None:
-    """The first candidate that is unique among its non-null values, tested over all rows in one aggregate."""
+    """The first candidate that is unique among its non-null values, tested over all rows.
+
+    One pass of approximate counts drops those that are far from unique; the others are tested exactly, best first, each by an
+    aggregate of its own, which doesn't multiply rows by the number of candidates.
+    """
     names = key_candidates(df, table=table)
     if not names:
         return None
-    got = _one_row(df, {f"n{i}": F.count(F.col(f"`{c}`")) for i, c in enumerate(names)} | {f"d{i}": F.count_distinct(F.col(f"`{c}`")) for i, c in enumerate(names)})
-    return next((c for i, c in enumerate(names) if got[f"n{i}"] and got[f"n{i}"] == got[f"d{i}"]), None)
+    got = _one_row(df, {f"n{i}": F.count(F.col(f"`{c}`")) for i, c in enumerate(names)} | {f"d{i}": F.approx_count_distinct(F.col(f"`{c}`"), 0.02) for i, c in enumerate(names)})
+    for i, c in enumerate(names):
+        if got[f"n{i}"] and got[f"d{i}"] >= 0.85 * got[f"n{i}"] and df.select(F.col(f"`{c}`").alias("k")).where("k IS NOT NULL").groupBy("k").count().where("count > 1").isEmpty():
+            return c
+    return None
 
 
 def mapping_keys(df: DataFrame, inherited: Sequence[str] = ()) -> list[str]:

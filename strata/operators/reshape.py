@@ -132,9 +132,16 @@ def extract_map(df: DataFrame, *, prefix: str = "cf_", struct_col: str | None =
     return out if struct_col else out.drop(*[f.name for f in chosen])
 
 
-def map_keys_of(df: DataFrame, map_col: str) -> list[str]:
-    """All keys of the whole table, sorted: one row a key to the driver."""
-    return [r[0] for r in df.select(F.explode(F.map_keys(map_col)).alias("k")).distinct().orderBy("k").collect()]
+#: Most keys that become columns.
+MOST_KEYS = 2000
+
+
+def map_keys_of(df: DataFrame, map_col: str, *, most: int = MOST_KEYS) -> list[str]:
+    """All keys of the whole table, sorted; a map with more than ``most`` holds data in its keys, and raises: map_to_rows takes those."""
+    keys = [r[0] for r in df.select(F.explode(F.map_keys(map_col)).alias("k")).distinct().limit(most + 1).collect()]
+    if len(keys) > most:
+        raise ValueError(f"{map_col} has more than {most} keys")
+    return sorted(keys)
 
 
 def pivot_map(df: DataFrame, map_col: str, *, keys_from: DataFrame | None = None, carry: Sequence[str] | None = None) -> DataFrame:

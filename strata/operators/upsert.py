@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.dedup import latest_per_key
 from strata.operators.schema import add_missing_columns, column_drop_guard, reconcile_to_target
@@ -55,13 +56,32 @@ def replace_affected_keys(target: DataFrame, batch: DataFrame, key: str, changed
 
 
 def replace_table(spark: SparkSession, name: str, df: DataFrame, *, allow_drop: Sequence[str] = ()) -> None:
-    """Swap a managed table for ``df``, which may read it: written beside it first, then renamed. Lost columns raise."""
-    if spark.catalog.tableExists(name):
+    """Swap a managed table for ``df``, which may read it: written beside it, then renamed. Lost columns raise.
+
+    The old table is renamed away first and dropped last, so its rows are never without a name: a run that finds ``<name>__old`` and
+    no ``<name>`` puts it back before anything else.
+    """
+    beside, old = f"{name}__next", f"{name}__old"
+    restore_table(spark, name)
+    if exists := spark.catalog.tableExists(name):
         column_drop_guard(spark.table(name).schema, df.schema, allow_drop)
-    beside = f"{name}__next"
     df.write.mode("overwrite").saveAsTable(beside)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if exists:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def restore_table(spark: SparkSession, name: str) -> None:
+    """Put the old table back if a swap has ended between its renames."""
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(f"{name}__old"):
+        spark.sql(f"ALTER TABLE {name}__old RENAME TO {name}")
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a managed table with its rows."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def table_sink(df: DataFrame, name: str, *, mode: str = "append", partition_by: Sequence[str] = ()) -> None:
@@ -76,12 +96,27 @@ def table_sink(df: DataFrame, name: str, *, mode: str = "append", partition_by:
     df.write.mode(mode).partitionBy(*partition_by).saveAsTable(name)
 
 
+def nested_types_differ(old: T.StructType, new: T.StructType) -> bool:
+    """Whether a struct, array or map that both have is of another type, whatever may be null in it."""
+    plain = lambda t: t.simpleString().lower()
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    have = {f.name.lower(): f.dataType for f in old}
+    return any(plain(have[f.name.lower()]) != plain(f.dataType) for f in new if f.name.lower() in have and isinstance(f.dataType, nested) and isinstance(have[f.name.lower()], nested))
+
+
 def write_route(target: DataFrame | None, batch: DataFrame, *, key: str | None = None, watermark=None, ts_col: str = "bronze_updated_at", **kw) -> tuple[str, DataFrame]:
-    """(route, result): ``upsert`` with a key, else ``window`` with a watermark, else ``full``. A declared key the batch hasn't got raises."""
+    """(route, result): ``upsert`` with a key, else ``window`` with a watermark, else ``full``.
+
+    A declared key the batch hasn't got raises. Where a nested column of the batch has other fields or elements than the target's, casting would lose
+    them: the route is ``rebuild`` and the result the batch alone, for the caller to feed with the full history.
+    """
     if key and key not in batch.columns:
         raise ValueError(f"the batch has no key column {key}")
     if target is None:
         return "full", batch
+    if nested_types_differ(target.schema, batch.schema):
+        column_drop_guard(target.schema, batch.schema)
+        return "rebuild", batch
     if key:
         return "upsert", upsert_by_key(target, batch, key, **kw)
     if watermark is not None:

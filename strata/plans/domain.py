@@ -114,6 +114,7 @@ def self_join_versions(spark, d):
 
 _SALES = """f AS (SELECT * FROM orders WHERE lower(substr(o_orderpriority, 3, 20)) IN ('urgent', 'high') QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"""
 ORACLE = {
+    "seeded_sample": f"SELECT o_orderkey FROM orders WHERE ('0x' || substr(md5(o_orderkey || '/42'), 1, 8))::BIGINT < {int(0.1 * (1 << 32))}",
     "staff_dim": "SELECT s_suppkey::VARCHAR AS staff_id, s_name AS full_name, lower(s_name) || '@corp.com' AS email FROM supplier",
     "activity_fact": "SELECT event_id AS id, user_id AS lead_id, s_name AS staff_name FROM events LEFT JOIN supplier ON user_id = s_suppkey",
     "lead_dim": "SELECT c_custkey AS lead_id, CASE WHEN c_nationkey > 20 THEN c_mktsegment ELSE c_name END AS name, c_mktsegment AS status_label, CASE WHEN c_acctbal < 0 THEN c_nationkey::BIGINT END AS merged_into FROM customer",

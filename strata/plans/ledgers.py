@@ -136,8 +136,10 @@ def extract_names(spark, d):
 
 
 def role_attribution(spark, d):
-    bridge = read(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
-    return identity.role_attribution(read(spark, d, "part"), bridge, value="p_partkey", owner="l_suppkey", roles={"parts": F.lit(True), "large": F.col("p_size") > 25})
+    """Lines of orders go to the order's customer; urgent orders have a second owner here, so they are nobody's."""
+    o = read(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority")
+    bridge = o.drop("o_orderpriority").unionByName(o.where("o_orderpriority = '1-URGENT'").select("l_orderkey", (F.col("o_custkey") + 1).alias("o_custkey")))
+    return identity.role_attribution(read(spark, d, "lineitem"), bridge, value="l_orderkey", owner="o_custkey", roles={"lines": F.lit(True), "returned": F.col("l_returnflag") == "R"})
 
 
 def missed_calls(spark, d):
@@ -224,7 +226,8 @@ def service_score(spark, d):
 
 def _rollup(name):
     def run(spark, d):
-        return scoring.service_rollups(_scored(spark, d))[name]
+        got = scoring.service_rollups(_scored(spark, d))[name]
+        return got.select("lead_id", "owner", "service_verdict", "company_service_score") if name == "worst" else got
 
     return run
 
@@ -257,7 +260,8 @@ def epoch_unit_drift(spark, d):
 
 
 def deletion_drift(spark, d):
-    return quality.deletion_drift(read(spark, d, "events").withColumn("day", F.to_date("ts")), "user_id", "day", 3)
+    e = read(spark, d, "events").select(F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("id"), F.to_date("ts").alias("day"))
+    return quality.deletion_drift(e, "id", "day", 3)
 
 
 def dynamic_key_maps(spark, d):
@@ -277,9 +281,9 @@ def _run_log(spark, d):
 
 def fleet_health(spark, d):
     log = _run_log(spark, d)
-    quarantine = log.select("silver_name", F.col("logged_at").alias("quarantined_at")).limit(0)
+    quarantine = read(spark, d, "events").select(F.col("event_type").alias("silver_name"), F.col("ts").alias("quarantined_at"))
     expected = log.select("silver_name").distinct().unionByName(read(spark, d, "region").select(F.col("r_name").alias("silver_name")))
-    return quality.fleet_health(log, quarantine, expected, as_of="2024-01-30", limits={"parse_rate": 1.1, "fields": 10})
+    return quality.fleet_health(log, quarantine, expected, as_of="2024-01-30", limits={"parse_rate": 1.1, "fields": 10, "quarantine_day": 1})
 
 
 def process_table(spark, d):
@@ -348,7 +352,7 @@ UNION ALL SELECT 'check: status', count(*) FILTER (o_orderstatus NOT IN ('F', 'O
     "extract_names": r"""WITH a AS (SELECT source, 1 AS r, trim(regexp_extract(text, '\n(The [a-z]{2,4}) ', 1)) AS n FROM documents), b AS (SELECT source, 2 AS r, regexp_extract(text, '^The\s+([A-Za-z]+)', 1) AS n FROM documents),
 c AS (SELECT * FROM a WHERE n <> '' UNION ALL SELECT source, r, CASE WHEN n = lower(n) OR n = upper(n) THEN upper(n[1]) || lower(n[2:]) ELSE n END FROM b WHERE n <> '' AND lower(n) NOT IN ('there', 'everyone', 'everybody', 'friend', 'buddy', 'man', 'dude', 'brother', 'bro', 'boss', 'team', 'guys', 'folks', 'yes', 'no', 'quick', 'hi', 'hello', 'hey', 'you', 'it'))
 SELECT source, array_to_string(list_sort(list(DISTINCT n)), ' / ') AS name, r AS rung FROM c GROUP BY source, r QUALIFY row_number() OVER (PARTITION BY source ORDER BY r) = 1""",
-    "role_attribution": "WITH b AS (SELECT l_partkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) = 1) SELECT l_suppkey, count(*) AS parts, count(*) FILTER (p_size > 25) AS large FROM part JOIN b ON p_partkey = l_partkey GROUP BY 1",
+    "role_attribution": "SELECT o_custkey, count(*) AS lines, count(*) FILTER (l_returnflag = 'R') AS returned FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderpriority <> '1-URGENT' GROUP BY 1",
     "missed_calls": f"SELECT user_id, count(DISTINCT event_id) FILTER (event_type = 'error' AND date_diff('day', ts::DATE, DATE '{AS_OF}') BETWEEN 0 AND 14) AS missed FROM events GROUP BY 1",
     "days_until_next": "SELECT user_id, min(ts) AS next_at, date_diff('day', DATE '2024-01-25', min(ts)::DATE)::INT AS days FROM events WHERE ts::DATE >= '2024-01-25' GROUP BY 1",
     "share_of_total": "SELECT *, round(100.0 * n / sum(n) OVER (PARTITION BY o_orderstatus), 2) AS pct FROM (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL)",
@@ -375,6 +379,7 @@ SELECT user_id, mf AS message_flag, pf AS platform_flag, gf AS meeting_flag, pat
     "service_ladder_wide": _SERVICE_SQL + " SELECT owner, count(*) AS clients, count(*) FILTER (verdict LIKE '%KEPT') AS kept, count(*) FILTER (verdict LIKE 'WITHIN%') AS within_promise, count(*) FILTER (verdict LIKE '%SLIPPING%') AS slipping, count(*) FILTER (verdict LIKE '%BROKEN%') AS broken, count(*) FILTER (verdict LIKE '%ABANDONED%') AS abandoned, round(avg(score), 1) AS avg_score FROM g GROUP BY 1",
     "service_beside": _SERVICE_SQL + " SELECT 'GOOD' AS health_band, verdict AS service_verdict, count(*) AS clients, 80.0::DOUBLE AS avg_health, round(avg(score), 1) AS avg_service FROM g GROUP BY 2",
     "service_concentration": _SERVICE_SQL + ", k AS (SELECT owner, count(*) AS total, sum(coalesce(wait >= 3, false)::INT)::BIGINT AS failing FROM g GROUP BY 1), l AS (SELECT sum(total) AS t, sum(failing) AS f FROM k) SELECT owner, total, failing, round(100.0 * failing / total, 1) AS failing_pct, round(100.0 * f / t, 1) AS overall_pct, round(100.0 * failing / f, 1) AS share_of_failures, round(100.0 * total / t, 1) AS share_of_total FROM k, l",
+    "service_worst": _SERVICE_SQL + " SELECT lead_id, owner, verdict AS service_verdict, score AS company_service_score FROM g ORDER BY score, v DESC NULLS LAST, lead_id LIMIT 15",
     "service_bench": _SERVICE_SQL + ", k AS (SELECT owner, count(*) AS clients FROM g GROUP BY 1) SELECT count(*) AS owners, sum(clients)::BIGINT AS clients, round(avg(clients), 1) AS clients_per_owner, max(clients) AS largest_book FROM k",
     "type_conflicts": "SELECT 'k' AS field, 'lost' AS problem, count(*) AS n, 1.0::DOUBLE AS share FROM events WHERE props->>'k' IS NOT NULL",
     "null_hygiene": "WITH n AS (SELECT count(*) AS rows, " + ", ".join(f"count(*) FILTER ({c} IS NULL) AS {c}" for c in ("doc_id", "text", "lang", "source", "n_chars")) + ", count(*) FILTER (coalesce(doc_id::VARCHAR, text, lang, source, n_chars::VARCHAR) IS NULL) AS x FROM documents) " + " UNION ALL ".join(f"SELECT '{n}' AS \"column\", {c} AS nulls, rows, {c} = rows AS all_null FROM n" for n, c in (("doc_id", "doc_id"), ("text", "text"), ("lang", "lang"), ("source", "source"), ("n_chars", "n_chars"), ("*", "x"))),
@@ -382,7 +387,7 @@ SELECT user_id, mf AS message_flag, pf AS platform_flag, gf AS meeting_flag, pat
     "event_time_regressions": "SELECT * FROM (SELECT o_custkey, o_orderkey, o_orderdate, lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before FROM orders) WHERE o_orderdate < before",
     "event_time_format": "SELECT CASE WHEN event_type = 'view' THEN 'date' ELSE 'spaced' END AS format, CASE WHEN event_type = 'view' THEN 10 ELSE 19 END AS length, count(*) AS n FROM events GROUP BY ALL",
     "epoch_unit_drift": "SELECT 'o_orderdate' AS \"column\", count(*) FILTER (year(o_orderdate) < 1996) AS n FROM orders",
-    "deletion_drift": "SELECT user_id, max(ts::DATE) AS last_seen FROM events GROUP BY 1 HAVING max(ts::DATE) < (SELECT min(x) FROM (SELECT DISTINCT ts::DATE AS x FROM events ORDER BY x DESC LIMIT 3))",
+    "deletion_drift": "SELECT user_id || '-' || event_type AS id, max(ts::DATE) AS last_seen FROM events GROUP BY 1 HAVING max(ts::DATE) < (SELECT min(x) FROM (SELECT DISTINCT ts::DATE AS x FROM events ORDER BY x DESC LIMIT 3))",
     "dynamic_key_maps": "WITH k AS (SELECT 'u' || user_id AS key FROM events UNION ALL SELECT event_type FROM events), n AS (SELECT key, count(*) AS n FROM k GROUP BY 1) SELECT key, n, round(n / (SELECT count(*) FROM events), 6) AS share FROM n WHERE round(n / (SELECT count(*) FROM events), 6) <= 0.05",
     "literal_leaks": "SELECT 'lang' AS \"column\", count(*) AS n FROM documents WHERE lang = 'en'",
     "process_table": "SELECT user_id AS id, event_id, event_type, (props->>'k')::BIGINT AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",

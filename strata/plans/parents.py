@@ -82,8 +82,10 @@ def process_table(raw: DataFrame, target: DataFrame | None, cfg: Config, *, quar
         flat = sentinel_nulls(flat, cfg.sentinels)
     if cfg.map_prefix:
         flat = extract_map(flat, prefix=cfg.map_prefix)
+    parked = Observation("parked")
     flat = stage(flat, "parent")
-    metrics |= {"parsed_valid": good.count(), "parsed_null": metrics["rung_stats"].get("none", 0), "quarantined_new": bad.count(), "mode": "rebuild" if rebuild else "full" if target is None else "cdc"}
+    bad = stage(bad.observe(parked, F.count("*").alias("n")), "unparsed")
+    metrics |= {"parsed_valid": flat.select("payload_hash").distinct().count(), "parsed_null": metrics["rung_stats"].get("none", 0), "quarantined_new": parked.get["n"], "mode": "rebuild" if rebuild else "full" if target is None else "cdc"}
     all_null_guard(flat.drop("bronze_insert_date", "bronze_updated_at", "payload_hash"))
     key = cfg.key or find_key(flat.drop("payload_hash"), table=cfg.silver)
     null_keys = spark.createDataFrame([], "table_name string, pk_column string, payload_hash string, row_json string")
@@ -115,10 +117,9 @@ def replay_quarantine(quarantine: DataFrame, target: DataFrame, cfg: Config) ->
     out = process_table(quarantine.drop("payload_hash", "payload", "rung"), None, cfg)
     from strata.operators.upsert import upsert_by_key
 
-    done = out.table.select("payload_hash").distinct()
     key = cfg.key or find_key(target, table=cfg.silver)
     event = find_event_time(out.table.schema, cfg.event_times)
-    return upsert_by_key(target, out.table, key, event_time=event), quarantine.join(done, "payload_hash", "left_anti")
+    return upsert_by_key(target, out.table, key, event_time=event), quarantine.join(out.quarantined.select("payload_hash").distinct(), "payload_hash", "left_semi")
 
 
 def run_log(spark: SparkSession, run_id: str, cfg: Config, metrics: dict, *, logged_at, raw_rows: int | None = None, note: str | None = None) -> DataFrame:

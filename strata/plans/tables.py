@@ -58,9 +58,10 @@ def source_profile(spark, d):
 
 
 def source_inventory(spark, d):
-    up = read(spark, d, "nation").select(F.col("n_name").alias("table_name"))
-    config = read(spark, d, "region").select(F.col("r_name").alias("source_table"), (F.col("r_regionkey") % 2 == 0).alias("active"))
-    return incremental.source_inventory(up, config)
+    """Sources that documents name, against those that a configuration, made of the first half of the documents, knows."""
+    docs = read(spark, d, "documents").withColumn("table_name", F.concat_ws("/", "source", "lang"))
+    known = docs.where(F.pmod("doc_id", F.lit(2)) == 0).groupBy(F.concat("table_name", F.when(F.col("lang") == "de", F.lit("-old")).otherwise(F.lit(""))).alias("source_table")).agg((F.count("*") > 3).alias("active"))
+    return incremental.source_inventory(docs.select("table_name"), known)
 
 
 def text_match(spark, d):
@@ -88,8 +89,9 @@ def full_outer_merge(spark, d):
 
 
 def array_membership_join(spark, d):
-    arrays = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("supps"), F.collect_set(F.col("l_linenumber")).alias("lines"))
-    return joins.array_membership_join(read(spark, d, "supplier"), arrays, [("s_suppkey", "supps"), ("s_nationkey", "lines")], left_keep=["s_suppkey"], right_keep=["l_orderkey"]).groupBy("s_suppkey").agg(F.count("*").alias("orders"))
+    arrays = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("supps"), F.collect_set("l_partkey").alias("parts"))
+    suppliers = read(spark, d, "supplier").withColumn("s_code", F.col("s_suppkey") * 3)
+    return joins.array_membership_join(suppliers, arrays, [("s_suppkey", "supps"), ("s_code", "parts")], left_keep=["s_suppkey"], right_keep=["l_orderkey"]).groupBy("s_suppkey").agg(F.count("*").alias("orders"))
 
 
 def multi_bridge_join(spark, d):
@@ -166,10 +168,6 @@ def schema_paths(spark, d):
     return schema.schema_paths(spark, schema.discover_schema(read(spark, d, "events").withColumn("j", F.to_json(F.struct("event_id", F.array(F.struct("event_type", "value")).alias("parts"), "props"))), "j"))
 
 
-def nested_drift(spark, d):
-    return schema.nested_drift(spark, read(spark, d, "orders").schema, read(spark, d, "lineitem").schema)
-
-
 def sentinel_nulls(spark, d):
     return schema.sentinel_nulls(read(spark, d, "customer"), ["building", "MACHINERY"]).select("c_custkey", "c_mktsegment")
 
@@ -186,11 +184,6 @@ def rung_mix(spark, d):
     return triage.rung_mix(json_triage(spark, d))
 
 
-def breaker_profile(spark, d):
-    docs = read(spark, d, "documents").select(F.to_json(F.struct("text", "source")).alias("j"))
-    return triage.breaker_profile(docs, "j")
-
-
 def date_like_keys(spark, d):
     orders = read(spark, d, "orders").select(F.to_json(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderstatus", F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("padded"), "o_orderkey")).alias("j"))
     return triage.date_like_keys(orders, "j").withColumn("kind", F.lit("date")).unionByName(triage.leading_zero_keys(orders, "j").withColumn("kind", F.lit("zero")))
@@ -220,12 +213,12 @@ _DEF = {
     "incremental_load": "SELECT event_id, ts FROM events WHERE ts >= DATE '2024-01-31' - 7",
     "dump_profile": "SELECT o_orderdate::DATE AS ts, count(*) AS rows FROM orders GROUP BY 1",
     "source_profile": "SELECT count(*) AS rows, count(DISTINCT md5(props)) AS distinct_payloads, count(*) FILTER (props IS NULL) AS null_payloads, min(ts) AS first_ts, max(ts) AS last_ts, count(*) FILTER (json_valid(props)) AS parsed FROM events",
-    "source_inventory": "SELECT coalesce(n.n_name, r.r_name) AS table_name, n.n_name IS NOT NULL AS in_source, coalesce(r.r_regionkey % 2 = 0, false) AS in_pipeline, CASE WHEN r.r_name IS NULL THEN 'new' WHEN n.n_name IS NULL THEN 'missing' ELSE 'known' END AS status FROM (SELECT DISTINCT n_name FROM nation) n FULL JOIN region r ON n.n_name = r.r_name",
+    "source_inventory": "WITH u AS (SELECT DISTINCT concat_ws('/', source, lang) AS t FROM documents), c AS (SELECT concat_ws('/', source, lang) || CASE WHEN lang = 'de' THEN '-old' ELSE '' END AS t, count(*) > 3 AS active FROM documents WHERE doc_id % 2 = 0 GROUP BY 1) SELECT coalesce(u.t, c.t) AS table_name, u.t IS NOT NULL AS in_source, coalesce(active, false) AS in_pipeline, CASE WHEN c.t IS NULL THEN 'new' WHEN u.t IS NULL THEN 'missing' ELSE 'known' END AS status FROM u FULL JOIN c ON u.t = c.t",
     "text_match": "SELECT doc_id, coalesce(text ILIKE '%licensed under%' OR text ILIKE '%threat%' OR text ILIKE '%mit%', false) AS hit, NOT coalesce(text ILIKE '%licensed under%' OR text ILIKE '%threat%' OR text ILIKE '%mit%', false) AS miss FROM documents",
     "predicates": "SELECT doc_id, coalesce(len(list_filter(string_split(text, chr(10)), lambda x: length(x) < 20)) > 0, false) AS short_line, source LIKE 'src%' AND length(source) = 4 AS one_digit, lower(source) NOT IN ('src0', 'src1') AS other FROM documents",
     "enrich_left": "SELECT r_name, c_mktsegment, count(*) AS n_lines, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY ALL",
     "full_outer_merge": "SELECT coalesce(a.k, b.k) AS nationkey, customers, customer_bal, suppliers, supplier_bal FROM (SELECT c_nationkey AS k, count(*) AS customers, round(sum(c_acctbal), 2) AS customer_bal FROM customer GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS k, count(*) AS suppliers, round(sum(s_acctbal), 2) AS supplier_bal FROM supplier GROUP BY 1) b ON a.k = b.k",
-    "array_membership_join": "WITH a AS (SELECT DISTINCT l_orderkey, l_suppkey, l_linenumber FROM lineitem) SELECT s_suppkey, count(DISTINCT l_orderkey) AS orders FROM (SELECT s_suppkey, l_orderkey FROM supplier JOIN a ON s_suppkey = l_suppkey UNION SELECT s_suppkey, l_orderkey FROM supplier JOIN a ON s_nationkey = l_linenumber) GROUP BY s_suppkey",
+    "array_membership_join": "WITH a AS (SELECT DISTINCT l_orderkey, l_suppkey, l_partkey FROM lineitem) SELECT s_suppkey, count(DISTINCT l_orderkey) AS orders FROM (SELECT s_suppkey, l_orderkey FROM supplier JOIN a ON s_suppkey = l_suppkey UNION SELECT s_suppkey, l_orderkey FROM supplier JOIN a ON s_suppkey * 3 = l_partkey) GROUP BY s_suppkey",
     "multi_bridge_join": "SELECT s_suppkey, c_custkey FROM supplier JOIN customer ON s_suppkey = c_custkey UNION SELECT s_suppkey, c_custkey FROM supplier JOIN customer ON s_name = c_name UNION SELECT s_suppkey, c_custkey FROM supplier JOIN customer ON s_acctbal = c_acctbal",
     "unique_bridge_join": "SELECT p_partkey, p_brand, s AS l_suppkey FROM part LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS s FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) = 1) ON p_partkey = l_partkey",
     "semi_exists": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')",
@@ -243,6 +236,8 @@ _DEF = {
     "json_triage": "SELECT event_id, CASE WHEN event_id % 5 < 4 THEN (props->>'k')::BIGINT END AS k, (['1', '3', '5', '1b', NULL])[event_id % 5 + 1] AS rung FROM events",
     "rung_mix": "SELECT (['1', '3', '5', '1b', NULL])[event_id % 5 + 1] AS rung, count(*) AS n FROM events GROUP BY ALL",
     "date_like_keys": "SELECT 'day' AS key, count(*) AS n, 'date' AS kind FROM (SELECT DISTINCT o_orderkey FROM orders) UNION ALL SELECT 'padded', count(*), 'zero' FROM (SELECT DISTINCT o_orderkey FROM orders)",
+    "find_key": " UNION ALL ".join(f"SELECT '{t}' AS table_name, CASE {' '.join(f"WHEN count({c}) > 0 AND count({c}) = count(DISTINCT {c}) THEN '{c}'" for c in cs.split())} END AS key FROM {t}" for t, cs in {
+        "customer": "c_custkey c_nationkey", "supplier": "s_suppkey s_nationkey", "part": "p_partkey", "orders": "o_orderkey o_custkey", "lineitem": "l_orderkey l_partkey l_suppkey", "documents": "doc_id", "conversations": "conv_id"}.items()),
     "find_join_keys": """
 WITH fk AS (SELECT DISTINCT 'lineitem' AS t, 'l_orderkey' AS c, l_orderkey::BIGINT AS v FROM lineitem UNION SELECT 'lineitem', 'l_partkey', l_partkey FROM lineitem UNION SELECT 'lineitem', 'l_suppkey', l_suppkey FROM lineitem UNION SELECT 'orders', 'o_custkey', o_custkey FROM orders),
 pk AS (SELECT 'orders' AS t, 'o_orderkey' AS c, o_orderkey AS v FROM orders UNION SELECT 'customer', 'c_custkey', c_custkey FROM customer UNION SELECT 'part', 'p_partkey', p_partkey FROM part UNION SELECT 'supplier', 's_suppkey', s_suppkey FROM supplier UNION SELECT 'nation', 'n_nationkey', n_nationkey FROM nation),
@@ -254,7 +249,7 @@ WHERE l.n >= 30 AND round(b.n / l.n, 4) >= 0.9""",
 _ALL = (
     latest_per_key, byte_dedup, skip_known, replay_filter, canonical_dedup, version_distribution, cdc_filter, incremental_load, dump_profile, source_profile, source_inventory, text_match, predicates, enrich_left, full_outer_merge,
     array_membership_join, multi_bridge_join, unique_bridge_join, semi_exists, last_access_pick, explode_to_child, explode_fragments, unpivot_arrays, conditional_pivot, pivot_map, map_to_rows, extract_map, parse_payload, cast_tree,
-    schema_paths, nested_drift, sentinel_nulls, json_triage, rung_mix, breaker_profile, date_like_keys, find_join_keys, find_key,
+    schema_paths, sentinel_nulls, json_triage, rung_mix, date_like_keys, find_join_keys, find_key,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLE = _DEF
