@@ -121,7 +121,7 @@ def overlap_bound_own(n: int, percent: int) -> int:
 #: Most pairs of rows that are broadcast to the sets (24 bytes each); beyond, the sets are shuffled to them.
 BROADCAST_PAIRS = 1 << 20
 #: Rows of a column that are multiplied by each other in one task; columns with more are cut to blocks of as many.
-BLOCK = 256
+BLOCK = 4096
 #: Most bits of the filter of wanted ids that is broadcast (8 MB); beyond, texts are joined by id instead.
 FILTER_BITS = 1 << 26
 
@@ -376,7 +376,9 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     def beyond(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """``pairs`` that haven't been tried, and the sets of all rows tried by then."""
-        new = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
+        low, high = F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")
+        new = pairs.select("a", "b", low, high).join(tried.select(low, high).distinct(), ["low", "high"], "left_anti")
+        new = stage(new.select("a", "b"), "rest")  # a stays the pivot: as b it would be a hot key
         return new, sets.unionByName(_fetch(text, classes(new).join(classes(tried), "cls", "left_anti").join(reps, "cls"), k))
 
     while True:
