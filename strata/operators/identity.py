@@ -122,7 +122,7 @@ def role_attribution(facts: DataFrame, bridge: DataFrame, *, value: str, owner:
     return owned.groupBy(owner).agg(*[F.count_if(c).alias(n) for n, c in roles.items()])
 
 
-# fixed values: words that follow a greeting and are no name
+# fixed values: words that follow a greeting and are no name, and the pattern of a greeting with a name
 STOP_WORDS = ("there", "everyone", "everybody", "friend", "buddy", "man", "dude", "brother", "bro", "boss", "team", "guys", "folks", "yes", "no", "quick", "hi", "hello", "hey", "you", "it")
 GREETING = r"(?:Hey|Hi|Hello)\s+([A-Za-z]+)\s*[,!\.]"
 
