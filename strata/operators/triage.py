@@ -4,37 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.shared import free_name, let, stage
 
-#: Private-use characters that stand for protected ones and ends of values while quotes are flipped; rows that hold them already are not repaired.
-_APOSTROPHE, _QUOTE, _BEGIN, _END = "\ue000", "\ue001", "\ue002", "\ue003"
+#: Private-use characters that stand for protected ones while quotes are flipped; rows that hold them already are not repaired.
+_APOSTROPHE, _QUOTE = "\ue000", "\ue001"
 _CURLY = ("“”„‘’", "\"\"\"''")
-#: A text's pieces in order: quoted strings of both kinds, and the gaps between them. Loops are possessive, so texts of any length take no stack.
-_PIECES = r"""(?s)"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'|[^"']++|["']"""
+#: A text's pieces in order: quoted strings of both kinds, and the gaps between them. A string that doesn't end is the last piece. Loops are possessive and every match is kept, so a text is read once and takes no stack, whatever its length.
+_PIECES = r"""(?s)"(?:[^"\\]++|\\.)*+(?:"|\\?+\z)|'(?:[^'\\]++|\\.)*+(?:'|\\?+\z)|[^"']++"""
+_WHOLE = r"""(?s)"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'"""
 # where a bare value may begin and end
-_OPEN, _CLOSE = r"([:,\[(]\s*+)", r"(?=\s*+[,}\])])"
+_OPEN, _CLOSE = r"([:,\[]\s*+)", r"(?=\s*+[,}\]])"
+#: Where a single-quoted value ends for sure: before the next key, or the end of its object.
+_ENDS = r"(?=\s*+,\s*+'[^']++'\s*+:|\s*+\})"
 
 
 def _ok(c: Column) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    """Whether a text is one JSON value and nothing else.
+
+    Spark's parser stops where a value ends, whatever follows. So the text is parsed as the only item of a list, with its own hash behind the list,
+    which must come out again. A brace with neither a string nor its end behind it is no JSON: most broken texts stop here, without an exception.
+    """
+    sealed = F.try_parse_json(F.concat(F.lit('{"v":['), c, F.lit('],"w":'), F.xxhash64(c).cast("string"), F.lit("}")))
+    whole = let(sealed, lambda v: (F.try_variant_get(v, "$.w", "bigint") == F.xxhash64(c)) & F.try_variant_get(v, "$.v[0]", "variant").isNotNull() & F.try_variant_get(v, "$.v[1]", "variant").isNull())
+    return F.when(c.rlike(r'\A\s*+\{\s*+[^"}\s]'), F.lit(False)).otherwise(F.coalesce(whole, F.lit(False)))
+
+
+def last_key_wins(spark: SparkSession) -> None:
+    """Let Spark's JSON parser take objects that repeat a key, the last one winning, from now on in this session."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
 def _straight(c: Column) -> Column:
     return F.translate(c, *_CURLY)
 
 
-def _by_piece(c: Column, *, double=None, single=None, gap=None) -> Column:
-    """``c`` with its double- and single-quoted strings and the gaps between them changed, each by its own function."""
+def _by_piece(c: Column, *, double=None, single=None, gap=None, tail=None) -> Column:
+    """``c`` with its double- and single-quoted strings, the gaps between them and a string that doesn't end changed, each by its own function."""
     same = lambda x: x
 
-    def change(x):
-        is_string = F.length(x) > 1
-        return F.when(x.startswith('"') & is_string, (double or same)(x)).when(x.startswith("'") & is_string, (single or same)(x)).otherwise((gap or same)(x))
+    def change(pieces):
+        def one(x, i):
+            ended = (i < F.size(pieces) - 1) | F.regexp_like(x, F.lit(rf"\A(?:{_WHOLE})\z"))
+            quoted = x.startswith('"') | x.startswith("'")
+            return F.when(~quoted, (gap or same)(x)).when(~ended, (tail or same)(x)).when(x.startswith('"'), (double or same)(x)).otherwise((single or same)(x))
+
+        return F.transform(pieces, one)
 
-    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_PIECES), F.lit(0)), change), "")
+    return F.array_join(let(F.regexp_extract_all(c, F.lit(_PIECES), F.lit(0)), change), "")
 
 
 def _bare_literals(gap: Column) -> Column:
@@ -44,23 +63,42 @@ def _bare_literals(gap: Column) -> Column:
     return gap
 
 
-def _flip(c: Column) -> Column:
-    """Single-quoted strings as double-quoted ones, bare Python literals as JSON; apostrophes between letters and whole double-quoted strings stay."""
+def _flip(c: Column, *, escape: bool = False) -> Column:
+    """Single-quoted strings as double-quoted ones, bare Python literals as JSON; apostrophes between letters and whole double-quoted strings stay.
+
+    ``escape``: double quotes inside a single-quoted string get a backslash, unless they have one.
+    """
     kept = F.regexp_replace(c, r"(\p{L})'(?=\p{L})", f"$1{_APOSTROPHE}")
-    single = lambda x: F.concat(F.lit('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit("\\'"), F.lit("'")), F.lit('"'))
-    turned = _by_piece(kept, single=single, gap=lambda x: F.replace(_bare_literals(x), F.lit("'"), F.lit('"')))
-    return F.replace(turned, F.lit(_APOSTROPHE), F.lit("'"))
+
+    def single(x):
+        inner = F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit("\\'"), F.lit("'"))
+        return F.concat(F.lit('"'), F.regexp_replace(inner, r'(?<!\\)((?:\\\\)*+)"', r'$1\\"') if escape else inner, F.lit('"'))
+
+    # a string that doesn't end: what was meant for quotes becomes some, the rest is for the parser to judge
+    tail = lambda x: F.when(x.startswith("'"), F.concat(F.lit('"'), F.substring(x, F.lit(2), F.length(x)))).otherwise(F.replace(x, F.lit("'"), F.lit('"')))
+    return F.replace(_by_piece(kept, single=single, gap=_bare_literals, tail=tail), F.lit(_APOSTROPHE), F.lit("'"))
 
 
 def _protect(c: Column, keys: Sequence[str]) -> Column:
-    """Apostrophes and double quotes as private-use characters inside single-quoted values: every one of a free-text key, and all that hold JSON text."""
-    end = r"'(?=\s*+,\s*+'[^']++'\s*+:|\s*+\})"
-    marked = F.regexp_replace(c, rf"(?s)('\w++'\s*+:\s*+)'([\[{{][^{_BEGIN}]*?){end}", f"$1{_BEGIN}$2{_END}")
-    if keys:
-        named = "|".join(rf"\Q{k}\E" for k in keys)
-        marked = F.regexp_replace(marked, rf"(?s)('(?:{named})'\s*+:\s*+)'([^{_BEGIN}]*?){end}", f"$1{_BEGIN}$2{_END}")
-    safe = lambda x: F.when(x.startswith(_BEGIN), F.concat(F.lit("'"), F.translate(F.substring(x, F.lit(2), F.length(x) - 2), "'\"", _APOSTROPHE + _QUOTE), F.lit("'"))).otherwise(x)
-    return F.array_join(F.transform(F.regexp_extract_all(marked, F.lit(f"(?s){_BEGIN}[^{_END}]*+{_END}|[^{_BEGIN}]++"), F.lit(0)), safe), "")
+    """Apostrophes and double quotes as private-use characters inside single-quoted values: every one of a free-text key, and all that hold JSON text.
+
+    One pass: a value reaches to the first place where one ends for sure. If there is none, no later value has one either, and the rest is one piece.
+    """
+    named = "".join(rf"|\Q{k}\E" for k in keys)
+    opening = rf"'(?:(?:(?!){named})'\s*+:\s*+'|\w++'\s*+:\s*+'(?=[\[{{]))"
+    pieces = rf"(?s){opening}(?:[^']++|'(?!{_ENDS}))*+(?:'|\z)|'|[^']++"
+
+    def change(found):
+        def one(x, i):
+            def inside(head):
+                value = F.substring(x, F.length(head) + 1, F.length(x) - F.length(head) - 1)
+                return F.when((F.length(head) > 0) & (i < F.size(found) - 1), F.concat(head, F.translate(value, "'\"", _APOSTROPHE + _QUOTE), F.lit("'"))).otherwise(x)
+
+            return F.when(F.length(x) > 1, let(F.regexp_extract(x, rf"\A{opening}", 0), inside)).otherwise(x)
+
+        return F.transform(found, one)
+
+    return F.array_join(let(F.regexp_extract_all(c, F.lit(pieces), F.lit(0)), change), "")
 
 
 def _restore(c: Column) -> Column:
@@ -102,22 +140,28 @@ def json_triage(df: DataFrame, col: str, *, free_text_keys: Sequence[str] = (),
     """``df`` with payload (JSON text, null where nothing helps) and rung (how it parsed).
 
     Rungs: 1 as it is; 1b curly quotes straightened, as for all rungs below; 2 JSON text in a single-quoted wrapper; 3 quotes flipped and Python
-    literals replaced; 4 free-text keys and JSON text in single-quoted values protected first; 5 loose syntax. From rung 3 on, strings and what
-    lies between them are told apart, and each repair works on one of them. Null and empty text have no payload. Clean rows never change, a
-    row never fails the job, and its length doesn't matter.
+    literals replaced; 4 free-text keys and JSON text in single-quoted values protected first, double quotes in single-quoted strings escaped; 5
+    loose syntax. From rung 3 on, strings and what lies between them are told apart, and each repair works on one of them. Null and empty text
+    have no payload. Clean rows never change, a row never fails the job, and each rung reads a text once, in time that grows as its length.
+
+    An object may repeat a key, the last one wins: the session is set so (last_key_wins), for whatever parses the payload later as well.
     """
+    last_key_wins(df.sparkSession)
     raw = F.nullif(F.trim(F.col(col)), F.lit(""))
-    clean = ~raw.rlike(f"[{_APOSTROPHE}-{_END}]")
-    base = _straight(raw)
+    clean = ~raw.rlike(f"[{_APOSTROPHE}{_QUOTE}]")
     quoting = quote_invalid_numbers, quote_bare_dates
-    tries = [("1b", base), ("2", _wrapper(base)), ("3", _flip(base)), ("4", _restore(_flip(_protect(base, free_text_keys)))), ("5", _loose(base, *quoting)), ("5", _loose(_flip(base), *quoting))]
-    found = F.when(_ok(raw), F.struct(raw.alias("payload"), F.lit("1").alias("rung")))
 
     def parsed(text, rung):
         return let(text, lambda t: F.when(_ok(t), F.struct(t.alias("payload"), F.lit(rung).alias("rung"))))
 
-    for rung, text in tries:
-        found = F.coalesce(found, F.when(clean, parsed(text, rung)))
+    def repaired(base):
+        quoted = F.contains(base, F.lit("'"))
+        spared = lambda flipped: F.when(quoted, parsed(_restore(_flip(_protect(base, free_text_keys), escape=True)), "4"))
+        return F.coalesce(
+            F.when(base != raw, parsed(base, "1b")), F.when(quoted, parsed(_wrapper(base), "2")),
+            let(_flip(base), lambda flipped: F.coalesce(F.when(flipped != base, parsed(flipped, "3")), spared(flipped), parsed(_loose(base, *quoting), "5"), F.when(flipped != base, parsed(_loose(flipped, *quoting), "5")))))
+
+    found = F.when(_ok(raw), F.struct(raw.alias("payload"), F.lit("1").alias("rung"))).otherwise(F.when(clean, let(_straight(raw), repaired)))
     t = free_name(df, "triaged")
     return df.withColumn(t, found).select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in ("payload", "rung")], f"{t}.payload", f"{t}.rung")
 
@@ -125,26 +169,29 @@ def json_triage(df: DataFrame, col: str, *, free_text_keys: Sequence[str] = (),
 def unwrap_envelope(df: DataFrame, col: str, *, exempt_keys: Sequence[str] = (), passes: int = 3, out: str = "payload") -> DataFrame:
     """``df`` with stringified inner JSON in place of its record, and a single key's list in place of its object.
 
-    Values of exempt keys are prose and stay. ``wrapped`` tells whether a row still had an envelope after the last pass.
+    Values of exempt keys are prose and stay. ``wrapped`` tells whether a row still had an envelope after the last pass. Repeated keys as in json_triage.
     """
+    last_key_wins(df.sparkSession)
+
     def inner(c):
-        m = F.from_json(F.when(F.try_parse_json(c).isNotNull() & c.rlike(r"^\s*\{"), c), "map<string,string>")
+        m = F.from_json(F.when(_ok(c) & c.rlike(r"^\s*\{"), c), "map<string,string>")
         texts = F.map_values(F.map_filter(m, lambda k, v: ~k.isin(list(exempt_keys)) & v.rlike(r"^\s*[\[{]")))
-        kinds = F.from_json(F.when(F.try_parse_json(c).isNotNull() & c.rlike(r"^\s*\{"), c), "map<string,variant>")
+        kinds = F.from_json(F.when(_ok(c) & c.rlike(r"^\s*\{"), c), "map<string,variant>")
         named = F.map_filter(kinds, lambda k, v: ~k.isin(list(exempt_keys)) & (F.schema_of_variant(v) == "STRING") & F.try_variant_get(v, "$", "string").rlike(r"^\s*[\[{]"))
         stringified = F.try_variant_get(F.try_element_at(F.map_values(named), F.lit(1)), "$", "string")
         best = F.when(_ok(stringified), stringified).when(_ok(_flip(stringified)), _flip(stringified))
         listed = F.when((F.size(kinds) == 1) & F.schema_of_variant(F.try_element_at(F.map_values(kinds), F.lit(1))).startswith("ARRAY"), F.try_element_at(texts, F.lit(1)))
         return F.coalesce(best, F.when(_ok(listed), listed))
 
-    df = df.withColumn(out, F.col(col))
-    for i in range(passes):
-        df = df.withColumn(f"__in{i}", inner(F.col(out))).withColumn(out, F.coalesce(f"__in{i}", out)).drop(f"__in{i}")
+    df, held = df.withColumn(out, F.col(col)), free_name(df, "inner")
+    for _ in range(passes):
+        df = df.withColumn(held, inner(F.col(out))).withColumn(out, F.coalesce(held, out)).drop(held)
     return df.withColumn("wrapped", inner(F.col(out)).isNotNull())
 
 
 def needs_repair(df: DataFrame, col: str) -> bool:
     """Whether any row fails to parse as it is: one aggregate over all rows."""
+    last_key_wins(df.sparkSession)
     bad = F.col(col).isNotNull() & (F.trim(F.col(col)) != "") & ~_ok(F.col(col))
     return bool(df.agg(F.bool_or(bad).alias("bad")).first()["bad"])
 

@@ -20,12 +20,12 @@ def _k(spark, d) -> DataFrame:
 
 
 def json_ladder(spark, d):
-    """Every rung with its opt-ins: nine shapes of the same record, one for each remainder of the id."""
-    shapes = ['{{"k": {k}}}', "{{'k': {k}}}", '{{"k": {k},}}', "{{“k”: {k}}}", "{{'payload': '{{\"k\": {k}}}'}}", "{{'note': 'girls' night', 'k': {k}}}", "{{'p': '{{\"x\": 1}}', 'k': {k}}}", '{{k: {k}, z: 007}}', '{{"k": {k}, "d": 2024-01-02}}']
-    raw = F.coalesce(*[F.when(F.pmod("event_id", F.lit(9)) == i, F.replace(F.lit(s.replace("{{", "{").replace("}}", "}")), F.lit("{k}"), F.col("k"))) for i, s in enumerate(shapes)])
+    """Every rung with its opt-ins: twelve shapes of the same record, one for each remainder of the id."""
+    shapes = ['{{"k": {k}}}', "{{'k': {k}}}", '{{"k": {k},}}', "{{“k”: {k}}}", "{{'payload': '{{\"k\": {k}}}'}}", "{{'note': 'girls' night', 'k': {k}}}", "{{'p': '{{\"x\": 1}}', 'k': {k}}}", '{{k: {k}, z: 007}}', '{{"k": {k}, "d": 2024-01-02}}', "{{'k': {k}, 'a': None, 'b': [True, False], 'note': 'None'}}", '{{"k": 0, "k": {k}}}', "{{'k': {k}, 'x': 'so \"called\"', 'z': None}}"]
+    raw = F.coalesce(*[F.when(F.pmod("event_id", F.lit(len(shapes))) == i, F.replace(F.lit(s.replace("{{", "{").replace("}}", "}")), F.lit("{k}"), F.col("k"))) for i, s in enumerate(shapes)])
     got = triage.json_triage(_k(spark, d).withColumn("raw", raw), "raw", free_text_keys=["note"], quote_invalid_numbers=True, quote_bare_dates=True)
-    value = F.coalesce(*[F.get_json_object("payload", f"$.{x}") for x in ("note", "p", "z", "d")])
-    return got.select("event_id", F.get_json_object("payload", "$.k").cast("bigint").alias("k"), "rung", value.alias("beside"))
+    value = F.coalesce(*[F.get_json_object("payload", f"$.{x}") for x in ("note", "p", "z", "d", "x")])
+    return got.select("event_id", F.try_variant_get(F.try_parse_json("payload"), "$.k", "bigint").alias("k"), "rung", value.alias("beside"))
 
 
 def unwrap_envelope(spark, d):
@@ -257,7 +257,7 @@ _MAIL = "'c' || c_custkey || CASE WHEN c_custkey % 40 = 0 THEN '@corp.com' ELSE
 _BREAKS = {"apostrophe": "contains(t, '''')", "quote": "contains(t, '\"')", "backslash": "contains(t, chr(92))", "newline": "contains(t, chr(10))", "tab": "contains(t, chr(9))", "smart_quote": "regexp_matches(t, '[‘’“”]')", "bare_literal": r"regexp_matches(t, '\b(None|True|False|NaN|undefined)\b')"}
 
 ORACLE = {
-    "json_ladder": "SELECT event_id, (props->>'k')::BIGINT AS k, (['1', '3', '5', '1b', '2', '4', '4', '5', '5'])[event_id % 9 + 1] AS rung, CASE event_id % 9 WHEN 5 THEN 'girls'' night' WHEN 6 THEN '{\"x\": 1}' WHEN 7 THEN '007' WHEN 8 THEN '2024-01-02' END AS beside FROM events",
+    "json_ladder": "SELECT event_id, (props->>'k')::BIGINT AS k, (['1', '3', '5', '1b', '2', '4', '4', '5', '5', '3', '1', '4'])[event_id % 12 + 1] AS rung, CASE event_id % 12 WHEN 5 THEN 'girls'' night' WHEN 6 THEN '{\"x\": 1}' WHEN 7 THEN '007' WHEN 8 THEN '2024-01-02' WHEN 9 THEN 'None' WHEN 11 THEN 'so \"called\"' END AS beside FROM events",
     "unwrap_envelope": "SELECT event_id, CASE WHEN event_id % 4 < 3 THEN (props->>'k')::BIGINT END AS k, event_id % 4 = 3 AS stayed, false AS wrapped FROM events",
     "needs_repair": "SELECT event_type, bool_or(NOT json_valid(CASE WHEN event_type = 'error' THEN replace(props, '\"', '''') ELSE props END)) AS repair FROM events WHERE event_type IN ('click', 'error') GROUP BY 1",
     "problem_key_profile": "SELECT event_type AS key, CASE event_id % 3 WHEN 0 THEN '4' END AS rung, count(*) AS n FROM events WHERE event_id % 3 < 2 GROUP BY ALL UNION ALL SELECT 'note', '4', count(*) FROM events WHERE event_id % 3 = 0",

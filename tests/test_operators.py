@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import date, datetime
 
 import pytest
@@ -44,6 +45,15 @@ SHAPES = [
     ("free text twice", "[{'note': 'girls' night', 'n': 1}, {'note': 'boys' day', 'n': 2}]", [{"note": "girls' night", "n": 1}, {"note": "boys' day", "n": 2}], "4"),
     ("JSON text beside other keys", "{'a': 'x', 'p': '{\"id\": 1}'}", {"a": "x", "p": '{"id": 1}'}, "4"),
     ("form feed", '{"a": "x\x0cy\x01"}', {"a": "x\x0cy\x01"}, "5"),
+    ("repeated keys", '{"a": 1, "b": {"c": 1, "c": 2}, "a": 3}', {"a": 3, "b": {"c": 2}}, "1"),
+    ("repeated keys in single quotes", "{'a': None, 'a': 2}", {"a": 2}, "3"),
+    ("double quotes in single ones", "{'a': 'say \"hi\"', 'b': None}", {"a": 'say "hi"', "b": None}, "4"),
+    ("text after the value", '{"a": 1} {"b": 2}', None, None),
+    ("bracket after the value", '{"a": 1}}', None, None),
+    ("two values", "1, 2", None, None),
+    ("its own end", '1],"w":5} x', None, None),
+    ("tuple", "{'a': (1, None)}", None, None),
+    ("wrapper of two keys", "{'a': '[1]', 'b': '[2]'}", {"a": "[1]", "b": "[2]"}, "3"),
     ("wrapper", "{'payload': '{\"id\": \"x\"}'}", {"id": "x"}, "2"),
     ("literals in a list of bare values", "[12ab, None, True, 3-4b]", ["12ab", None, True, "3-4b"], "5"),
     ("nested", '{"a": ' + "[" * 300 + "]" * 300 + "}", {"a": json.loads("[" * 300 + "]" * 300)}, "1"),
@@ -69,6 +79,14 @@ def test_triage_takes_texts_of_any_length(spark):
     assert {k: r["rung"] for k, r in got.items()} == {k: rung for k, (_, rung) in texts.items()}
 
 
+def test_triage_takes_linear_time(spark):
+    texts = {"no end": lambda n: "{" + "'a':'[ " * n + "}", "escapes": lambda n: '{"' + '\\"' * (4 * n) + "\\", "ends": lambda n: "{" + ", ".join(f"'a{i}': '[\"x\"]'" for i in range(n // 2)) + "}", "free": lambda n: "{" + "'note': 'x' " * n, "braces": lambda n: "{'a': '" + "[ } " * n}
+    df = spark.createDataFrame([(k, t(140_000)) for k, t in texts.items()], "name string, raw string").repartition(1)
+    began = time.time()
+    assert {r["name"]: r["rung"] for r in triage.json_triage(df, "raw", free_text_keys=["note"]).select("name", "rung").collect()} == {k: "4" if k == "ends" else None for k in texts}
+    assert time.time() - began < 60  # about 10 s for five texts of a megabyte; the square of their length took hours
+
+
 def test_triage_flags(spark):
     df = spark.createDataFrame([('{"a": 007, "d": 2024-01-02}',)], "raw string")
     got = triage.json_triage(df, "raw", quote_invalid_numbers=True, quote_bare_dates=True).first()
