@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.shared import stage
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], *, keep_null_keys: bool = True) -> DataFrame:
     """One row for each key, the first by ``order``; rows with a null key stay as they are, or go."""
@@ -35,6 +37,26 @@ def skip_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return df.join(known.select(key).distinct(), key, "left_anti")
 
 
+def create_known(df: DataFrame, name: str, key: str, *, buckets: int | None = None) -> None:
+    """Keep the distinct non-null keys of ``df`` as a managed table bucketed by key, for skip_kept; as many buckets as shuffle partitions, or more."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.select(key).where(F.col(key).isNotNull()).repartition(n, key).distinct().write.bucketBy(n, key).sortBy(key).saveAsTable(name)
+
+
+def skip_kept(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Rows whose key the table of create_known doesn't hold; null keys stay. The table is partitioned by key already: only ``df`` is shuffled."""
+    return df.join(df.sparkSession.table(name).select(key), key, "left_anti")
+
+
+def add_known(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Rows whose key is new, each key once, staged; their keys are added to the table. A batch given twice adds nothing."""
+    spark = df.sparkSession
+    new = stage(skip_kept(df.where(F.col(key).isNotNull()), name, key).dropDuplicates([key]), "new-keys")
+    n = int(spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").first()["data_type"])
+    new.select(key).repartition(n, key).write.bucketBy(n, key).sortBy(key).mode("append").saveAsTable(name)
+    return new
+
+
 def replay_filter(df: DataFrame, hashes: DataFrame, key: str = "payload_hash") -> DataFrame:
     """Rows whose key is among ``hashes``."""
     return df.join(hashes.select(key).distinct(), key, "left_semi")

@@ -28,8 +28,9 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, key: str, *, event_time:
     own = {c.lower() for c in one.columns}
     t, s = add_missing_columns(target, one.schema), add_missing_columns(one, target.schema)
     names = t.columns
-    t, s = t.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("t")), s.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("s"))
-    both = t.join(s, F.col(f"t.`{key}`") == F.col(f"s.`{key}`"), "full_outer")
+    # the keys beside the rows, as columns: a target that is bucketed by key then needs no shuffle
+    t, s = (x.select(F.col(f"`{key}`").alias(f"{n}_key"), F.struct(*[F.col(f"`{c}`") for c in names]).alias(n)) for x, n in ((t, "t"), (s, "s")))
+    both = t.join(s, F.col("t_key") == F.col("s_key"), "full_outer")
     newer = F.col("t").isNull() | (F.col("s").isNotNull() & (F.col(f"t.`{clock}`").isNull() | (F.col(f"s.`{clock}`") > F.col(f"t.`{clock}`"))))
     newer = F.coalesce(newer, F.lit(False))
 
@@ -44,6 +45,61 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, key: str, *, event_time:
     return both.select(*[pick(c) for c in names])
 
 
+#: Column of a keyed table that says in which part, and bucket, a key lies.
+PART = "key_part"
+
+
+def create_keyed(df: DataFrame, name: str, key: str, *, parts: int | None = None) -> None:
+    """Write a managed table for upsert_keyed: partitioned by the hash of its key, and bucketed by it into as many, so a part is one file.
+
+    ``df`` has one row a key (latest_per_key sees to that). ``parts`` stays for good; it should be the number of shuffle partitions or more, which is the default.
+    """
+    if df.where(F.col(f"`{key}`").isNull()).limit(1).count():
+        raise ValueError(f"rows without {key} belong in quarantine")
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.withColumn(PART, F.pmod(F.hash(F.col(f"`{key}`")), F.lit(n))).repartition(n, F.col(f"`{key}`"))
+    rows.write.partitionBy(PART).bucketBy(n, key).saveAsTable(name)
+
+
+def keyed_parts(spark: SparkSession, name: str) -> int:
+    """In how many parts a keyed table lies."""
+    return int(spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").first()["data_type"])
+
+
+def keyed_rows(spark: SparkSession, name: str) -> DataFrame:
+    """A keyed table's rows without the column of parts."""
+    return spark.table(name).drop(PART)
+
+
+def upsert_keyed(spark: SparkSession, name: str, batch: DataFrame, key: str, **kw) -> list[int]:
+    """upsert_by_key on a table of create_keyed, which rewrites only the parts that hold a key of the batch; returns those parts.
+
+    The scan reads those parts alone, and only the batch is shuffled: the table's buckets are partitioned by key already. New columns of the batch are
+    added to the table; parts that aren't touched read as null there. The parts are swapped when the job commits, so a job that fails leaves the table as it
+    was, and applying a batch twice changes nothing. One writer at a time. Null keys must have gone to quarantine before; an empty batch touches nothing.
+    """
+    n, table = keyed_parts(spark, name), spark.table(name)
+    kind = table.schema[key].dataType
+    batch = batch.where(F.col(f"`{key}`").isNotNull())
+    part = F.pmod(F.hash(F.col(f"`{key}`").try_cast(kind)), F.lit(n))
+    touched = sorted(r[0] for r in batch.select(part.alias("p")).distinct().collect())  # at most n
+    if not touched:
+        return []
+    old = table.where(F.col(PART).isin(touched)).drop(PART)
+    out = upsert_by_key(old, batch, key, **kw)
+    if added := [f for f in out.schema if f.name.lower() not in {c.lower() for c in table.columns}]:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
+    out = out.withColumn(PART, F.pmod(F.hash(F.col(f"`{key}`")), F.lit(n))).select(spark.table(name).columns)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        out.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+    return touched
+
+
 def window_replace(target: DataFrame, batch: DataFrame, ts_col: str, watermark) -> DataFrame:
     """The target without rows after the watermark, and the batch."""
     kept = target if watermark is None else target.where(F.col(ts_col).isNull() | (F.col(ts_col) <= F.lit(watermark)))

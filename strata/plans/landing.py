@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.shared import stage
-from strata.operators import identity, quality, reshape, schema, triage, upsert
+from strata.operators import dedup, identity, quality, reshape, schema, triage, upsert
 from strata.plans import parents
 from strata.plans.tables import read
 from strata.sources import incremental
@@ -215,6 +215,42 @@ def pack_batches(spark, d):
     return spark.createDataFrame([(b["lo"], b["hi"], b["rows"]) for b in packed], "lo date, hi date, rows bigint")
 
 
+#: An embedded database of the driver's own, in memory.
+_DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def jdbc_scan(spark, d):
+    """Events written to a database and read back in windows of days packed to a budget, the largest of them cut; a filter goes to the database."""
+    url, ts = f"jdbc:derby:memory:{_table(spark)};create=true", '"day"'
+    e = read(spark, d, "events").select("event_id", F.date_trunc("DAY", F.col("ts").cast("timestamp")).alias("day"), "event_type", "value")
+    e.write.jdbc(url, "EVENTS", properties=_DERBY | {"batchsize": "10000"})
+    days = incremental.dump_profile(spark.read.jdbc(url, "EVENTS", properties=_DERBY), "day")
+    packed = incremental.pack_batches(days, row_bytes=1 << 16, budget_mb=128)
+    return stage(incremental.jdbc_windows(spark, url, "EVENTS", packed, ts, properties=_DERBY).where("value > 50").select("event_id", "day", "event_type"), "jdbc")
+
+
+def upsert_keyed(spark, d):
+    """A table of each user's last event before the 20th, then that of every seventh user after: only their parts are rewritten."""
+    name, e = _table(spark), read(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
+    order = [F.desc("ts"), F.desc("event_id")]
+    upsert.create_keyed(dedup.latest_per_key(e.where("ts < '2024-01-20'"), ["user_id"], order), name, "user_id", parts=32)
+    batch = dedup.latest_per_key(e.where("ts >= '2024-01-20' AND user_id % 7 = 0"), ["user_id"], order)
+    upsert.upsert_keyed(spark, name, batch.withColumn("late", F.lit(True)), "user_id", event_time="ts", load_time="ts")
+    got = stage(upsert.keyed_rows(spark, name), "upserted")
+    upsert.drop_table(spark, name)
+    return got
+
+
+def skip_kept(spark, d):
+    """Batches of payloads against a kept table of their hashes: what each brings that none before it had."""
+    name, e = _table(spark), read(spark, d, "events").select("event_id", F.dayofmonth("ts").alias("day"), F.md5(F.concat_ws("|", "event_type", "props")).alias("payload_hash"))
+    dedup.create_known(e.where("day < 10"), name, "payload_hash")
+    parts = [dedup.add_known(e.where(w), name, "payload_hash").select("payload_hash", F.lit(n).alias("batch")) for n, w in enumerate(("day < 12", "day BETWEEN 12 AND 20", "day > 15"))]
+    kept = stage(spark.table(name).select("payload_hash"), "kept")
+    upsert.drop_table(spark, name)
+    return kept.groupBy("payload_hash").agg(F.count("*").alias("held")).join(parts[0].unionByName(parts[1]).unionByName(parts[2]), "payload_hash", "left")
+
+
 def load_all_sources(spark, d):
     config = read(spark, d, "region").select(F.col("r_name").alias("source_table"), F.lower("r_name").alias("target_table"), (F.col("r_regionkey") < 4).alias("active"), "r_regionkey")
     c = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -280,6 +316,9 @@ ORACLE = {
     "explode_rows": "SELECT conv_id, turn, CASE WHEN role = 'user' THEN text END AS asked FROM conversations",
     "stamp_load_time": "SELECT TIMESTAMP '2024-02-01 00:00:00' AS bronze_updated_at, count(*) AS n FROM events",
     "pack_batches": "WITH RECURSIVE c AS (SELECT date_trunc('month', o_orderdate)::DATE AS ts, count(*) AS n FROM orders GROUP BY 1), d AS (SELECT ts, n, row_number() OVER (ORDER BY ts) AS i FROM c), r AS (SELECT i, ts, n, n AS held, 1 AS b FROM d WHERE i = 1 UNION ALL SELECT d.i, d.ts, d.n, CASE WHEN held + d.n <= 300 THEN held + d.n ELSE d.n END, CASE WHEN held + d.n <= 300 THEN b ELSE b + 1 END FROM r JOIN d ON d.i = r.i + 1) SELECT min(ts) AS lo, max(ts) AS hi, sum(n)::BIGINT AS rows FROM r GROUP BY b",
+    "jdbc_scan": "SELECT event_id, date_trunc('day', ts)::TIMESTAMP AS day, event_type FROM events WHERE value > 50",
+    "upsert_keyed": "WITH e AS (SELECT user_id, event_id, event_type, ts, NULL::BOOLEAN AS late FROM events WHERE ts < '2024-01-20' UNION ALL SELECT user_id, event_id, event_type, ts, true FROM events WHERE ts >= '2024-01-20' AND user_id % 7 = 0) SELECT * FROM e " + _LATEST,
+    "skip_kept": "WITH e AS (SELECT day(ts) AS day, md5(event_type || '|' || props) AS payload_hash FROM events), f AS (SELECT payload_hash, min(day) AS first FROM e GROUP BY 1) SELECT payload_hash, 1::BIGINT AS held, CASE WHEN first < 10 THEN NULL WHEN first < 12 THEN 0 WHEN first <= 20 THEN 1 ELSE 2 END::INTEGER AS batch FROM f",
     "load_all_sources": "SELECT r_name AS source_table, lower(r_name) AS target_table, CASE r_regionkey WHEN 2 THEN 'failed' ELSE 'ok' END AS status, CASE WHEN r_regionkey <> 2 THEN count(c_custkey) END AS rows, CASE r_regionkey WHEN 2 THEN 'no such source' END AS error FROM region LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey WHERE r_regionkey < 4 GROUP BY r_name, r_regionkey",
     "key_profile": "SELECT 'event_id' AS key, count(*) AS n FROM events UNION ALL SELECT 'large', count(*) FROM events WHERE value > 50 HAVING count(*) > 0 UNION ALL SELECT 'clicked', count(*) FROM events WHERE event_type = 'click' HAVING count(*) > 0",
     "shape_profile": "SELECT CASE event_type WHEN 'click' THEN 'object' WHEN 'view' THEN 'array' WHEN 'error' THEN 'unparsed' ELSE 'scalar' END AS shape, count(*) AS n FROM events GROUP BY 1",
@@ -290,6 +329,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         json_ladder, unwrap_envelope, needs_repair, problem_key_profile, breaker_profile, process_table_repaired, parse_quarantine, replay_quarantine, rebuild_parent, rebuild_child, run_tables, full_replace, table_sink,
-        collect_identities, spine_coverage, staff_classify, discovered_fields, nested_drift, descend_degraded, flatten_structs, explode_rows, stamp_load_time, pack_batches, load_all_sources, key_profile, shape_profile, mapping_keys, open_versions,
+        collect_identities, spine_coverage, staff_classify, discovered_fields, nested_drift, descend_degraded, flatten_structs, explode_rows, stamp_load_time, pack_batches, jdbc_scan, upsert_keyed, skip_kept, load_all_sources, key_profile, shape_profile, mapping_keys, open_versions,
     )
 }
