@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.shared import stage
+
 _KEYS = (T.StringType, T.IntegerType, T.LongType)
 #: Expressions in one aggregate: more may exceed the size of a generated method.
 CHUNK = 150
@@ -52,46 +56,173 @@ def find_key(df: DataFrame, *, table: str = "") -> str | None:
 
 
 def mapping_keys(df: DataFrame, inherited: Sequence[str] = ()) -> list[str]:
-    """Non-null unique columns that don't come from the parent."""
+    """Non-null unique columns that don't come from the parent. Counted as in find_key: approximately for all at once, exactly for those that may be unique, one by one."""
     names = [f.name for f in df.schema if isinstance(f.dataType, _KEYS) and f.name not in inherited]
-    got = _one_row(df, {"n": F.count("*")} | {f"d{i}": F.count_distinct(F.col(f"`{c}`")) for i, c in enumerate(names)} | {f"n{i}": F.count(F.col(f"`{c}`")) for i, c in enumerate(names)})
-    return [c for i, c in enumerate(names) if got["n"] and got[f"n{i}"] == got["n"] == got[f"d{i}"]]
+    if not names:
+        return []
+    got = _one_row(df, {"n": F.count("*")} | {f"d{i}": F.approx_count_distinct(F.col(f"`{c}`"), 0.02) for i, c in enumerate(names)} | {f"n{i}": F.count(F.col(f"`{c}`")) for i, c in enumerate(names)})
+    likely = [c for i, c in enumerate(names) if got["n"] and got[f"n{i}"] == got["n"] and got[f"d{i}"] >= 0.85 * got["n"]]
+    return [c for c in likely if df.groupBy(F.col(f"`{c}`")).count().where("count > 1").isEmpty()]
+
+
+#: Values of a column that a sketch holds at most, about; and the odds at which a pair that is contained enough may be taken for one that isn't.
+SKETCH, MISS = 4096, 1e-12
+_BLANKS = ("", "None", "nan", "NaN")  # fixed values: texts that stand for no value
+
+
+def _values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(c, v): the values of each column, by its index, as text; blanks left out."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(columns)]))
+    return df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull() & ~F.trim("v").isin(*_BLANKS))
+
+
+def column_sketches(tables: dict[str, DataFrame], columns: dict[str, Sequence[str]], *, size: int = SKETCH) -> dict[tuple[str, str], tuple[int, list[int]]]:
+    """For each (table, column): how high its sampled hashes go, and the hashes: all distinct values that hash below, about ``size`` of them.
+
+    One pass for approximate counts, one that keeps the few values below each column's bound; values aren't shuffled otherwise.
+    """
+    out = {}
+    for t, names in columns.items():
+        if not names:
+            continue
+        counts = _one_row(tables[t], {f"c{i}": F.approx_count_distinct(F.col(f"`{c}`").cast("string")) for i, c in enumerate(names)})
+        bound = [min(1.0, size / max(1, counts[f"c{i}"])) for i in range(len(names))]
+        tops = [int(b * (1 << 62)) for b in bound]
+        h = F.shiftrightunsigned(F.xxhash64("v"), 2)
+        top = F.element_at(F.array(*[F.lit(x) for x in tops]), F.col("c") + 1)
+        kept = _values(tables[t], names).select("c", h.alias("h")).where(F.col("h") < top).distinct().groupBy("c").agg(F.collect_list("h").alias("hs"))
+        found = {r["c"]: sorted(r["hs"]) for r in kept.collect()}
+        out |= {(t, c): (tops[i], found.get(i, [])) for i, c in enumerate(names)}
+    return out
+
+
+def _may_contain(left: tuple[int, list[int]], right: tuple[int, list[int]], least: float) -> bool:
+    """Whether the sketches leave it open that ``least`` of the left column's values lie in the right one (Hoeffding's bound, at MISS)."""
+    top, right_set = min(left[0], right[0]), set(right[1])
+    mine = [h for h in left[1] if h < top]
+    if not mine:
+        return bool(right[1]) or right[0] < 1 << 62
+    hits = sum(h in right_set for h in mine)
+    slack = math.sqrt(-math.log(MISS) / (2 * len(mine))) if top < 1 << 62 else 0.0  # below the top of all hashes, sketches are whole
+    return hits >= (least - slack) * len(mine)
 
 
-def find_join_keys(tables: dict[str, DataFrame], *, primary: dict[str, str], foreign: dict[str, Sequence[str]], min_values: int = 30, min_containment: float = 0.9) -> DataFrame:
+def _containments(tables: dict[str, DataFrame], pairs: Sequence[tuple[tuple[str, str], tuple[str, str]]]) -> DataFrame:
+    """(left_table, left_col, right_table, right_col, left_n, right_n, shared) of pairs of columns: distinct values and how many of the left's are in the right, exactly.
+
+    Each column's distinct values are found once; a value is joined for the pairs of its column alone.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    schema = "left_table string, left_col string, right_table string, right_col string, left_n bigint, right_n bigint, shared bigint"
+    if not pairs:
+        return spark.createDataFrame([], schema)
+    columns = sorted({c for p in pairs for c in p})
+    by_table: dict[str, list] = {}
+    for t, c in columns:
+        by_table.setdefault(t, []).append(c)
+    parts = [_values(tables[t], cs).distinct().select(F.element_at(F.array(*[F.lit(columns.index((t, c))) for c in cs]), F.col("c") + 1).alias("c"), "v") for t, cs in by_table.items()]
+    values = stage(_union(parts), "key-values")
+    of = lambda side: F.element_at(F.array(*[F.array(*[F.lit(i) for i, p in enumerate(pairs) if p[side] == c]).cast("array<int>") for c in columns]), F.col("c") + 1)
+    left, right = (values.select(F.explode(of(side)).alias("pair"), "v") for side in (0, 1))
+    shared = left.join(right, ["pair", "v"]).groupBy("pair").agg(F.count("*").alias("shared"))
+    counts = {r["c"]: r["n"] for r in values.groupBy("c").agg(F.count("*").alias("n")).collect()}
+    named = spark.createDataFrame([(i, a[0], a[1], b[0], b[1], counts.get(columns.index(a), 0), counts.get(columns.index(b), 0)) for i, (a, b) in enumerate(pairs)], "pair int, " + schema.rsplit(", ", 1)[0])
+    return named.join(shared, "pair", "left").withColumn("shared", F.coalesce("shared", F.lit(0).cast("bigint"))).drop("pair")
+
+
+def _foreign_columns(df: DataFrame, table: str, key: str | None) -> list[str]:
+    """Columns that may point to another table: those named like keys, and all scalar ones of a table of custom fields."""
+    scalar = [f.name for f in df.schema if isinstance(f.dataType, _KEYS)]
+    return scalar if table.endswith("_custom") else [c for c in scalar if c == key or c.lower().endswith(("_id", "key")) or (key and c.endswith(f"_{key}"))]
+
+
+def find_join_keys(tables: dict[str, DataFrame], *, primary: dict[str, str] | None = None, foreign: dict[str, Sequence[str]] | None = None, min_values: int = 30, min_containment: float = 0.9) -> DataFrame:
     """(left_table, left_col, right_table, right_col, left_n, right_n, containment): foreign columns whose distinct values lie in another table's key.
 
-    Distinct (table, column, value) rows are joined on the value and counted: nothing is collected. Columns with fewer than ``min_values``
-    values say too little.
+    Keys and foreign columns are found (find_key; names like keys) unless given. Sketches of all columns drop the pairs that can't reach
+    ``min_containment``, at odds of MISS of being wrong; only those left are joined, exactly. Columns with fewer than ``min_values`` values say too little.
     """
-    def values(t, c):
-        return tables[t].select(F.lit(t).alias("t"), F.lit(c).alias("c"), F.col(c).cast("string").alias("v")).where("v IS NOT NULL").distinct()
-
-    fk = _union([values(t, c) for t, cs in foreign.items() for c in cs])
-    pk = _union([values(t, c) for t, c in primary.items()])
-    n_fk, n_pk = fk.groupBy("t", "c").agg(F.count("*").alias("left_n")), pk.groupBy("t", "c").agg(F.count("*").alias("right_n"))
-    l_side, r_side = fk.select(F.col("t").alias("left_table"), F.col("c").alias("left_col"), "v"), pk.select(F.col("t").alias("right_table"), F.col("c").alias("right_col"), "v")
-    both = l_side.join(r_side, "v").where("left_table <> right_table").groupBy("left_table", "left_col", "right_table", "right_col").agg(F.count("*").alias("both"))
-    out = both.join(n_fk.withColumnsRenamed({"t": "left_table", "c": "left_col"}), ["left_table", "left_col"]).join(n_pk.withColumnsRenamed({"t": "right_table", "c": "right_col"}), ["right_table", "right_col"])
-    out = out.where(F.col("left_n") >= min_values).withColumn("containment", F.round(F.col("both") / F.col("left_n"), 4)).where(F.col("containment") >= min_containment)
+    primary, foreign = _key_columns(tables, primary, foreign)
+    pairs = [(a, b) for a, b in _surviving(tables, primary, foreign, min_containment) if a[1] in foreign.get(a[0], ())]
+    found = _containments(tables, pairs)
+    out = found.where(F.col("left_n") >= min_values).withColumn("containment", F.round(F.col("shared") / F.col("left_n"), 4)).where(F.col("containment") >= min_containment)
     return out.select("left_table", "left_col", "right_table", "right_col", "left_n", "right_n", "containment")
 
 
+def _key_columns(tables, primary, foreign):
+    primary = primary if primary is not None else {t: k for t, df in tables.items() if (k := find_key(df, table=t))}
+    return primary, foreign if foreign is not None else {t: _foreign_columns(df, t, primary.get(t)) for t, df in tables.items()}
+
+
+def _surviving(tables, primary, foreign, least: float) -> list:
+    columns = {t: sorted({*foreign.get(t, ()), *([primary[t]] if t in primary else [])}) for t in tables}
+    sketches = column_sketches(tables, columns)
+    wanted = {((t, c), (p, k)) for t, cs in foreign.items() for c in cs for p, k in primary.items() if p != t}
+    wanted |= {((t, c), (p, k)) for t, c in primary.items() for p, k in primary.items() if p != t}
+    return sorted(x for x in wanted if _may_contain(sketches[x[0]], sketches[x[1]], least))
+
+
+def key_map(tables: dict[str, DataFrame], *, primary: dict[str, str] | None = None, foreign: dict[str, Sequence[str]] | None = None, min_values: int = 30, min_containment: float = 0.9) -> DataFrame:
+    """(kind, left_table, left_col, right_table, right_col, containment, left_n, right_n, rel_hash): all keys and what points to them, to be kept by table_sink.
+
+    PK: a table's key, with its distinct values. PK_ECHO: a key whose values lie in a larger table's, or in an equal one's of the table it is named
+    after: a parent's key carried along, no target of its own. PK_FK: a column whose values lie in a key that is no echo; rel_hash stands
+    for the family of all columns that point there. Tables and columns are metadata: their pairs are weighed on the driver.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    primary, foreign = _key_columns(tables, primary, foreign)
+    pairs = _surviving(tables, primary, foreign, min_containment)
+    rows = [r.asDict() for r in _containments(tables, pairs).collect()]  # a row for each pair of columns
+    sizes = {(r["left_table"], r["left_col"]): r["left_n"] for r in rows} | {(r["right_table"], r["right_col"]): r["right_n"] for r in rows}
+    alone = [t for t, k in primary.items() if (t, k) not in sizes]
+    for t in alone:
+        sizes[t, primary[t]] = _values(tables[t], [primary[t]]).distinct().count()
+    share = {((r["left_table"], r["left_col"]), (r["right_table"], r["right_col"])): r["shared"] / max(1, r["left_n"]) for r in rows}
+    keys = {t: (t, k) for t, k in sorted(primary.items()) if sizes[t, k]}
+    echo: dict[str, str] = {}
+    for a in keys:
+        for b in keys:
+            if a in echo or b == a or b in echo or share.get((keys[a], keys[b]), 0) < min_containment:
+                continue
+            if sizes[keys[a]] < sizes[keys[b]] or (sizes[keys[a]] == sizes[keys[b]] and a.startswith(b + "_")):
+                echo[a] = b
+            elif sizes[keys[a]] == sizes[keys[b]] and b.startswith(a + "_"):
+                echo[b] = a
+    out = [("PK", *keys[t], None, None, None, sizes[keys[t]], None, None) for t in keys]
+    out += [("PK_ECHO", *keys[a], *keys[b], None, sizes[keys[a]], sizes[keys[b]], None) for a, b in echo.items()]
+    targets = {keys[t] for t in keys if t not in echo}
+    found: dict[tuple, list] = {}
+    for (left, right), s in share.items():
+        if right in targets and left[1] in foreign.get(left[0], ()) and sizes[left] >= min_values and s >= min_containment:
+            found.setdefault(right, []).append((left, s))
+    for right, members in found.items():
+        family = "|".join(sorted(f"{t}.{c}" for (t, c), _ in members)) + f"->{right[0]}.{right[1]}"
+        out += [("PK_FK", *left, *right, round(s, 4), sizes[left], sizes[right], hashlib.md5(family.encode()).hexdigest()[:8]) for left, s in members]
+    return spark.createDataFrame(out, "kind string, left_table string, left_col string, right_table string, right_col string, containment double, left_n bigint, right_n bigint, rel_hash string")
+
+
 def rel_hash(rel: DataFrame) -> DataFrame:
     """The relations with a stable hash of their family (the key they point to)."""
     return rel.withColumn("rel_hash", F.md5(F.concat_ws(".", "right_table", "right_col")))
 
 
 def table_lineage(spark: SparkSession, tables: dict[str, T.StructType]) -> DataFrame:
-    """(parent, child, depth): a table whose name is another's and one of its array columns is its child."""
-    names = sorted(tables)
-    pairs = {(p, c) for p in names for c in names for f in tables[p] if isinstance(f.dataType, T.ArrayType) and c == f"{p}_{f.name}"}
-    parent = {c: p for p, c in pairs}
+    """(parent, child, depth, how): a table's parent is the one with the longest name that its own begins with and an underscore follows.
+
+    how: ``array`` if the rest is an array column of the parent's, ``custom`` for a table of custom fields, else ``prefix``; null for tables without a parent.
+    """
+    parent = {c: max((p for p in tables if c.startswith(f"{p}_")), key=len, default=None) for c in tables}
 
     def depth(t):
-        return 0 if t not in parent else 1 + depth(parent[t])
+        return 0 if parent[t] is None else 1 + depth(parent[t])
+
+    def how(t):
+        if (p := parent[t]) is None:
+            return None
+        rest = t.removeprefix(f"{p}_")
+        return "array" if any(f.name == rest and isinstance(f.dataType, T.ArrayType) for f in tables[p]) else "custom" if rest == "custom" else "prefix"
 
-    return spark.createDataFrame([(parent.get(t), t, depth(t)) for t in names], "parent string, child string, depth int")
+    return spark.createDataFrame([(parent[t], t, depth(t), how(t)) for t in sorted(tables)], "parent string, child string, depth int, how string")
 
 
 def type_conflicts(df: DataFrame, raw_col: str, parsed_col: str, *, min_share: float = 0.005) -> DataFrame:
@@ -188,7 +319,7 @@ def event_time_regressions(df: DataFrame, key: str, arrival: str, event: str) ->
 
 
 # fixed values: the default limits of fleet_health
-LIMITS = {"empty_streak": 3, "stale_hours": 48, "parse_rate": 0.5, "field_jump": 0.5, "rebuilds": 3, "rebuild_days": 7, "quarantine_day": 50, "rung_shift": 25.0, "fields": 1000}
+LIMITS = {"empty_streak": 3, "stale_hours": 48, "parse_rate": 0.5, "field_jump": 10, "rebuilds": 3, "rebuild_days": 7, "quarantine_day": 50, "rung_shift": 25.0, "fields": 1000}
 
 
 def fleet_health(run_log: DataFrame, quarantine: DataFrame, expected: DataFrame, *, as_of, limits: dict | None = None, formats: DataFrame | None = None) -> DataFrame:
@@ -212,7 +343,7 @@ def fleet_health(run_log: DataFrame, quarantine: DataFrame, expected: DataFrame,
     last = log.groupBy("silver_name").agg(F.max("logged_at").alias("at"))
     hours = (now.cast("long") - F.col("at").cast("long")) / 3600
     rate = today.withColumn("rate", F.col("parsed_valid") / F.nullif(F.col("parsed_valid") + F.col("parsed_null"), F.lit(0)))
-    jump = log.withColumn("before", F.lag("fields_discovered").over(per)).where(F.to_date("logged_at") == F.to_date(now)).where(F.abs(F.col("fields_discovered") - F.col("before")) > lim["field_jump"] * F.col("before"))
+    jump = log.withColumn("before", F.lag("fields_discovered").over(per)).where(F.to_date("logged_at") == F.to_date(now)).where(F.abs(F.col("fields_discovered") - F.col("before")) > lim["field_jump"])
     storm = log.where((F.col("mode") == "rebuild") & (F.col("logged_at") > now - F.make_dt_interval(F.lit(lim["rebuild_days"])))).groupBy("silver_name").agg(F.count("*").alias("n")).where(F.col("n") > lim["rebuilds"])
     flood = quarantine.where(F.to_date("quarantined_at") == F.to_date(now)).groupBy("silver_name").agg(F.count("*").alias("n")).where(F.col("n") > lim["quarantine_day"])
     mix = log.where("rung_stats IS NOT NULL").select("silver_name", "logged_at", F.explode(F.from_json("rung_stats", "map<string,bigint>")).alias("rung", "n"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.shared import stage
-from strata.operators import dedup, identity, quality, reshape, schema, triage, upsert
+from strata.operators import dedup, discovery, identity, quality, reshape, schema, triage, upsert
 from strata.plans import parents
 from strata.plans.tables import read
 from strata.sources import incremental
@@ -188,10 +188,11 @@ def nested_drift(spark, d):
 
 
 def descend_degraded(spark, d):
-    """Lists whose items discovery alone takes for text."""
-    e = read(spark, d, "events").select(F.when(F.pmod("event_id", F.lit(2)) == 0, F.to_json(F.array(F.struct("event_id", "value")))).otherwise(F.to_json(F.array("event_type"))).alias("j"))
-    found = schema.descend_degraded(e.where("j LIKE '[{%'"), "j")
-    return schema.parse_payload(e.where("j LIKE '[{%'"), "j", found).select(F.explode("parsed").alias("p")).select("p.event_id", "p.value")
+    """Lists of objects, of texts and of lists: discovery alone takes their items for text."""
+    e, kind = read(spark, d, "events"), F.pmod("event_id", F.lit(4))
+    j = F.when(kind < 2, F.to_json(F.array(F.struct("event_id", "value")))).when(kind == 2, F.to_json(F.array("event_type"))).otherwise(F.to_json(F.array(F.array("user_id"))))
+    e = e.select(j.alias("j"))
+    return discovery.parse_lists(e, "j", discovery.discover_lists(e, "j")).select(F.explode("parsed").alias("p")).select("p.event_id", "p.value", "p.rest")
 
 
 def flatten_structs(spark, d):
@@ -311,7 +312,7 @@ ORACLE = {
     "staff_classify": f"SELECT c_nationkey || '-' || c_mktsegment AS group_key, bool_or(c_custkey % 40 = 0 OR {_MAIL} IN (SELECT 'c' || s_suppkey || '@x.com' FROM supplier) OR regexp_matches('h' || c_custkey, '^h1.*7$')) AS is_staff FROM customer GROUP BY 1",
     "discovered_fields": "SELECT 'events' AS silver_name, name AS field_name, type AS ddl_type, 'object' AS shape FROM (SELECT 'event_id' AS name, 'bigint' AS type UNION ALL SELECT 'event_type', 'string' UNION ALL SELECT 'value', 'double' UNION ALL SELECT lower(r_name), 'string' FROM region)",
     "nested_drift": "WITH f AS (SELECT event_type || '_' || day(ts) AS f, bool_or(ts < '2024-01-20') AS a, bool_or(ts >= '2024-01-10') AS b FROM events GROUP BY 1), c AS (SELECT f, CASE WHEN b THEN 'added' ELSE 'dropped' END AS change FROM f WHERE a <> b), p AS (SELECT f AS path, change, 'struct<n:bigint>' AS t FROM c UNION ALL SELECT f || '.n', change, 'bigint' FROM c) SELECT path, change, CASE WHEN change = 'dropped' THEN t END AS old_type, CASE WHEN change = 'added' THEN t END AS new_type FROM p",
-    "descend_degraded": "SELECT event_id, value FROM events WHERE event_id % 2 = 0",
+    "descend_degraded": "SELECT CASE WHEN event_id % 4 < 2 THEN event_id END AS event_id, CASE WHEN event_id % 4 < 2 THEN value END AS value, CASE event_id % 4 WHEN 2 THEN event_type WHEN 3 THEN '[' || user_id || ']' END AS rest FROM events",
     "flatten_structs": "SELECT c_custkey, c_name AS who_c_name, c_nationkey AS who_place_c_nationkey, c_acctbal AS who_place_c_acctbal FROM customer",
     "explode_rows": "SELECT conv_id, turn, CASE WHEN role = 'user' THEN text END AS asked FROM conversations",
     "stamp_load_time": "SELECT TIMESTAMP '2024-02-01 00:00:00' AS bronze_updated_at, count(*) AS n FROM events",

@@ -388,6 +388,17 @@ SELECT user_id, mf AS message_flag, pf AS platform_flag, gf AS meeting_flag, pat
     "event_time_format": "SELECT CASE WHEN event_type = 'view' THEN 'date' ELSE 'spaced' END AS format, CASE WHEN event_type = 'view' THEN 10 ELSE 19 END AS length, count(*) AS n FROM events GROUP BY ALL",
     "epoch_unit_drift": "SELECT 'o_orderdate' AS \"column\", count(*) FILTER (year(o_orderdate) < 1996) AS n FROM orders",
     "deletion_drift": "SELECT user_id || '-' || event_type AS id, max(ts::DATE) AS last_seen FROM events GROUP BY 1 HAVING max(ts::DATE) < (SELECT min(x) FROM (SELECT DISTINCT ts::DATE AS x FROM events ORDER BY x DESC LIMIT 3))",
+    "fleet_health": "WITH a AS (SELECT event_type AS s, ts::DATE AS d, count(*) AS n, count(*) FILTER (value > 5) AS ok, count(DISTINCT user_id) AS f FROM events GROUP BY ALL), l AS (SELECT *, CASE WHEN s = 'signup' THEN 0 ELSE n END AS cdc, lag(f) OVER (PARTITION BY s ORDER BY d) AS before FROM a WHERE d <= '2024-01-30'), t AS (SELECT * FROM l WHERE d = '2024-01-30'), "
+    "m AS (SELECT s, d = '2024-01-30' AS now, unnest(['1', '3']) AS rung, unnest([ok, n - ok]) AS k FROM l WHERE d >= '2024-01-23'), p AS (SELECT s, now, rung, 100.0 * sum(k) / sum(sum(k)) OVER (PARTITION BY s, now) AS pct FROM m GROUP BY s, now, rung), "
+    "c AS (SELECT DISTINCT s FROM a UNION SELECT r_name FROM region) "
+    "SELECT s AS silver_name, 'missing run' AS \"check\", 'no run today' AS detail FROM c WHERE s NOT IN (SELECT s FROM t) "
+    "UNION ALL SELECT s, 'empty streak', count(*)::VARCHAR FROM l JOIN (SELECT s, max(d) FILTER (cdc > 0) AS m FROM l GROUP BY s) USING (s) WHERE m IS NULL OR d > m GROUP BY s HAVING count(*) >= 3 "
+    "UNION ALL SELECT s, 'stale', (24.0 * ('2024-01-30'::DATE - max(d)))::DECIMAL(9, 1)::VARCHAR FROM l GROUP BY s HAVING max(d) < '2024-01-28' "
+    "UNION ALL SELECT s, 'parse rate', round(ok / n, 3)::VARCHAR FROM t WHERE ok / n < 1.1 "
+    "UNION ALL SELECT s, 'field jump', before || ' to ' || f FROM t WHERE abs(f - before) > 10 "
+    "UNION ALL SELECT s, 'quarantine flood', n::VARCHAR FROM t WHERE n > 1 "
+    "UNION ALL SELECT x.s, 'rung shift', x.rung || ': ' || round(abs(x.pct - y.pct), 1) FROM p x JOIN p y ON x.s = y.s AND x.rung = y.rung WHERE x.now AND NOT y.now AND round(abs(x.pct - y.pct), 1) > 25 "
+    "UNION ALL SELECT s, 'field budget', max(f)::VARCHAR FROM l GROUP BY s HAVING max(f) > 10",
     "dynamic_key_maps": "WITH k AS (SELECT 'u' || user_id AS key FROM events UNION ALL SELECT event_type FROM events), n AS (SELECT key, count(*) AS n FROM k GROUP BY 1) SELECT key, n, round(n / (SELECT count(*) FROM events), 6) AS share FROM n WHERE round(n / (SELECT count(*) FROM events), 6) <= 0.05",
     "literal_leaks": "SELECT 'lang' AS \"column\", count(*) AS n FROM documents WHERE lang = 'en'",
     "process_table": "SELECT user_id AS id, event_id, event_type, (props->>'k')::BIGINT AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",

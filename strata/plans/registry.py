@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from strata.plans import domain, landing, ledgers, recency, tables
+from strata.plans import domain, kept, landing, ledgers, recency, tables
 
-MODULES = (recency, tables, ledgers, domain, landing)
+MODULES = (recency, tables, ledgers, domain, landing, kept)
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE = {name: q for m in MODULES for name, q in m.ORACLE.items()}

@@ -165,7 +165,9 @@ def cast_tree(spark, d):
 
 
 def schema_paths(spark, d):
-    return schema.schema_paths(spark, schema.discover_schema(read(spark, d, "events").withColumn("j", F.to_json(F.struct("event_id", F.array(F.struct("event_type", "value")).alias("parts"), "props"))), "j"))
+    """A struct for each type of event, with a list of objects in it."""
+    own = F.create_map("event_type", F.struct(F.col("event_id").alias("n"), F.array(F.struct("value")).alias("parts")))
+    return schema.schema_paths(spark, schema.discover_schema(read(spark, d, "events").select(F.to_json(F.struct("user_id", own.alias("of"))).alias("j")), "j"))
 
 
 def sentinel_nulls(spark, d):
@@ -238,6 +240,7 @@ _DEF = {
     "date_like_keys": "SELECT 'day' AS key, count(*) AS n, 'date' AS kind FROM (SELECT DISTINCT o_orderkey FROM orders) UNION ALL SELECT 'padded', count(*), 'zero' FROM (SELECT DISTINCT o_orderkey FROM orders)",
     "find_key": " UNION ALL ".join(f"SELECT '{t}' AS table_name, CASE {' '.join(f"WHEN count({c}) > 0 AND count({c}) = count(DISTINCT {c}) THEN '{c}'" for c in cs.split())} END AS key FROM {t}" for t, cs in {
         "customer": "c_custkey c_nationkey", "supplier": "s_suppkey s_nationkey", "part": "p_partkey", "orders": "o_orderkey o_custkey", "lineitem": "l_orderkey l_partkey l_suppkey", "documents": "doc_id", "conversations": "conv_id"}.items()),
+    "schema_paths": "WITH t AS (SELECT DISTINCT event_type AS t FROM events), s AS (SELECT t, 'struct<n:bigint,parts:array<struct<value:double>>>' AS type FROM t) SELECT 'user_id' AS path, 'bigint' AS type, 'scalar' AS kind, false AS child_table UNION ALL SELECT 'of', 'struct<' || string_agg(t || ':' || type, ',' ORDER BY t) || '>', 'struct', false FROM s UNION ALL SELECT 'of.' || t, type, 'struct', false FROM s UNION ALL SELECT 'of.' || t || '.n', 'bigint', 'scalar', false FROM t UNION ALL SELECT 'of.' || t || '.parts', 'array<struct<value:double>>', 'array', true FROM t UNION ALL SELECT 'of.' || t || '.parts[].value', 'double', 'scalar', false FROM t",
     "find_join_keys": """
 WITH fk AS (SELECT DISTINCT 'lineitem' AS t, 'l_orderkey' AS c, l_orderkey::BIGINT AS v FROM lineitem UNION SELECT 'lineitem', 'l_partkey', l_partkey FROM lineitem UNION SELECT 'lineitem', 'l_suppkey', l_suppkey FROM lineitem UNION SELECT 'orders', 'o_custkey', o_custkey FROM orders),
 pk AS (SELECT 'orders' AS t, 'o_orderkey' AS c, o_orderkey AS v FROM orders UNION SELECT 'customer', 'c_custkey', c_custkey FROM customer UNION SELECT 'part', 'p_partkey', p_partkey FROM part UNION SELECT 'supplier', 's_suppkey', s_suppkey FROM supplier UNION SELECT 'nation', 'n_nationkey', n_nationkey FROM nation),
