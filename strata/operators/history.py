@@ -76,34 +76,32 @@ def merge_map(pairs: DataFrame, loser: str, winner: str) -> DataFrame:
     """
     p = pairs.where(F.col(loser).isNotNull() & F.col(winner).isNotNull() & (F.col(loser) != F.col(winner)))
     direct = stage(p.groupBy(F.col(loser).alias("loser")).agg(F.min(winner).alias("winner")), "merges")
-    # low: smallest id on the path so far, jump: the node 2**k steps ahead
+    # jump: the node 2**n steps ahead. Those that have ended are set aside: still looked up, but not joined or written again
     walk = direct.select("loser", F.col("winner").alias("jump"), F.lit(1).cast("long").alias("steps"), F.lit(False).alias("ended"))
-    n, bound = 0, max(1, direct.count())
+    n, bound, done = 0, max(1, direct.count()), []
     while 1 << n <= 2 * bound:
-        ahead = walk.select(F.col("loser").alias("__at"), F.col("jump").alias("__to"), F.col("steps").alias("__more"), F.col("ended").alias("__done"))
-        walk = walk.join(ahead, (F.col("jump") == F.col("__at")) & ~F.col("ended"), "left").select(
-            "loser", F.coalesce("__to", "jump").alias("jump"), (F.col("steps") + F.coalesce("__more", F.lit(0))).alias("steps"), (F.col("ended") | F.col("__at").isNull() | F.coalesce("__done", F.lit(False))).alias("ended"))
-        walk = stage(walk, "walk")
-        if walk.where(~F.col("ended")).isEmpty():
-            break
+        ahead = walk
+        for x in done:
+            ahead = ahead.unionByName(x)
+        ahead = ahead.select(F.col("loser").alias("__at"), F.col("jump").alias("__to"), F.col("steps").alias("__more"), F.col("ended").alias("__done"))
+        walk = stage(walk.join(ahead, F.col("jump") == F.col("__at"), "left").select(
+            "loser", F.coalesce("__to", "jump").alias("jump"), (F.col("steps") + F.coalesce("__more", F.lit(0))).alias("steps"), (F.col("__at").isNull() | F.coalesce("__done", F.lit(False))).alias("ended")), "walk")
+        done.append(walk.where("ended"))
+        walk = walk.where("NOT ended")
         n += 1
-    done = walk.where("ended").select("loser", F.col("jump").alias("root"), (F.col("steps") - 1).alias("hops"))
-    looping = walk.where(~F.col("ended")).select("loser")
-    if not looping.isEmpty():
-        done = done.unionByName(_cycles(direct.join(looping, "loser", "left_semi")))
-    return direct.join(done, "loser")
-
-
-def _cycles(direct: DataFrame) -> DataFrame:
-    """Roots of losers on or leading into cycles: the smallest id of the cycle. Members of a cycle are those that other members win over, again and again."""
-    core = direct
-    n = core.count()
-    while True:  # peel those nobody in the set merged into
-        core = stage(core.join(core.select(F.col("winner").alias("loser")).distinct(), "loser", "left_semi"), "core")
-        m = core.count()
-        if m == n:
+        if walk.isEmpty():
             break
-        n = m
+    ended = done[0]
+    for x in done[1:]:
+        ended = ended.unionByName(x)
+    ended = ended.select("loser", F.col("jump").alias("root"), (F.col("steps") - 1).alias("hops"))
+    if not walk.isEmpty():
+        ended = ended.unionByName(_cycles(direct.join(walk.select("loser"), "loser", "left_semi"), walk.select(F.col("jump").alias("loser")).distinct()))
+    return direct.join(ended, "loser")
+
+
+def _cycles(direct: DataFrame, core: DataFrame) -> DataFrame:
+    """Roots of losers on or leading into cycles: the smallest id of the cycle. After more steps than there are losers, jumps end on all members of cycles and nowhere else."""
     from strata.functions.graph import components
 
     label = components(direct, "loser", "winner").select(F.col("node").alias("loser"), "component")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.graph import components
+from strata.functions.shared import stage
 from strata.operators.joins import array_membership_join, unique_bridge_join
 
 
@@ -44,14 +45,21 @@ def identities_by_email(edges: DataFrame) -> DataFrame:
     return known.agg(*[F.array_sort(F.collect_set(c)).alias(f"{n}s") for c, n in (("hash", "hash"), ("lead_id", "lead"), ("source", "source"))]).withColumns({f"n_{n}s": F.size(f"{n}s") for n in ("hash", "lead", "source")})
 
 
-def guarded_edges(edges: DataFrame, node: str, link: str, max_links_per_node: int, max_nodes_per_link: int) -> DataFrame:
-    """Distinct (node, link) pairs, without nodes of too many links and links of too many nodes."""
+def guarded_edges(edges: DataFrame, node: str, link: str, max_links_per_node: int, max_nodes_per_link: int, *, counted: DataFrame | None = None) -> DataFrame:
+    """Distinct (node, link) pairs, without nodes of too many links and links of too many nodes, by the counts in ``counted`` or ``edges`` itself."""
     e = edges.select(F.col(node).alias("node"), F.col(link).alias("link")).where("node IS NOT NULL AND link IS NOT NULL").distinct()
-    wide = e.groupBy("node").count().where(F.col("count") > max_links_per_node).select("node")
-    shared = e.groupBy("link").count().where(F.col("count") > max_nodes_per_link).select("link")
+    c = e if counted is None else counted.select(F.col(node).alias("node"), F.col(link).alias("link")).where("node IS NOT NULL AND link IS NOT NULL").distinct()
+    wide = c.groupBy("node").count().where(F.col("count") > max_links_per_node).select("node")
+    shared = c.groupBy("link").count().where(F.col("count") > max_nodes_per_link).select("link")
     return e.join(wide, "node", "left_anti").join(shared, "link", "left_anti")
 
 
+def _closure(safe: DataFrame) -> DataFrame:
+    """(node, group_key) of guarded edges: each link is one edge a node, to its smallest node."""
+    low = safe.join(safe.groupBy("link").agg(F.min("node").alias("low")), "link").select("node", "low")
+    return components(low, "node", "low").withColumnRenamed("component", "group_key")
+
+
 def identity_groups(edges: DataFrame, *, node: str = "hash", link: str = "email", max_links_per_node: int = 10, max_nodes_per_link: int = 5, hops: int | None = None) -> DataFrame:
     """(node, group_key): with hops=1 the smallest node one shared link away, else the smallest node of the whole component.
 
@@ -64,13 +72,32 @@ def identity_groups(edges: DataFrame, *, node: str = "hash", link: str = "email"
         low = safe.groupBy("link").agg(F.min("node").alias("low"))
         groups = safe.join(low, "link").groupBy("node").agg(F.min("low").alias("group_key"))
     elif hops is None:
-        low = safe.join(safe.groupBy("link").agg(F.min("node").alias("low")), "link").select("node", "low")
-        groups = components(low, "node", "low").withColumnRenamed("component", "group_key")
+        groups = _closure(safe)
     else:
         raise ValueError("hops is 1 or None")
     return nodes.join(groups, "node", "left").select("node", F.coalesce("group_key", "node").alias("group_key"))
 
 
+def update_groups(groups: DataFrame, edges: DataFrame, new: DataFrame, *, node: str = "hash", link: str = "email", max_links_per_node: int = 10, max_nodes_per_link: int = 5) -> DataFrame:
+    """identity_groups of ``edges`` and ``new`` together, from the ``groups`` of ``edges``: only groups that the new edges touch are closed anew.
+
+    A group is touched if a new edge has one of its nodes, or a link that one of its nodes has: a link or a node that the new edges make too wide
+    splits its group. All edges of touched groups, and they alone, go into the closure; links count all their nodes. The rest keeps its keys.
+    """
+    pick = lambda df: df.select(F.col(node).alias("node"), F.col(link).alias("link")).where("node IS NOT NULL")
+    fresh = stage(pick(new).distinct(), "new-edges")
+    every = pick(edges).unionByName(fresh)
+    links = fresh.select("link").where("link IS NOT NULL").distinct()
+    touched = every.join(links, "link", "left_semi").select("node").unionByName(fresh.select("node")).distinct()
+    keys = groups.join(touched, "node", "left_semi").select("group_key").distinct()
+    members = stage(groups.join(keys, "group_key", "left_semi").select("node").unionByName(touched).distinct(), "members")
+    own = stage(every.join(members, "node", "left_semi").distinct(), "own-edges")
+    counted = every.join(own.select("link").distinct(), "link", "left_semi").unionByName(own)
+    closed = _closure(guarded_edges(own, "node", "link", max_links_per_node, max_nodes_per_link, counted=counted))
+    anew = members.join(closed, "node", "left").select("node", F.coalesce("group_key", "node").alias("group_key"))
+    return groups.join(members, "node", "left_anti").select("node", "group_key").unionByName(anew)
+
+
 def identity_spine(edges: DataFrame, groups: DataFrame, *, masked: str = r"@(masked|anon|privaterelay)") -> DataFrame:
     """One row a person: sorted sets of hashes, real and masked e-mails, leads, contacts and sources."""
     e = edges.join(groups.withColumnRenamed("node", "hash"), "hash")
@@ -81,8 +108,6 @@ def identity_spine(edges: DataFrame, groups: DataFrame, *, masked: str = r"@(mas
 
 def dense_id(df: DataFrame, key: str, *, out: str = "dense_id") -> DataFrame:
     """1, 2, 3, ... over the sorted distinct keys, without sorting them all in one task: range partitions, and an offset for each."""
-    from strata.functions.shared import stage
-
     ranged = stage(df.select(key).where(F.col(key).isNotNull()).distinct().repartitionByRange(key).withColumn("__p", F.spark_partition_id()), "ranged")
     sizes = ranged.groupBy("__p").agg(F.count("*").alias("n"))
     offsets = sizes.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("before"))  # a row for each partition

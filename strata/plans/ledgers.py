@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.shared import stage
 from strata.operators import dedup, history, identity, joins, metrics, quality, scoring, upsert
 from strata.plans import parents
 from strata.plans.tables import read
@@ -111,6 +112,17 @@ def identity_closure(spark, d):
     return identity.identity_groups(_links(spark, d))
 
 
+def identity_daily(spark, d):
+    """The closure of half the customers' links, then two batches of the other half: groups that a batch touches are closed anew."""
+    e, part = _links(spark, d), F.pmod("hash", F.lit(4))
+    done = e.where(part < 2)
+    groups = stage(identity.identity_groups(done), "groups")
+    for k in (2, 3):
+        groups = stage(identity.update_groups(groups, done, e.where(part == k)), "groups")
+        done = e.where(part <= k)
+    return groups
+
+
 def identity_spine(spark, d):
     e = _links(spark, d)
     return identity.identity_spine(e, identity.identity_groups(e)).select("group_key", "hashes", "real_emails", "lead_ids")
@@ -345,6 +357,7 @@ UNION ALL SELECT 'check: status', count(*) FILTER (o_orderstatus NOT IN ('F', 'O
     "merge_fold_report": "SELECT count(*) AS leads, count(DISTINCT o_custkey) AS persons, count(*) - count(DISTINCT o_custkey) AS folded FROM orders",
     "identity_one_hop": f"WITH {_LINK_SQL}, g AS (SELECT a.node, min(b.node) AS group_key FROM e a JOIN e b ON a.link = b.link GROUP BY 1) SELECT c_custkey AS node, coalesce(group_key, c_custkey) AS group_key FROM customer LEFT JOIN g ON node = c_custkey",
     "identity_closure": _CLOSE_SQL + " SELECT * FROM h",
+    "identity_daily": _CLOSE_SQL + " SELECT * FROM h",
     "identity_spine": _CLOSE_SQL + " SELECT group_key, list_sort(list(DISTINCT h.node)) AS hashes, list_sort(list(DISTINCT e0.link)) AS real_emails, list_sort(list(DISTINCT c_nationkey)) AS lead_ids FROM h JOIN e0 ON e0.node = h.node JOIN customer ON c_custkey = h.node GROUP BY 1",
     "identities_by_email": f"WITH {_LINK_SQL} SELECT link AS email, list_sort(list(DISTINCT node)) AS hashs, count(DISTINCT node)::INT AS n_hashs FROM e0 GROUP BY 1",
     "dense_id": "SELECT c_custkey, c_name, dense_rank() OVER (ORDER BY c_name) AS dense_id FROM customer",
@@ -404,7 +417,7 @@ SELECT user_id, mf AS message_flag, pf AS platform_flag, gf AS meeting_flag, pat
     "process_table": "SELECT user_id AS id, event_id, event_type, (props->>'k')::BIGINT AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
 }
 _ALL = (
-    upsert_by_key, window_replace, replace_affected_keys, write_route, contract_checks, null_key_quarantine, scd2_apply, scd2_change_log, daily_snapshot, merge_map, merge_fold_report, identity_one_hop, identity_closure, identity_spine, identities_by_email, dense_id,
+    upsert_by_key, window_replace, replace_affected_keys, write_route, contract_checks, null_key_quarantine, scd2_apply, scd2_change_log, daily_snapshot, merge_map, merge_fold_report, identity_one_hop, identity_closure, identity_daily, identity_spine, identities_by_email, dense_id,
     owner_blocklist, extract_names, role_attribution, missed_calls, days_until_next, share_of_total, concentration, booking_recency, sentiment, engagement_score, communication_state, waiting_backlog, communication_recency, turn_age_report, service_score,
     type_conflicts, null_hygiene, key_format_drift, event_time_regressions, event_time_format, epoch_unit_drift, deletion_drift, dynamic_key_maps, literal_leaks, fleet_health, process_table,
 )
