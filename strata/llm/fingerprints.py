@@ -131,11 +131,11 @@ def fingerprint_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     Returns id, n_chars, edited (text), fingerprint, edited_fingerprint, near_edited, near_next, a row for each row of ``docs``; next is by ascending id, and
     the first row after the last. Texts are shuffled once, by range of id.
 
-    Defined results: null is empty text; ids that repeat are ordered by text; null ids come first; a single row is its own next; an
+    Defined results: null is empty text; ids that repeat are ordered by text; ids that are no whole numbers count as null, and null ids come first; a single row is its own next; an
     empty table gives an empty table; very long texts are read whole; other columns are not read, so their names cannot clash. Equal texts have equal fingerprints.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).try_cast("bigint").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ordered = with_next(rows, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     schema = "doc bigint, n_chars bigint, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 

@@ -145,10 +145,12 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     occ = own.select("doc", "row", F.inline("lines"), F.pmod(F.xxhash64("doc", "row"), F.lit(batches)).cast("int").alias("batch"))
     occ = stage(occ, "line-keys", partition_by=("batch",))
     runs = LineRuns(spark)
-    for b in range(batches):
-        runs.add(occ.where((F.col("batch") == b) & F.col("first")).select(*_KEY, "doc"))
-    frequent = stage(runs.frequent(min_docs), "line-frequent")
-    runs.close()
+    try:
+        for b in range(batches):
+            runs.add(occ.where((F.col("batch") == b) & F.col("first")).select(*_KEY, "doc"))
+        frequent = stage(runs.frequent(min_docs), "line-frequent")
+    finally:  # a job that fails leaves no tables behind
+        runs.close()
     # keys of more than 2**-16 of the occurrences: 2**16 rows of 32 bytes at most, so broadcasting them is bounded; no other key is hot
     hot = F.col("docs") > (occ.count() >> 16)
     found = [occ.drop("batch").join(F.broadcast(frequent.where(hot)), _KEY), occ.drop("batch").join(frequent.where(~hot), _KEY)]

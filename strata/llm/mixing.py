@@ -49,21 +49,35 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[\x00-/:-`{-\x7f]+"), "")
 
 
-def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *, id_col: str = "doc_id", text_col: str = "text", sample: int = 8000, least_z: float = 3.0, least_lift: float = 2.5, chance: float = 0.01):
-    """(hash of a marked feature: its log odds in each domain, for each domain the score of a text with none): Bernoulli naive Bayes.
-
-    Learns from a sample of at most ``sample`` labelled rows (id, domain), picked by a hash of the id, which is what is broadcast
-    (32 bytes a row). Rows with a null id or another domain teach nothing, an id with two domains has the first by name, null texts are empty;
-    without labels no feature is marked and all domains are equal. Features are told apart by 64-bit hashes, so a long text meets a marked one only by holding it (two of n are taken for one with
-    a chance of n**2 / 2**65). Only those are marked that some domain's texts have ``least_lift`` times as often as all texts, and ``least_z`` deviations
-    more than its share would give: what a short text hasn't then says little. And of all features, however many there are, ``chance`` are expected to be
-    marked by accident (Chernoff's bound on the count): vocabularies are mostly rare words, and long texts hold many of them.
+def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *, id_col: str = "doc_id", text_col: str = "text", sample: int = 8000, **kw):
+    """weights_of a sample of the labelled texts (labelled_texts)."""
+    return weights_of(labelled_texts(docs, labelled, domains, id_col=id_col, text_col=text_col, sample=sample), domains, **kw)
+
+
+def labelled_texts(docs: DataFrame, labelled: DataFrame, domains: list[str], *, id_col: str = "doc_id", text_col: str = "text", sample: int = 8000) -> DataFrame:
+    """(text, domain, held) to learn from, staged; about a quarter is held out for calibration.
+
+    A sample of at most ``sample`` labelled rows (id, domain), picked by a hash of the id, which is what is broadcast (32 bytes a row). Rows with a null
+    id or another domain teach nothing, an id with two domains has the first by name, null texts are empty; without labels no feature is marked
+    and all domains are equal.
     """
     labelled = labelled.where(F.col("id").isNotNull() & F.col("domain").isin(domains)).groupBy("id").agg(F.min("domain").alias("domain"))
     h = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     picked = labelled.where(h < min(1.0, 1.1 * sample / max(1, labelled.count())) * (1 << 30)).orderBy(h, "id").limit(sample)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(picked), "id")
+    parts = min(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return stage(rows.repartition(parts, "id").select("text", "domain", (F.pmod(F.xxhash64("id"), F.lit(1 << 32)) % 4 == 3).alias("held")), "labelled-texts")
+
+
+def weights_of(rows: DataFrame, domains: list[str], *, least_z: float = 3.0, least_lift: float = 2.5, chance: float = 10.0):
+    """(hash of a marked feature: its log odds in each domain, for each domain the score of a text with none) of rows (text, domain): Bernoulli naive Bayes.
+
+    Only features are marked that some domain's texts have ``least_lift`` times as often as all texts, and ``least_z`` deviations more than its share
+    would give: what a short text hasn't then says little. And of all features, however many there are, about ``chance`` are expected to be marked by
+    accident (Chernoff's bound on the count): held out, fewer than one lose rare words of a domain, and more add noise. Features are told
+    apart by 64-bit hashes (two of n are taken for one with a chance of n**2 / 2**65).
+    """
     rows = rows.select("domain", _features(F.col("text"), _words(F.col("text"))).alias("f"))
     # every text has the feature null, which counts the texts of a domain
     counts = stage(rows.select("domain", F.explode(F.concat("f", F.array(F.lit(None).cast("bigint")))).alias("feature")).groupBy("domain", "feature").agg(F.count("*").alias("n")), "domain-counts")
@@ -87,6 +101,29 @@ def domain_weights(docs: DataFrame, labelled: DataFrame, domains: list[str], *,
     return odds, base
 
 
+def calibration(rows: DataFrame, domains: list[str], *, prior: float = 20.0, **kw) -> list[list[float]]:
+    """For each domain, how the tokens given to it by the posteriors are truly spread over domains: row times matrix makes totals come out.
+
+    Learnt from weights of the rows that aren't held out, and the held ones' tokens. Each row of the matrix has the tokens of ``prior`` mean texts on
+    its diagonal besides, so few labels change little; without held rows it is the identity.
+    """
+    weights, base = weights_of(rows.where("NOT held"), domains, **kw)
+    held = posteriors(rows.where("held"), weights, base)
+    own = [F.sum(F.when(F.col("domain") == d, F.col("n_tokens") * F.col("posterior")[j])) for j in range(len(domains)) for d in domains]
+    got = held.agg(F.count("*"), F.sum("n_tokens"), *own).first()
+    mean = (got[1] or 0) / max(1, got[0])
+    k, out = len(domains), []
+    for j in range(k):
+        row = [(got[2 + j * k + i] or 0.0) + (prior * mean if i == j else 0.0) for i in range(k)]
+        out.append([x / sum(row) for x in row] if sum(row) else [float(i == j) for i in range(k)])
+    return out
+
+
+def calibrated(posterior: Column, matrix: list[list[float]]) -> Column:
+    """A posterior times the matrix of calibration(), to three places."""
+    return F.array(*[F.round(sum((posterior[j] * F.lit(row[k]) for j, row in enumerate(matrix)), F.lit(0.0)), 3) for k in range(len(matrix))])
+
+
 def posteriors(docs: DataFrame, weights: dict[int, list[float]], base: list[float], *, text_col: str = "text", temper: float = 1.0) -> DataFrame:
     """``docs`` with n_tokens (runs of letters and digits) and posterior (array, to three places), both from the whole text.
 
@@ -126,8 +163,8 @@ def posteriors(docs: DataFrame, weights: dict[int, list[float]], base: list[floa
 
 
 def _state(posterior: Column, steps: list[list[float]], eta: float, pull: float, start: Column | None = None) -> Column:
-    """(r, y, d) after all steps, d being how far the last one went from y, a step being the gradient's domain parts and the momentum: r' <- max(0, y - eta (p . g + pull (y - 1))), y <- r' + m (r' - r)."""
-    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"), F.lit(0.0).alias("d")) if start is None else start
+    """(r, y, d, q) after all steps, d and q being how far the last one went from y and from r, a step being the gradient's domain parts and the momentum: r' <- max(0, y - eta (p . g + pull (y - 1))), y <- r' + m (r' - r)."""
+    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"), F.lit(0.0).alias("d"), F.lit(0.0).alias("q")) if start is None else start
     if not steps:
         return start
     def dot(g):
@@ -135,7 +172,7 @@ def _state(posterior: Column, steps: list[list[float]], eta: float, pull: float,
 
     def step(s, x):
         r = F.greatest(F.lit(0.0), s["y"] - eta * (dot(x["g"]) + pull * (s["y"] - 1)))
-        return let(r, lambda new: F.struct(new.alias("r"), (new + x["m"] * (new - s["r"])).alias("y"), (new - s["y"]).alias("d")))
+        return let(r, lambda new: F.struct(new.alias("r"), (new + x["m"] * (new - s["r"])).alias("y"), (new - s["y"]).alias("d"), (new - s["r"]).alias("q")))
 
     # the steps as one constant, which the optimizer folds
     text = ";".join(",".join(f"{v:.12g}" for v in row) for row in steps)
@@ -158,7 +195,7 @@ class Fit(NamedTuple):
 def fit(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull: float = 1e-3, steps: int = 300, tolerance: float = 1e-3) -> Fit:
     """Rates for rows (n_tokens, posterior): expected totals near shares x scale x all tokens.
 
-    Projected gradient with momentum; each step is one sum over the distinct posteriors, whose state is written every tenth step. Ends when the
+    Projected gradient with momentum, which starts anew when a step has gone against the gradient; each step is one sum over the distinct posteriors, whose state is written every tenth step. Ends when the
     last step's projected gradient (its mean square over tokens) is so small that rates are within ``tolerance`` of the minimum's, the curvature being ``pull`` at least.
     Totals don't end it: the minimum leaves them off their targets by what pull weighs, or by more where no rates reach them. Both that and steps that ran
     out are logged.
@@ -172,17 +209,22 @@ def fit(rows: DataFrame, shares: list[float], *, scale: float = 1.0, pull: float
         return Fit([], 1.0, pull, [0.0] * k, [0.0] * k, True)
     target = [s / sum(shares) * scale * total for s in shares]
     curve = [max(first[f"s{i}"] or 0.0, 1e-9 * total) for i in range(k)]
-    eta, taken, since = 1.0 / (k + pull), [], 0
-    sums = sums.withColumn("s", _state(F.col("posterior"), [], eta, pull))
+    eta, taken, since, going = 1.0 / (k + pull), [], 0, 0
+    sums = sums.withColumn("s", _state(F.col("posterior"), [], eta, pull)).persist()  # small next to the staged table that it comes from again if it is lost
     for t in range(steps + 1):
         if t - since == 10:
-            sums, since = stage(sums.withColumn("s", _state(F.col("posterior"), taken[since:], eta, pull, F.col("s"))), "rates"), t
-        at = sums.withColumn("s", _state(F.col("posterior"), taken[since:], eta, pull, F.col("s"))).select("posterior", "tokens", "s.r", "s.y", "s.d")
-        got = at.agg(*[F.sum(F.col("tokens") * F.col(c) * p(i)) for c in "ry" for i in range(k)], F.sum(F.col("tokens") * F.pow(F.col("d"), 2))).first()
+            ahead = stage(sums.withColumn("s", _state(F.col("posterior"), taken[since:], eta, pull, F.col("s"))), "rates").persist()
+            sums.unpersist()
+            sums, since = ahead, t
+        at = sums.withColumn("s", _state(F.col("posterior"), taken[since:], eta, pull, F.col("s"))).select("posterior", "tokens", "s.r", "s.y", "s.d", "s.q")
+        got = at.agg(*[F.sum(F.col("tokens") * F.col(c) * p(i)) for c in "ry" for i in range(k)], F.sum(F.col("tokens") * F.col("d") * F.col("q")), F.sum(F.col("tokens") * F.pow(F.col("d"), 2))).first()
         done = t > 0 and math.sqrt(got[-1] / total) <= eta * tolerance * (pull or 1.0)
         if done or t == steps:
             break
-        taken.append([(x - want) / c for x, want, c in zip(got[k : 2 * k], target, curve, strict=True)] + [t / (t + 3)])
+        going = 0 if got[-2] < 0 else going
+        taken.append([(x - want) / c for x, want, c in zip(got[k : 2 * k], target, curve, strict=True)] + [going / (going + 3)])
+        going += 1
+    sums.unpersist()
     result = Fit(taken, eta, pull, list(got[:k]), target, done)
     off = max(abs(x - want) / max(want, 1e-9 * total) for x, want in zip(result.reached, target, strict=True))
     told = "totals %s for targets %s after %d steps, %s"
@@ -207,8 +249,10 @@ def mix_sources(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
     """
     docs = without(docs, "n_tokens", "posterior", "rate", "copies")
     domains = list(targets)
-    weights, base = domain_weights(docs, labelled, domains, id_col=id_col, text_col=text_col)
-    seen = stage(posteriors(docs, weights, base, text_col=text_col), "posteriors")  # texts are read once
+    learnt = labelled_texts(docs, labelled, domains, id_col=id_col, text_col=text_col)
+    weights, base = weights_of(learnt, domains)
+    seen = posteriors(docs, weights, base, text_col=text_col)
+    seen = stage(seen.withColumn("posterior", calibrated(F.col("posterior"), calibration(learnt, domains))), "posteriors")  # texts are read once
     found = fit(seen.select("n_tokens", "posterior"), list(targets.values()), scale=scale, **kw)
     told = {"wanted": dict(zip(domains, found.wanted, strict=True)), "reached": dict(zip(domains, found.reached, strict=True)), "at_minimum": found.at_minimum}
     chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)

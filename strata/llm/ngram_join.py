@@ -327,12 +327,12 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     their names cannot clash. ``heavy`` is a row in 8, but 2**18 at least and 2**20 at most, if not given.
 
     Defined results: rows with equal sets are linked, repeated rows too; a row with a null id joins its equals' component, or has a null
-    component_id; very long texts are handled whole; an empty table gives an empty table. Ids are cast to bigint. Sets are compared by
+    component_id; very long texts are handled whole; an empty table gives an empty table. Ids are bigint; one that is no whole number counts as null. Sets are compared by
     64-bit hashes (two of n sets are taken for one with a chance of n**2 / 2**65), their n-grams by 48 bits of one (one more in common than there
     is, with a chance of m * n / 2**48 for a pair).
     """
     spark = docs.sparkSession
-    text = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
+    text = docs.select(F.col(id_col).try_cast("bigint").alias("doc"), F.col(text_col).alias("text"))
     members = stage(text.mapInArrow(_members(k), "doc bigint, n int, cls bigint"), "members")
     reps = members.where("n > 0").groupBy("cls").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"))
     n_rows = members.count()
@@ -416,4 +416,4 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """
     groups = link_components(docs, id_col=id_col, text_col=text_col, k=k, percent=percent)
     gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("id")).distinct()
-    return docs.alias("d").join(gone.alias("g"), F.col(f"d.`{id_col}`").cast("bigint") == F.col("g.id"), "left_anti")
+    return docs.alias("d").join(gone.alias("g"), F.col(f"d.`{id_col}`").try_cast("bigint") == F.col("g.id"), "left_anti")

@@ -94,7 +94,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, id_col: str
     cannot clash. Ids are cast to bigint, so a text that is no number counts as a null id.
     """
     n = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col(id_col).try_cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     rows.mapInArrow(_segments(tokenizer, end_id, segment_ids), _SEGMENT).write.parquet(path)
 
 

@@ -23,7 +23,7 @@ def features(text):
 
 
 def plain_posteriors(texts, labels, domains):
-    """(tokens, posteriors to three places) of texts, by sets of words."""
+    """(tokens, posteriors to three places) of texts, by sets of words, learnt from the labels."""
     found = {d: features(t) for d, t in texts.items()}
     own = {k: [found[d][1] for d, x in labels.items() if x == k and d in found] for k in domains}
     size = {k: len(v) for k, v in own.items()}
@@ -35,7 +35,7 @@ def plain_posteriors(texts, labels, domains):
         for k in domains:
             e = count * size[k] / sum(size.values())
             beyond = n[k][f] * math.log(n[k][f] / e) - n[k][f] + e if n[k][f] else 0
-            tells |= n[k][f] - e >= 3 * math.sqrt(e + 1) and n[k][f] >= 2.5 * e and beyond >= math.log(len(domains) * len(both) / 0.01)
+            tells |= n[k][f] - e >= 3 * math.sqrt(e + 1) and n[k][f] >= 2.5 * e and beyond >= math.log(len(domains) * len(both) / 10)
         if tells:
             p = np.array([(n[k][f] + 1) / (size[k] + 2) for k in domains])
             odds[f] = np.log(p / (1 - p))
@@ -45,6 +45,17 @@ def plain_posteriors(texts, labels, domains):
     return np.array([c for c, _ in found.values()]), np.floor(1000 * e / e.sum(1, keepdims=True) + 0.5) / 1000
 
 
+def plain_calibrated(texts, labels, held, domains):
+    """(tokens, posteriors) after what the held labels teach about the tokens that the other labels' posteriors give to each domain."""
+    tokens, p = plain_posteriors(texts, labels, domains)
+    n, q = plain_posteriors(texts, {d: x for d, x in labels.items() if d not in held}, domains)
+    at = [(i, domains.index(labels[d])) for i, d in enumerate(texts) if d in held and labels.get(d) in domains]
+    matrix = 20 * np.mean([n[i] for i, _ in at]) * np.eye(len(domains))
+    for i, k in at:
+        matrix[:, k] += n[i] * q[i]
+    return tokens, np.floor(1000 * (p @ (matrix / matrix.sum(1, keepdims=True))) + 0.5) / 1000
+
+
 def plain_rates(tokens, p, shares, scale, pull=1e-3):
     target, curve, rate = np.array(shares) / sum(shares) * scale * tokens.sum(), (tokens[:, None] * p * p).sum(0), np.ones(len(p))
     for _ in range(20_000):
@@ -59,7 +70,8 @@ def test_mixing_stage_matches_plain_python(spark):
     for r in spark.read.parquet(f"{sf}/labels.parquet").collect():
         labels[r["doc_id"]] = "toxic" if r["toxic"] == 1 else {1: "clean", 0: "low"}.get(r["quality"])
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
-    tokens, p = plain_posteriors(texts, labels, list(cp.TARGETS))
+    held = {r["doc_id"] for r in docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) % 4 == 3).select("doc_id").collect()}
+    tokens, p = plain_calibrated(texts, labels, held, list(cp.TARGETS))
     rates = plain_rates(tokens, p, list(cp.TARGETS.values()), cp.SCALE)
     got = Counter(r["doc_id"] for r in cp.mix(spark, docs, sf).collect())
     chance = {r["doc_id"]: r["c"] for r in docs.select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit(42)), F.lit(1 << 30)) / float(1 << 30)).alias("c")).collect()}
