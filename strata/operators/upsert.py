@@ -97,6 +97,7 @@ def upsert_keyed(spark: SparkSession, name: str, batch: DataFrame, key: str, **k
         out.write.mode("overwrite").insertInto(name)
     finally:
         spark.conf.set(mode, before)
+    spark.catalog.refreshTable(name)
     return touched
 
 

@@ -16,12 +16,12 @@ def upsert_stream(spark: SparkSession, path: str, schema: T.StructType, table: s
     A micro-batch rewrites the parts of its keys alone. Applying one twice changes nothing, so a replay after a failure is safe. Rows without a key are left out.
     """
     def apply(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        if not session.catalog.tableExists(table):
+        # in the caller's session, not the stream's copy of it: a session keeps the files of a table it has read until it changes them itself
+        if not spark.catalog.tableExists(table):
             first = latest_per_key(batch.where(F.col(key).isNotNull()), [key], [F.col(event_time or load_time).desc_nulls_last()], keep_null_keys=False)
             create_keyed(first, table, key, parts=parts)
         else:
-            upsert_keyed(session, table, batch, key, event_time=event_time, load_time=load_time)
+            upsert_keyed(spark, table, batch, key, event_time=event_time, load_time=load_time)
 
     writer = spark.readStream.schema(schema).parquet(path).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
