@@ -48,7 +48,8 @@ def state_fields(spark, d):
 
 def schema_sample(spark, d):
     """A day's payloads, and as many of the days before as make up 5000."""
-    p = _payloads(spark, d)
+    text = F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit(', "p": '), "props", F.lit("}"))
+    p = read(spark, d, "events").select(F.dayofmonth("ts").alias("day"), text.alias("j"))
     return discovery.schema_sample(p.where("day = 21"), p.where("day < 21"), "j", 5000)
 
 
@@ -106,6 +107,7 @@ ORACLE = {
     "state_schema": f"WITH g AS (SELECT event_type AS t, {_LATE} AS late FROM events WHERE event_id % 50 <> 3 GROUP BY 1), f AS (SELECT t, 'struct<' || CASE WHEN late THEN 'late:string,' ELSE '' END || 'n:bigint>' AS type FROM g) SELECT 'of' AS path, 'struct<' || string_agg(t || ':' || type, ',' ORDER BY t) || '>' AS type, 'struct' AS kind, false AS child_table FROM f UNION ALL SELECT 'of.' || t, type, 'struct', false FROM f UNION ALL SELECT 'of.' || t || '.n', 'bigint', 'scalar', false FROM f UNION ALL SELECT 'of.' || t || '.late', 'string', 'scalar', false FROM g WHERE late UNION ALL SELECT 'm', 'string', 'scalar', false UNION ALL SELECT 'l', 'array<struct<user_id:bigint>>', 'array', true UNION ALL SELECT 'l[].user_id', 'bigint', 'scalar', false",
     "state_drift": _P + "SELECT path, CASE WHEN min(first_day) >= '2024-01-15' THEN 'added' WHEN max(last_day) < '2024-01-15' THEN 'dropped' ELSE 'retyped' END AS change, string_agg(type, ',' ORDER BY type) AS types FROM t WHERE type <> 'UNPARSED' GROUP BY path HAVING bool_or(first_day >= '2024-01-15') OR max(last_day) < '2024-01-15'",
     "state_fields": _P + "SELECT path AS field, sum(n)::BIGINT AS n, round(sum(n) / (SELECT count(*) FROM events), 6) AS share FROM t WHERE path IN ('of', 'm', 'l') GROUP BY 1",
+    "schema_sample": "WITH p AS (SELECT day(ts) AS d, '{\"id\": ' || event_id || ', \"p\": ' || props || '}' AS j FROM events), r AS (SELECT d, j, row_number() OVER (PARTITION BY d = 21 ORDER BY md5('42:' || j), j) AS i FROM p WHERE d <= 21), n AS (SELECT least(5000, count(*) FILTER (d = 21)) AS have FROM p) SELECT j FROM r, n WHERE i <= CASE WHEN d = 21 THEN have ELSE 5000 - have END",
     "key_map": f"WITH customer_rich AS (SELECT c_custkey AS customer_id, c_nationkey FROM customer WHERE c_acctbal > 5000), v AS ({_V}), w AS (SELECT DISTINCT t, c, v FROM v WHERE v IS NOT NULL), n AS (SELECT t, c, count(*) AS n FROM w GROUP BY ALL), k(t, c) AS (VALUES {', '.join(map(str, _KEYS))}), p AS (SELECT a.t AS lt, a.c AS lc, b.t AS rt, b.c AS rc, count(*) AS shared FROM w a JOIN w b ON a.v = b.v AND a.t <> b.t JOIN k ON k.t = b.t AND k.c = b.c GROUP BY ALL), q AS (SELECT p.*, a.n AS ln, b.n AS rn, shared / a.n AS s FROM p JOIN n a ON a.t = lt AND a.c = lc JOIN n b ON b.t = rt AND b.c = rc WHERE shared / a.n >= 0.9), "
     "o AS (SELECT row_number() OVER (ORDER BY q.lt, q.rt) AS i, q.lt, q.lc, q.rt, q.rc, ln, rn FROM q JOIN k ON k.t = lt AND k.c = lc WHERE ln < rn OR (ln = rn AND starts_with(lt, rt || '_')) ORDER BY lt, rt), "
     "g AS (WITH RECURSIVE r AS (SELECT 0::BIGINT AS i, []::VARCHAR[] AS gone, []::BIGINT[] AS taken UNION ALL SELECT o.i, CASE WHEN list_contains(gone, lt) OR list_contains(gone, rt) THEN gone ELSE list_append(gone, lt) END, CASE WHEN list_contains(gone, lt) OR list_contains(gone, rt) THEN taken ELSE list_append(taken, o.i) END FROM r JOIN o ON o.i = r.i + 1) SELECT gone, taken FROM r ORDER BY i DESC LIMIT 1), "
