@@ -62,7 +62,7 @@ def scratch(spark: SparkSession):
     try:
         yield made
     finally:
-        _made.remove(made)
+        _made[:] = [m for m in _made if m is not made]  # by identity: blocks that staged nothing are equal lists
         discard(spark, *made)
 
 

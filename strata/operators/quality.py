@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.shared import stage
+from strata.functions.shared import free_name, stage
 
 _KEYS = (T.StringType, T.IntegerType, T.LongType)
 #: Expressions in one aggregate: more may exceed the size of a generated method.
@@ -229,10 +229,11 @@ def type_conflicts(df: DataFrame, raw_col: str, parsed_col: str, *, min_share: f
     """(field, problem, n, share): fields present in the raw JSON but null once parsed, and text that hides JSON, on at least ``min_share`` of rows."""
     raw = F.from_json(F.when(F.try_parse_json(raw_col).isNotNull(), F.col(raw_col)), "map<string,string>")
     fields = list(df.schema[parsed_col].dataType)
-    df = df.withColumn("__raw", raw)
+    held = free_name(df, "raw_fields")
+    df = df.withColumn(held, raw)
     tests: dict[tuple[str, str], Column] = {}
     for f in fields:
-        parsed, text = F.col(f"{parsed_col}.`{f.name}`"), F.try_element_at("__raw", F.lit(f.name))
+        parsed, text = F.col(f"{parsed_col}.`{f.name}`"), F.try_element_at(held, F.lit(f.name))
         tests[f.name, "lost"] = text.isNotNull() & (text != "null") & parsed.isNull()
         if isinstance(f.dataType, T.StringType):
             tests[f.name, "hidden json"] = parsed.rlike(r"^\s*[\[{]") & F.try_parse_json(parsed).isNotNull()
@@ -268,9 +269,9 @@ def literal_leaks(df: DataFrame) -> DataFrame:
 
 def deletion_drift(df: DataFrame, key: str, ts_col: str, n: int = 3) -> DataFrame:
     """(key, last_seen): keys absent from the ``n`` newest dumps."""
-    newest = df.select(F.col(ts_col).alias("__t")).distinct().orderBy(F.col("__t").desc()).limit(n).agg(F.min("__t").alias("cut"))
-    last = df.groupBy(key).agg(F.max(ts_col).alias("last_seen"))
-    return last.crossJoin(F.broadcast(newest)).where("last_seen < cut").drop("cut")
+    newest = df.select(F.col(ts_col).alias("at")).where("at IS NOT NULL").distinct().orderBy(F.col("at").desc()).limit(n).agg(F.min("at").alias("cut"))
+    last = df.groupBy(F.col(key).alias("of")).agg(F.max(ts_col).alias("last_seen"))
+    return last.crossJoin(F.broadcast(newest)).where("last_seen < cut").select(F.col("of").alias(key), "last_seen")
 
 
 def key_class(c: Column) -> Column:

@@ -68,6 +68,24 @@ def explode_to_child(df: DataFrame, array_col: str, parent: str, key: str, *, ca
     return rows.select(f"{parent}_{key}", *carry, *at, *fields)
 
 
+def derived_columns(df: DataFrame, *, renamed: dict[str, str] | None = None, first_of: dict[str, Sequence[str]] | None = None, joined: dict[str, tuple[str, Sequence[str]]] | None = None, cases: dict[str, Sequence[tuple[Column, object]]] | None = None) -> DataFrame:
+    """``df`` with columns by rule, all computed from its own columns in one projection; a name that is there already is replaced.
+
+    renamed: {new: old}, the old one goes. first_of: {new: columns}, the first value that is neither null nor blank text. joined: {new: (separator,
+    columns)}, those values joined, null without any. cases: {new: (condition, value) pairs}, the first that holds, else null; values are columns or literals.
+    """
+    def known(c: str) -> Column:
+        value = F.col(f"`{c}`")
+        return F.when(F.trim(value) != "", value) if isinstance(df.schema[c].dataType, T.StringType) else value
+
+    new = {n: F.col(f"`{old}`") for n, old in (renamed or {}).items()}
+    new |= {n: F.coalesce(*map(known, cs)) for n, cs in (first_of or {}).items()}
+    new |= {n: F.nullif(F.concat_ws(sep, *[known(c).cast("string") for c in cs]), F.lit("")) for n, (sep, cs) in (joined or {}).items()}
+    new |= {n: F.coalesce(*[F.when(w, v if isinstance(v, Column) else F.lit(v)) for w, v in pairs]) for n, pairs in (cases or {}).items()}
+    gone = {n.lower() for n in new} | {old.lower() for old in (renamed or {}).values()}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone], *[c.alias(n) for n, c in new.items()])
+
+
 def explode_children(df: DataFrame, array_col: str, parent: str, key: str, *, depth: int = 3) -> dict[str, DataFrame]:
     """{name: child}: explode_to_child, and so on through arrays of structs that have the key's field ``id``."""
     child = explode_to_child(df, array_col, parent, key)

@@ -235,6 +235,31 @@ def breaker_profile(df: DataFrame, col: str) -> DataFrame:
     return _walk(df, col).select("id", "key", flags).distinct().groupBy("key", "breaker").agg(F.count("*").alias("n"))
 
 
+# fixed values: breakers of a payload's structure, each found between its strings
+STRUCTURE = {"trailing_comma": r",\s*+[}\]]", "unquoted_key": r"[{,]\s*+[A-Za-z_]\w*+\s*+:", "bare_literal": r"[:,\[]\s*+(?:None|True|False|NaN|undefined)\s*+[,}\]]", "single_quote": r"'", "open_string": r"\ue000"}
+
+
+def _between(c: Column) -> Column:
+    """A text with each whole string as an empty one, and one that doesn't end as a private-use character."""
+    def one(x):
+        return F.when(~(x.startswith('"') | x.startswith("'")), F.translate(x, _APOSTROPHE, "")).when(~F.regexp_like(x, F.lit(rf"\A(?:{_WHOLE})\z")), F.lit(_APOSTROPHE)).when(x.startswith("'"), F.lit("''")).otherwise(F.lit('""'))
+
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_PIECES), F.lit(0)), one), "")
+
+
+def structure_profile(df: DataFrame, col: str) -> DataFrame:
+    """(breaker, n): in how many distinct payloads that don't parse as they are each breaker of structure is found; ``other`` where none is.
+
+    What a string holds counts for nothing here (breaker_profile reads that). Null and blank texts are left out; curly quotes count as straight ones.
+    """
+    last_key_wins(df.sparkSession)
+    raw = F.nullif(F.trim(F.col(col)), F.lit(""))
+    broken = df.select(raw.alias("j")).where("j IS NOT NULL").where(~_ok(F.col("j"))).distinct()
+    found = broken.select(_between(_straight(F.col("j"))).alias("s")).select(F.array_compact(F.array(*[F.when(F.col("s").rlike(p), F.lit(n)) for n, p in STRUCTURE.items()])).alias("f"))
+    names = F.when(F.size("f") > 0, F.col("f")).otherwise(F.array(F.lit("other")))
+    return found.select(F.explode(names).alias("breaker")).groupBy("breaker").agg(F.count("*").alias("n"))
+
+
 def problem_key_profile(triaged: DataFrame, col: str, *, rungs: Sequence[str] = ("4",)) -> DataFrame:
     """(key, rung, n): keys named in rows that only these rungs, or none, could parse."""
     hard = triaged.where(F.col("rung").isNull() | F.col("rung").isin(list(rungs))).where(F.col(col).isNotNull())

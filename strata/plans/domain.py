@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.operators import aggregates, facts, metrics
+from strata.operators import aggregates, facts, metrics, reshape
 from strata.plans.tables import read
 
 
@@ -112,6 +112,29 @@ def self_join_versions(spark, d):
     return aggregates.self_join_versions(read(spark, d, "orders"), "o_custkey", "o_orderkey", ["o_orderstatus"])
 
 
+def attributed_sales(spark, d):
+    """Orders with the nation that alone owns their customer's code."""
+    sales = read(spark, d, "orders").select("o_orderkey", F.pmod("o_custkey", F.lit(80)).alias("code"))
+    bridge = read(spark, d, "supplier").select(F.pmod("s_suppkey", F.lit(80)).alias("code"), F.col("s_nationkey").alias("owner"))
+    return facts.attributed_sales(sales, bridge, value="code", owner="owner").select("o_orderkey", "owner")
+
+
+def days_until_next_by_spine(spark, d):
+    """Groups of four customers each, reached by their ids, and those of odd ids by mail as well."""
+    c = read(spark, d, "customer").select("c_custkey", F.floor(F.col("c_custkey") / 4).alias("group_key"))
+    mail = F.when(F.pmod("c_custkey", F.lit(2)) == 1, F.concat(F.lit("u"), "c_custkey"))
+    spine = c.groupBy("group_key").agg(F.sort_array(F.collect_list("c_custkey")).alias("lead_ids"), F.sort_array(F.collect_list(mail)).alias("mails"))
+    e = read(spark, d, "events").select("user_id", F.concat(F.lit("u"), F.col("user_id") + 1).alias("mail"), "ts")
+    return facts.days_until_next_by_spine(e, spine, [("user_id", "leads"), ("mail", "mails")], ts_col="ts", as_of="2024-01-15")
+
+
+def derived_columns(spark, d):
+    c = read(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", F.when(F.col("c_nationkey") < 5, " ").when(F.col("c_nationkey") < 20, F.lit("n")).alias("mark"), "c_acctbal")
+    balance = F.col("c_acctbal")
+    got = reshape.derived_columns(c, renamed={"id": "c_custkey"}, first_of={"label": ["mark", "c_mktsegment"]}, joined={"full": (" / ", ["c_name", "mark"])}, cases={"band": [(balance < 0, "owes"), (balance > 5000, F.col("c_mktsegment"))]})
+    return got.select("id", "label", "full", "band")
+
+
 _SALES = """f AS (SELECT * FROM orders WHERE lower(substr(o_orderpriority, 3, 20)) IN ('urgent', 'high') QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"""
 ORACLE = {
     "seeded_sample": f"SELECT o_orderkey FROM orders WHERE ('0x' || substr(md5(o_orderkey || '/42'), 1, 8))::BIGINT < {int(0.1 * (1 << 32))}",
@@ -122,6 +145,9 @@ ORACLE = {
     "sales_gap_report": f"WITH {_SALES} SELECT c_custkey AS lead_id, CASE WHEN c_custkey % 7 = 0 THEN 'merged away' WHEN c_mktsegment = 'BUILDING' THEN 'not a client' ELSE 'sale missing' END AS reason FROM customer WHERE c_acctbal > 0 AND c_custkey NOT IN (SELECT o_custkey FROM f)",
     "health_metrics": "SELECT c_custkey AS lead_id, spend, c_mktsegment LIKE 'AUTO%' AS is_intern, spend IS NULL AS is_unlinked FROM customer LEFT JOIN (SELECT o_custkey, round(sum(o_totalprice), 2) AS spend FROM orders GROUP BY 1) ON o_custkey = c_custkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') OR c_mktsegment LIKE 'AUTO%'",
     "days_since_login": "SELECT user_id AS c_custkey, max(ts::DATE) AS last_access, date_diff('day', max(ts::DATE), DATE '2024-01-31')::INT AS days, date_diff('day', max(ts::DATE), DATE '2024-01-31')::VARCHAR AS shown FROM events JOIN customer ON c_custkey = user_id WHERE event_type = 'view' GROUP BY 1",
+    "attributed_sales": "WITH b AS (SELECT s_suppkey % 80 AS code, min(s_nationkey) AS owner FROM supplier GROUP BY 1 HAVING count(DISTINCT s_nationkey) = 1) SELECT o_orderkey, owner FROM orders LEFT JOIN b ON code = o_custkey % 80",
+    "days_until_next_by_spine": "WITH h AS (SELECT c_custkey // 4 AS g, ts FROM events JOIN customer ON c_custkey = user_id UNION SELECT c_custkey // 4, ts FROM events JOIN customer ON c_custkey = user_id + 1 AND c_custkey % 2 = 1), n AS (SELECT g, min(ts) AS next_at FROM h WHERE ts::DATE >= DATE '2024-01-15' GROUP BY 1) SELECT c_custkey AS lead_id, next_at, date_diff('day', DATE '2024-01-15', next_at::DATE)::INT AS days FROM customer JOIN n ON g = c_custkey // 4",
+    "derived_columns": "SELECT c_custkey AS id, CASE WHEN c_nationkey BETWEEN 5 AND 19 THEN 'n' ELSE c_mktsegment END AS label, c_name || CASE WHEN c_nationkey BETWEEN 5 AND 19 THEN ' / n' ELSE '' END AS \"full\", CASE WHEN c_acctbal < 0 THEN 'owes' WHEN c_acctbal > 5000 THEN c_mktsegment END AS band FROM customer",
     "group_counts": "SELECT o_orderstatus, count(*) AS n, count(DISTINCT o_totalprice) AS n_distinct, min(o_totalprice) AS least, max(o_totalprice) AS most, round(sum(o_totalprice), 2) AS total, round(avg(o_totalprice), 2) AS mean FROM orders GROUP BY 1",
     "conditional_agg": "SELECT user_id, max(ts) FILTER (event_type = 'click') AS click, max(ts) FILTER (event_type = 'view') AS view FROM events GROUP BY 1",
     "collect_set_sorted": "SELECT c_nationkey, array_to_string(list_sort(list(DISTINCT c_mktsegment)), ' / ') AS \"values\" FROM customer GROUP BY 1",
@@ -134,5 +160,5 @@ ORACLE = {
     "cross_scalar": "SELECT o_orderstatus, round(count(*) / (SELECT count(*) FROM orders), 6) AS share FROM orders GROUP BY 1",
     "self_join_versions": "SELECT o_custkey, o_orderkey, o_orderstatus, lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS old_o_orderstatus FROM orders",
 }
-_ALL = (staff_dim, activity_fact, lead_dim, sales_fact, sales_gap_report, health_metrics, days_since_login, group_counts, conditional_agg, collect_set_sorted, having_filter, rank_window, rank_then_filter, top_n, seeded_sample, union_distinct, union_all, cross_scalar, self_join_versions)
+_ALL = (staff_dim, activity_fact, lead_dim, sales_fact, sales_gap_report, health_metrics, days_since_login, group_counts, conditional_agg, collect_set_sorted, having_filter, rank_window, rank_then_filter, top_n, seeded_sample, union_distinct, union_all, cross_scalar, self_join_versions, attributed_sales, days_until_next_by_spine, derived_columns)
 QUERIES = {f.__name__: f for f in _ALL}

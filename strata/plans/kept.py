@@ -66,6 +66,13 @@ def key_map(spark, d):
     return got.drop("rel_hash")
 
 
+def variant_schema_to_struct(spark, d):
+    """The scalar paths of Spark's own schema of the events' variants, names sanitised and null alone as text."""
+    text = F.to_json(F.create_map("event_type", F.struct("event_id", F.col("event_type").alias("the type"), F.col("user_id").alias("the_type"))))
+    seen = read(spark, d, "events").agg(F.schema_of_variant_agg(F.parse_json(F.concat(F.lit('{"none": null, "of": '), text, F.lit("}")))).alias("s")).first()["s"]
+    return schema.schema_paths(spark, schema.variant_schema_to_struct(seen)).where("kind = 'scalar'").select("path", "type")
+
+
 def registry_audit(spark, d):
     """Fields that events are registered with, by name and by type of event, against those discovered."""
     e = read(spark, d, "events")
@@ -113,9 +120,10 @@ ORACLE = {
     "g AS (WITH RECURSIVE r AS (SELECT 0::BIGINT AS i, []::VARCHAR[] AS gone, []::BIGINT[] AS taken UNION ALL SELECT o.i, CASE WHEN list_contains(gone, lt) OR list_contains(gone, rt) THEN gone ELSE list_append(gone, lt) END, CASE WHEN list_contains(gone, lt) OR list_contains(gone, rt) THEN taken ELSE list_append(taken, o.i) END FROM r JOIN o ON o.i = r.i + 1) SELECT gone, taken FROM r ORDER BY i DESC LIMIT 1), "
     "x AS (SELECT lt, lc, rt, rc, ln, rn FROM o, g WHERE list_contains(taken, i)) "
     "SELECT 'PK' AS kind, k.t AS left_table, k.c AS left_col, NULL AS right_table, NULL AS right_col, NULL::DOUBLE AS containment, n AS left_n, NULL::BIGINT AS right_n FROM k JOIN n USING (t, c) UNION ALL SELECT 'PK_ECHO', lt, lc, rt, rc, NULL, ln, rn FROM x UNION ALL SELECT 'PK_FK', lt, lc, rt, rc, round(s, 4), ln, rn FROM q, g WHERE ln >= 30 AND NOT list_contains(gone, rt)",
+    "variant_schema_to_struct": "SELECT 'none' AS path, 'string' AS type UNION ALL SELECT DISTINCT unnest(['of.' || event_type || '.event_id', 'of.' || event_type || '.the_type', 'of.' || event_type || '.the_type_2']), unnest(['bigint', 'string', 'bigint']) FROM events",
     "registry_audit": "SELECT 'events' AS silver_name, lower(r_name) AS field_name, 'orphan' AS problem FROM region UNION ALL SELECT DISTINCT 'events', event_type, 'unregistered' FROM events WHERE event_type = 'click'",
     "table_lineage": "WITH n AS (SELECT lower(replace(r_name, ' ', '')) AS r, lower(replace(n_name, ' ', '')) AS n FROM nation JOIN region ON n_regionkey = r_regionkey) SELECT DISTINCT NULL AS parent, r AS child, 0 AS depth, NULL AS how FROM n UNION ALL SELECT r, r || '_' || n, 1, 'prefix' FROM n UNION ALL SELECT r || '_' || n, r || '_' || n || '_customers', 2, 'array' FROM n UNION ALL SELECT r || '_' || n || '_customers', r || '_' || n || '_customers_old', 3, 'prefix' FROM n WHERE n < 'f' UNION ALL SELECT DISTINCT r, r || '_custom', 1, 'custom' FROM n",
     "classify_columns": "SELECT DISTINCT CASE WHEN length(event_type) < 5 THEN 'scalars' WHEN length(event_type) = 5 THEN 'arrays' ELSE 'structs' END AS kind, event_type AS name FROM events",
     "field_budget": "SELECT silver_name, max(f) AS fields FROM (SELECT event_type AS silver_name, ts::DATE AS day, count(DISTINCT user_id) AS f FROM events GROUP BY ALL) GROUP BY 1 HAVING max(f) > 20",
 }
-QUERIES = {f.__name__: f for f in (discovery_state, state_schema, state_drift, state_fields, schema_sample, key_map, registry_audit, table_lineage, classify_columns, field_budget)}
+QUERIES = {f.__name__: f for f in (discovery_state, state_schema, state_drift, state_fields, schema_sample, key_map, variant_schema_to_struct, registry_audit, table_lineage, classify_columns, field_budget)}

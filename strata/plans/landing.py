@@ -48,6 +48,14 @@ def problem_key_profile(spark, d):
     return triage.problem_key_profile(triage.json_triage(e.select(raw.alias("raw")), "raw", free_text_keys=["note"]), "raw")
 
 
+def structure_profile(spark, d):
+    """Payloads broken in five ways, and whole ones, by the remainder of the id; strings hold what would be a breaker outside."""
+    shapes = ['{"k": {k},}', "{k: {k}}", "{'k': {k}, 'a': None}", '{"k": {k}, "x": "no end', '{"k": {k} "x": "a: None,}"}', '{"k": {k}, "x": "{a: None,}"}']
+    e = read(spark, d, "events")
+    raw = F.coalesce(*[F.when(F.pmod("event_id", F.lit(len(shapes))) == i, F.replace(F.lit(s), F.lit("{k}"), F.col("event_id").cast("string"))) for i, s in enumerate(shapes)])
+    return triage.structure_profile(e.select(raw.alias("raw")), "raw")
+
+
 def breaker_profile(spark, d):
     """Texts two levels deep, and in a list."""
     docs = read(spark, d, "documents").where(~F.col("text").rlike(r"^\s*[\[{]"))
@@ -298,6 +306,7 @@ ORACLE = {
     "unwrap_envelope": "SELECT event_id, CASE WHEN event_id % 4 < 3 THEN (props->>'k')::BIGINT END AS k, event_id % 4 = 3 AS stayed, false AS wrapped FROM events",
     "needs_repair": "SELECT event_type, bool_or(NOT json_valid(CASE WHEN event_type = 'error' THEN replace(props, '\"', '''') ELSE props END)) AS repair FROM events WHERE event_type IN ('click', 'error') GROUP BY 1",
     "problem_key_profile": "SELECT event_type AS key, CASE event_id % 3 WHEN 0 THEN '4' END AS rung, count(*) AS n FROM events WHERE event_id % 3 < 2 GROUP BY ALL UNION ALL SELECT 'note', '4', count(*) FROM events WHERE event_id % 3 = 0",
+    "structure_profile": "SELECT unnest(CASE event_id % 6 WHEN 0 THEN ['trailing_comma'] WHEN 1 THEN ['unquoted_key'] WHEN 2 THEN ['bare_literal', 'single_quote'] WHEN 3 THEN ['open_string'] WHEN 4 THEN ['other'] ELSE [] END) AS breaker, count(DISTINCT event_id) AS n FROM events GROUP BY 1",
     "breaker_profile": "WITH p AS (SELECT DISTINCT text, source FROM documents WHERE NOT regexp_matches(text, '^\\s*[\\[{]')), t AS (SELECT 'text' AS key, text AS t FROM p UNION ALL SELECT 'tags', source || '''s' FROM p), b AS (" + " UNION ALL ".join(f"SELECT key, '{n}' AS breaker FROM t WHERE {w}" for n, w in _BREAKS.items()) + ") SELECT key, breaker, count(*) AS n FROM b GROUP BY ALL",
     "process_table_repaired": _PARENT + ", w AS (SELECT max(ts) AS wm FROM (SELECT * FROM v WHERE id IS NOT NULL AND ts < '2024-01-15' " + _LATEST + ")) SELECT 'table' AS part, event_id FROM (SELECT * FROM v WHERE id IS NOT NULL " + _LATEST + ") UNION ALL SELECT 'unparsed', event_id FROM events, w WHERE event_id % 13 = 0 AND ts > wm UNION ALL SELECT 'no key', event_id FROM v, w WHERE id IS NULL AND ts > wm",
     "parse_quarantine": "SELECT md5('{oops ' || event_id) AS payload_hash, '{oops ' || event_id AS raw FROM events WHERE event_id % 13 = 0 AND event_id % 10 <> 0",
@@ -329,7 +338,7 @@ ORACLE = {
 QUERIES = {
     f.__name__: f
     for f in (
-        json_ladder, unwrap_envelope, needs_repair, problem_key_profile, breaker_profile, process_table_repaired, parse_quarantine, replay_quarantine, rebuild_parent, rebuild_child, run_tables, full_replace, table_sink,
+        json_ladder, unwrap_envelope, needs_repair, problem_key_profile, structure_profile, breaker_profile, process_table_repaired, parse_quarantine, replay_quarantine, rebuild_parent, rebuild_child, run_tables, full_replace, table_sink,
         collect_identities, spine_coverage, staff_classify, discovered_fields, nested_drift, descend_degraded, flatten_structs, explode_rows, stamp_load_time, pack_batches, jdbc_scan, upsert_keyed, skip_kept, load_all_sources, key_profile, shape_profile, mapping_keys, open_versions,
     )
 }

@@ -76,7 +76,8 @@ def process_table(raw: DataFrame, target: DataFrame | None, cfg: Config, *, quar
     parsed, metrics = parse_raw(raw, cfg, registry=registry, known=known, watermark=wm)
     quarantine = quarantine if quarantine is not None else parsed.drop("parsed").limit(0)
     good, bad = parse_quarantine(parsed, quarantine)
-    kept = good.select(F.col(cfg.insert_date).alias("bronze_insert_date"), F.col(cfg.updated_at).alias("bronze_updated_at"), "payload_hash", "parsed")
+    valid = Observation("valid")
+    kept = good.observe(valid, F.count("*").alias("n")).select(F.col(cfg.insert_date).alias("bronze_insert_date"), F.col(cfg.updated_at).alias("bronze_updated_at"), "payload_hash", "parsed")
     flat = sanitize_names(explode_payload(kept))
     if cfg.sentinels:
         flat = sentinel_nulls(flat, cfg.sentinels)
@@ -85,7 +86,7 @@ def process_table(raw: DataFrame, target: DataFrame | None, cfg: Config, *, quar
     parked = Observation("parked")
     flat = stage(flat, "parent")
     bad = stage(bad.observe(parked, F.count("*").alias("n")), "unparsed")
-    metrics |= {"parsed_valid": flat.select("payload_hash").distinct().count(), "parsed_null": metrics["rung_stats"].get("none", 0), "quarantined_new": parked.get["n"], "mode": "rebuild" if rebuild else "full" if target is None else "cdc"}
+    metrics |= {"parsed_valid": valid.get["n"], "parsed_null": metrics["rung_stats"].get("none", 0), "quarantined_new": parked.get["n"], "mode": "rebuild" if rebuild else "full" if target is None else "cdc"}
     all_null_guard(flat.drop("bronze_insert_date", "bronze_updated_at", "payload_hash"))
     key = cfg.key or find_key(flat.drop("payload_hash"), table=cfg.silver)
     null_keys = spark.createDataFrame([], "table_name string, pk_column string, payload_hash string, row_json string")

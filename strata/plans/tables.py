@@ -117,6 +117,16 @@ def explode_to_child(spark, d):
     return reshape.explode_to_child(read(spark, d, "embeddings"), "embedding", "embeddings", "vec_id", carry=["label"], position="pos").select("embeddings_vec_id", "label", "pos", F.col("value").cast("double").alias("value"))
 
 
+def explode_children(spark, d):
+    """Orders with a list of lines, each with a list of what it names: both child tables, one below the other."""
+    things = F.array(F.struct(F.concat(F.lit("p"), "l_partkey").alias("id")), F.struct(F.concat(F.lit("s"), "l_suppkey").alias("id")))
+    line = F.struct(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), things.alias("things"))
+    orders = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    found = reshape.explode_children(orders, "lines", "orders", "l_orderkey")
+    lines, named = found["orders_lines"], found["orders_lines_things"]
+    return lines.select(F.lit("lines").alias("child"), F.col("orders_l_orderkey").cast("string").alias("parent"), "id").unionByName(named.select(F.lit("things").alias("child"), F.col("orders_lines_id").alias("parent"), "id"))
+
+
 def explode_fragments(spark, d):
     turns = read(spark, d, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     return reshape.explode_fragments(turns, "turns", carry=["conv_id"], field="text")
@@ -226,6 +236,7 @@ _DEF = {
     "semi_exists": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')",
     "last_access_pick": "SELECT user_id, event_id, event_type, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC) = 1",
     "explode_to_child": "SELECT vec_id AS embeddings_vec_id, label, (generate_subscripts(embedding, 1) - 1)::INT AS pos, unnest(embedding)::DOUBLE AS value FROM embeddings",
+    "explode_children": "SELECT 'lines' AS child, l_orderkey::VARCHAR AS parent, l_orderkey || '-' || l_linenumber AS id FROM lineitem UNION ALL SELECT 'things', l_orderkey || '-' || l_linenumber, unnest(['p' || l_partkey, 's' || l_suppkey]) FROM lineitem",
     "explode_fragments": "SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1)::INT AS pos, text FROM conversations QUALIFY text IS NOT NULL",
     "unpivot_arrays": "SELECT user_id, CASE event_type WHEN 'click' THEN 'clicks' ELSE 'views' END AS direction, event_id::VARCHAR AS name FROM events WHERE event_type IN ('click', 'view')",
     "conditional_pivot": "SELECT user_id, " + ", ".join(f"coalesce(list_sort(list(DISTINCT event_id) FILTER (event_type = '{t}')), []) AS {t}" for t in ("click", "error", "purchase", "signup", "view")) + " FROM events GROUP BY user_id",
@@ -251,7 +262,7 @@ WHERE l.n >= 30 AND round(b.n / l.n, 4) >= 0.9""",
 }
 _ALL = (
     latest_per_key, byte_dedup, skip_known, replay_filter, canonical_dedup, version_distribution, cdc_filter, incremental_load, dump_profile, source_profile, source_inventory, text_match, predicates, enrich_left, full_outer_merge,
-    array_membership_join, multi_bridge_join, unique_bridge_join, semi_exists, last_access_pick, explode_to_child, explode_fragments, unpivot_arrays, conditional_pivot, pivot_map, map_to_rows, extract_map, parse_payload, cast_tree,
+    array_membership_join, multi_bridge_join, unique_bridge_join, semi_exists, last_access_pick, explode_to_child, explode_children, explode_fragments, unpivot_arrays, conditional_pivot, pivot_map, map_to_rows, extract_map, parse_payload, cast_tree,
     schema_paths, sentinel_nulls, json_triage, rung_mix, date_like_keys, find_join_keys, find_key,
 )
 QUERIES = {f.__name__: f for f in _ALL}
