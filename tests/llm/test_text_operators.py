@@ -163,6 +163,34 @@ def test_language_id(spark):
     assert language_id.fit(docs.limit(0)) == {} and language_id.identify(docs.limit(0), model).count() == 0
 
 
+def test_language_id_gets_long_texts_in_small_batches(spark, monkeypatch):
+    """A batch of thousands of long texts would take an executor's memory, whatever is done with a row."""
+
+    def sizes(*_):
+        def run(batches):
+            import pyarrow as pa
+
+            for b in batches:
+                n = b.num_rows
+                yield pa.RecordBatch.from_arrays([b["id"], pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.array([float(b.nbytes)] * n), pa.array([True] * n)], names=["id", "lang", "nearest", "score", "rejected"])
+
+        return run
+
+    monkeypatch.setattr(language_id, "_predict", sizes)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        texts = spark.range(0, 200, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('ab ', 40000)").alias("text"))
+        got = [r["score"] for r in language_id.identify(texts, {}).collect()]
+        assert len(got) == 200 and max(got) < 3 << 20  # 24 MB in all
+        spark.conf.set(key, "1m")  # a bound of the user's stays
+        got = [r["score"] for r in language_id.identify(texts, {}).collect()]
+        assert len(got) == 200 and max(got) < 3 << 19
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_language_id_matches_brute_force(spark):
     """Sizes of the whole text by each dictionary, one compressor after the other, chunk by chunk."""
     import math
